@@ -14,6 +14,7 @@ ORACLE: dict[str, str] = {}
 
 _MODULES = (
     "riskloom.plans.alerting",
+    "riskloom.plans.metrics",
 )
 
 
