@@ -15,6 +15,7 @@ ORACLE: dict[str, str] = {}
 _MODULES = (
     "riskloom.plans.alerting",
     "riskloom.plans.metrics",
+    "riskloom.plans.profiling",
 )
 
 
