@@ -18,7 +18,7 @@ NEW_ACCOUNT_DAYS = 90
 def parse_open_date(s: Column | str, ref_date: _dt.date) -> Column:
     """Date or NULL: unparseable or outside [1950-01-01, ref_date] gives NULL."""
     c = F.col(s) if isinstance(s, str) else s
-    d = F.try_to_date(c, F.lit(DATE_FORMAT))
+    d = F.try_to_date(c, DATE_FORMAT)
     return F.when(d.between(F.lit(MIN_VALID), F.lit(ref_date)), d)
 
 

@@ -138,7 +138,10 @@ def clean_accounts(raw: DataFrame, date_col: str | None, ref_date: _dt.date,
     Column decisions need small per-feature statistics (collected, one row per
     column); the data itself stays distributed. Returns the clean table and a
     log of decisions."""
+    from riskloom.session import cut_lineage
+
     log: dict = {"n_rows": None}
+    raw = cut_lineage(raw)  # several small statistics passes read it: materialise once
     feats = [c for c in raw.columns if c not in ("account_id", label)]
     corr = profile.target_correlation(raw, label=label)
     leaks = [r["feature"] for r in corr.where("leak_class = 'hard'").select("feature").collect()]
@@ -166,6 +169,7 @@ def clean_accounts(raw: DataFrame, date_col: str | None, ref_date: _dt.date,
     df = df.select(*df.columns, *[v.alias(k) for k, v in meta.items()],
                    *[F.col(c).isNull().cast("double").alias(f"miss_flag_{c}") for c in flags])
     log["miss_flags"] = flags
+    df = cut_lineage(df)  # medians and imputation both read the encoded table
     cols = [c for c in df.columns if c not in ("account_id", label)]
     med = medians(df, cols)
     df = impute(df, med, cols)

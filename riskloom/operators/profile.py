@@ -143,3 +143,28 @@ def binary_feature_rates(df: DataFrame, prefix: str, label: str = "y", min_ones:
     w = Window.orderBy(F.abs("rate").desc(), F.col("feature"))
     return a.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select(
         "feature", "n_ones", "rate", "rank")
+
+
+def quality_gate(df: DataFrame, named: Sequence[str] = (), label: str = "y") -> DataFrame:
+    """``(check_name, violations)``: null cells, label outside {0,1}, rows without a
+    label, string feature columns, named leak columns present. One aggregation."""
+    from pyspark.sql import types as T
+
+    feats = [c for c in df.columns if c not in ("account_id", label)]
+    strings = sum(1 for f in df.schema.fields if f.name in feats and isinstance(f.dataType, T.StringType))
+    nulls = None
+    for c in feats:
+        t = F.col(c).isNull().cast("long")
+        nulls = t if nulls is None else nulls + t
+    a = df.agg(
+        F.sum(nulls if nulls is not None else F.lit(0)).cast("long").alias("no_nulls"),
+        F.count_if(~F.col(label).isin(0, 1) | F.col(label).isNull()).alias("label_domain"),
+        (F.count(F.lit(1)) - F.count(label)).alias("row_count"),
+    )
+    present = sum(1 for n in named if n in df.columns)
+    checks = ["no_nulls", "label_domain", "row_count"]
+    return a.select(F.explode(F.array(
+        *[F.struct(F.lit(c).alias("check_name"), F.col(c).cast("long").alias("violations")) for c in checks],
+        F.struct(F.lit("string_columns").alias("check_name"), F.lit(strings).cast("long").alias("violations")),
+        F.struct(F.lit("named_leak_present").alias("check_name"), F.lit(present).cast("long").alias("violations")),
+    )).alias("c")).select("c.check_name", "c.violations")

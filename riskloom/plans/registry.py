@@ -16,6 +16,7 @@ _MODULES = (
     "riskloom.plans.alerting",
     "riskloom.plans.metrics",
     "riskloom.plans.profiling",
+    "riskloom.plans.rowfeatures",
 )
 
 
