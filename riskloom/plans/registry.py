@@ -17,6 +17,7 @@ _MODULES = (
     "riskloom.plans.metrics",
     "riskloom.plans.profiling",
     "riskloom.plans.rowfeatures",
+    "riskloom.plans.fitted",
 )
 
 
