@@ -18,6 +18,8 @@ _MODULES = (
     "riskloom.plans.profiling",
     "riskloom.plans.rowfeatures",
     "riskloom.plans.fitted",
+    "riskloom.plans.explaining",
+    "riskloom.plans.readside",
 )
 
 
