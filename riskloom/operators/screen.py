@@ -18,3 +18,84 @@ def fallback_contributions(scored: DataFrame, class_means: DataFrame, prob: str
     ex = a.select("account_id", F.col(prob).alias("_p"), F.explode("_m").alias("m"))
     return ex.select("account_id", F.col("m.feature").alias("feature"),
                      (F.col("m.mean_shap_pos") * (F.col("_p") / 0.5)).alias("shap"))
+
+
+# Default member weights when none were fitted, model version tag.
+DEFAULT_WEIGHTS = {"xgb": 0.35, "lgb": 0.31, "cb": 0.34}
+MODEL_VERSION = "1.0.0"
+ERROR_TIER = "ERROR"
+
+
+def ensemble_score(df: DataFrame, members: dict[str, str], weights: dict[str, float] | None = None,
+                   out: str = "prob") -> DataFrame:
+    """Weighted mean of the available members' probabilities; the weights are
+    renormalised over the members present (``members``: weight name -> column)."""
+    weights = weights or DEFAULT_WEIGHTS
+    used = {k: c for k, c in members.items() if k in weights}
+    total = sum(weights[k] for k in used)
+    expr = None
+    for k, c in used.items():
+        term = F.lit(weights[k]) * F.col(c)
+        expr = term if expr is None else expr + term
+    return df.withColumn(out, expr / F.lit(total))
+
+
+def request_vectors(requests: DataFrame, medians: DataFrame, features: list[str]) -> DataFrame:
+    """Sparse requests ``(account_id, features MAP<STRING,STRING>)`` -> one column per
+    catalog feature: the supplied value (known names only) or the training median.
+    ``parse_error`` holds the first supplied known name whose value is not a number.
+    Unknown names are ignored; derived columns keep their median."""
+    from riskloom.functions.params import attach_params
+
+    med = medians.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))).alias("_med"))
+    j = attach_params(requests, med)  # one row: a map of catalog size
+    known = F.array(*[F.lit(f) for f in features])
+    bad = F.filter(F.map_keys("features"), lambda k: F.array_contains(known, k)
+                   & F.col("features")[k].isNotNull() & F.col("features")[k].try_cast("double").isNull())
+    cols = [F.coalesce(F.col("features")[f].try_cast("double"), F.col("_med")[f]).alias(f) for f in features]
+    err = F.when(F.size(bad) > 0, F.concat(F.lit("could not convert value of "), F.element_at(F.array_sort(bad), 1),
+                                            F.lit(" to float")))
+    return j.select("account_id", *cols, err.alias("parse_error"))
+
+
+def screen(vectors: DataFrame, scorer_params: DataFrame, calibration: DataFrame, features: list[str],
+           typology_attrs: dict[str, str]) -> DataFrame:
+    """Vector -> probability -> calibrated score -> tier -> top-5 factors -> typology."""
+    from riskloom.functions.scoring import action_col, calibrated_score, magnitude_col, tier_col
+    from riskloom.functions.params import attach_params
+    from riskloom.functions.typology import typology_columns
+    from riskloom.operators.explain import linear_contributions
+
+    s = linear_contributions(vectors, scorer_params, features)
+    s = ensemble_score(s, {"xgb": "prob"}, out="ens")
+    s = attach_params(s, calibration.select("p1", "p99"))
+    score = calibrated_score("ens", F.col("p1"), F.col("p99"))
+    s = s.withColumn("risk_score", score).withColumn("tier", tier_col("risk_score"))
+    by_desc = F.array_sort("contrib", lambda a, b: F.when(a["shap"] > b["shap"], -1).when(a["shap"] < b["shap"], 1)
+                           .otherwise(F.when(a["feature"] < b["feature"], -1).when(a["feature"] > b["feature"], 1).otherwise(0)))
+    top = F.transform(F.slice(F.filter(by_desc, lambda x: x["shap"] > 0), 1, 5), lambda x: F.struct(
+        x["feature"].alias("feature"), F.bround(x["value"], 4).alias("value"),
+        F.bround(x["shap"], 4).alias("shap_contrib"), magnitude_col(x["shap"]).alias("magnitude")))
+    a = typology_attrs
+    typo = typology_columns(F.col(a["age"]), F.col(a["occupation"]), F.col(a["missing"]), F.col(a["acct_type"]), None)
+    return s.select(
+        "account_id", "risk_score", "tier", F.bround("ens", 4).alias("fraud_probability"),
+        action_col("tier", screening=True).alias("action"), top.alias("top_risk_factors"),
+        F.struct(*[v.alias(k) for k, v in typo.items()]).alias("typology"),
+        F.lit(MODEL_VERSION).alias("model_version"))
+
+
+def screen_requests(requests: DataFrame, medians: DataFrame, scorer_params: DataFrame, calibration: DataFrame,
+                    features: list[str], typology_attrs: dict[str, str]) -> DataFrame:
+    """Batch screening with per-row failures: rows whose supplied values do not
+    parse get tier ERROR, score 0 and the message; the rest are screened."""
+    v = request_vectors(requests, medians, features)
+    ok = screen(v.where(F.col("parse_error").isNull()).drop("parse_error"), scorer_params, calibration, features,
+                typology_attrs)
+    bad = v.where(F.col("parse_error").isNotNull()).select(
+        "account_id", F.lit(0).alias("risk_score"), F.lit(ERROR_TIER).alias("tier"),
+        F.lit(0.0).alias("fraud_probability"), F.concat(F.lit("Screening failed: "), "parse_error").alias("action"),
+        F.array().cast(ok.schema["top_risk_factors"].dataType).alias("top_risk_factors"),
+        F.lit(None).cast(ok.schema["typology"].dataType).alias("typology"),
+        F.lit(MODEL_VERSION).alias("model_version"))
+    return ok.unionByName(bad)

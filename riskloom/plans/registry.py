@@ -20,6 +20,7 @@ _MODULES = (
     "riskloom.plans.fitted",
     "riskloom.plans.explaining",
     "riskloom.plans.readside",
+    "riskloom.plans.screening",
 )
 
 
