@@ -40,8 +40,14 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, _ = features.clean_accounts(raw(spark, sf_dir), DATE_COL, REF_DATE, MANUAL)
-    return df
+    """Phase-one output, persisted once per application."""
+    from riskloom.sources.artifacts import materialized
+
+    def build():
+        df, _ = features.clean_accounts(raw(spark, sf_dir), DATE_COL, REF_DATE, MANUAL)
+        return df
+
+    return materialized(spark, "clean_accounts", sf_dir, build)
 
 
 # --- SQL ----------------------------------------------------------------------

@@ -18,8 +18,10 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``scored`` + ``risk_score`` + ``tier``."""
-    return risk_scores(scored(spark, sf_dir), "prob")
+    """``scored`` + ``risk_score`` + ``tier`` (persisted once per application)."""
+    from riskloom.sources.artifacts import materialized
+
+    return materialized(spark, "tiered_events", sf_dir, lambda: risk_scores(scored(spark, sf_dir), "prob"))
 
 
 # --- SQL side (CTE bodies) ---------------------------------------------------

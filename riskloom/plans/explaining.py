@@ -19,11 +19,17 @@ RAW_PREFIXES = ("f_", "s_")
 
 
 def scored_accounts(spark, sf_dir):
-    """Clean accounts scored by the closed-form linear scorer, calibrated and tiered."""
-    c = A.clean(spark, sf_dir)
-    params = explain.fit_linear_scorer(c, FEATS)
-    s = explain.linear_contributions(c, params, FEATS)
-    return alerts.risk_scores(s, "prob")
+    """Clean accounts scored by the closed-form linear scorer, calibrated and tiered
+    (persisted once per application)."""
+    from riskloom.sources.artifacts import materialized
+
+    def build():
+        c = A.clean(spark, sf_dir)
+        params = explain.fit_linear_scorer(c, FEATS)
+        s = explain.linear_contributions(c, params, FEATS)
+        return alerts.risk_scores(s, "prob")
+
+    return materialized(spark, "scored_accounts", sf_dir, build)
 
 
 # --- SQL chain ----------------------------------------------------------------

@@ -34,11 +34,14 @@ def requests(spark, sf_dir):
 
 
 def fitted_tables(spark, sf_dir):
+    """Training medians, scorer parameters and calibration percentiles (persisted)."""
+    from riskloom.sources.artifacts import materialized
+
     clean = A.clean(spark, sf_dir)
-    med = features.medians(clean, FEATS)
-    params = explain.fit_linear_scorer(clean, FEATS)
-    train = explain.linear_contributions(clean, params, FEATS)
-    cal = alerts.calibration_params(train, "prob")
+    med = materialized(spark, "train_medians", sf_dir, lambda: features.medians(clean, FEATS))
+    params = materialized(spark, "scorer_params", sf_dir, lambda: explain.fit_linear_scorer(clean, FEATS))
+    cal = materialized(spark, "calibration", sf_dir, lambda: alerts.calibration_params(
+        explain.linear_contributions(clean, params, FEATS), "prob"))
     return med, params, cal
 
 
