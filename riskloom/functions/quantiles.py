@@ -38,7 +38,8 @@ def exact_percentiles(
     """One row per group of ``by`` with one column per probability.
 
     ``by`` groups must be few (a feature catalog, tiers): their bracket table is
-    broadcast. Nulls are ignored; a group without values gives NULL.
+    broadcast. Nulls are ignored; a group without values has no row (without
+    ``by``, one row of NULLs).
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(probs))])

@@ -22,6 +22,7 @@ _MODULES = (
     "riskloom.plans.readside",
     "riskloom.plans.screening",
     "riskloom.plans.modeling",
+    "riskloom.plans.anomalies",
 )
 
 
