@@ -33,7 +33,7 @@ def exact_percentiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    accuracy: int = 100_000,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 

@@ -25,35 +25,48 @@ NO_FACTOR = "multiple factors"
 
 def fit_linear_scorer(df: DataFrame, features: Sequence[str], label: str = "y",
                       fit_filter: Column | None = None) -> DataFrame:
-    """Closed-form linear scorer on standardised features (one aggregation):
+    """Closed-form linear scorer on standardised features:
     w_j = mean(z_j | y=1) - mean(z_j | y=0), z_j = (x_j - mean_j) / std_j (population
-    std, zero -> 1), intercept = logit(positive rate). One row of parameters."""
+    std, zero -> 1), intercept = logit(positive rate).
+
+    Statistics are one ``groupBy(feature)`` over the long form (partial aggregation,
+    one row per feature per task); the result is one row holding the intercept and
+    per-feature arrays in column order (bounded by the feature count)."""
+    from riskloom.operators.catalog import to_long
+
     fit = df if fit_filter is None else df.where(fit_filter)
-    aggs = [F.avg(F.col(label).cast("double")).alias("_rate")]
-    for f in features:
-        aggs += [F.avg(f).alias(f"_mu_{f}"), F.stddev_pop(f).alias(f"_sd_{f}"),
-                 F.avg(F.when(F.col(label) == 1, F.col(f))).alias(f"_m1_{f}"),
-                 F.avg(F.when(F.col(label) != 1, F.col(f))).alias(f"_m0_{f}")]
-    a = fit.agg(*aggs)
-    cols = [F.log(F.col("_rate") / (1 - F.col("_rate"))).alias("intercept")]
-    for f in features:
-        sd = F.when(F.col(f"_sd_{f}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{f}"))
-        cols += [F.col(f"_mu_{f}").alias(f"mu_{f}"), sd.alias(f"sd_{f}"),
-                 F.coalesce((F.col(f"_m1_{f}") - F.col(f"_m0_{f}")) / sd, F.lit(0.0)).alias(f"w_{f}")]
-    return a.select(*cols)
+    pos = {f: i for i, f in enumerate(features)}
+    long = to_long(fit, list(features), label=label)
+    st = long.groupBy("feature").agg(
+        F.avg("value").alias("mu"), F.stddev_pop("value").alias("sd0"),
+        F.avg(F.when(F.col(label) == 1, F.col("value"))).alias("m1"),
+        F.avg(F.when(F.col(label) != 1, F.col("value"))).alias("m0"))
+    posmap = F.create_map(*[x for f, i in pos.items() for x in (F.lit(f), F.lit(i))])
+    sd = F.when(F.col("sd0") == 0, F.lit(1.0)).otherwise(F.col("sd0"))
+    st = st.select(posmap[F.col("feature")].alias("pos"), "mu", sd.alias("sd"),
+                   F.coalesce((F.col("m1") - F.col("m0")) / sd, F.lit(0.0)).alias("w"))
+    packed = st.agg(F.array_sort(F.collect_list(F.struct("pos", "mu", "sd", "w"))).alias("_p"))
+    rate = fit.agg(F.avg(F.col(label).cast("double")).alias("_rate"))
+    one = attach_params(packed, rate)
+    return one.select(F.log(F.col("_rate") / (1 - F.col("_rate"))).alias("intercept"),
+                      F.transform("_p", lambda x: x["mu"]).alias("mu"),
+                      F.transform("_p", lambda x: x["sd"]).alias("sd"),
+                      F.transform("_p", lambda x: x["w"]).alias("w"))
 
 
 def linear_contributions(df: DataFrame, params: DataFrame, features: Sequence[str]) -> DataFrame:
     """Adds ``contrib`` = array<struct<feature, value, shap>> with shap_j = w_j z_j,
-    ``margin`` = intercept + sum(shap) and ``prob`` = sigmoid(margin)."""
+    ``margin`` = intercept + sum(shap) and ``prob`` = sigmoid(margin). Row-local."""
     j = attach_params(df, params)
-    items = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"),
-                      (F.col(f"w_{f}") * (F.col(f) - F.col(f"mu_{f}")) / F.col(f"sd_{f}")).alias("shap"))
-             for f in features]
-    out = j.withColumn("contrib", F.array(*items))
+    names = F.array(*[F.lit(f) for f in features])
+    vals = F.array(*[F.col(f).cast("double") for f in features])
+    contrib = F.transform(vals, lambda x, i: F.struct(
+        names[i].alias("feature"), x.alias("value"),
+        (F.col("w")[i] * (x - F.col("mu")[i]) / F.col("sd")[i]).alias("shap")))
+    out = j.withColumn("contrib", contrib)
     out = out.withColumn("margin", F.col("intercept") + F.aggregate("contrib", F.lit(0.0), lambda a, x: a + x["shap"]))
     out = out.withColumn("prob", 1.0 / (1.0 + F.exp(-F.col("margin"))))
-    return out.drop("intercept", *[f"{p}_{f}" for f in features for p in ("mu", "sd", "w")])
+    return out.drop("intercept", "mu", "sd", "w")
 
 
 def contrib_long(df: DataFrame, keep: Sequence[str] = ("account_id", "y")) -> DataFrame:

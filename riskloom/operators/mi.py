@@ -34,24 +34,41 @@ def digamma(x: Column) -> Column:
     return asym
 
 
-def feature_buckets(df: DataFrame, value: str, boundaries: DataFrame) -> DataFrame:
+def count_below(x: Column, arr: Column, lo: int, hi: int) -> Column:
+    """Number of elements of the ascending array slice [lo, hi) below x: a binary
+    search unrolled into a CASE tree (log2 comparisons per row, code-generated)."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(arr[mid] < x, count_below(x, arr, mid + 1, hi)).otherwise(count_below(x, arr, lo, mid))
+
+
+def feature_buckets(df: DataFrame, value: str, boundaries: DataFrame, n_bounds: int) -> DataFrame:
     """``_bkt`` = number of the feature's boundaries below ``value`` (monotone)."""
     j = df.join(F.broadcast(boundaries), "feature")  # one row per feature
-    return j.withColumn("_bkt", F.size(F.filter("_b", lambda t: t < F.col(value)))).drop("_b")
+    return j.withColumn("_bkt", count_below(F.col(value), F.col("_b"), 0, n_bounds)).drop("_b")
+
+
+ROWS_PER_BUCKET = 250_000
 
 
-def mi_knn(long: DataFrame, k: int = K_NEIGHBOURS, label: str = "y", buckets: int = 256) -> DataFrame:
-    """``(feature, mi)`` from ``long(account_id, y, feature, value)``."""
+def mi_knn(long: DataFrame, k: int = K_NEIGHBOURS, label: str = "y", buckets: int | None = None) -> DataFrame:
+    """``(feature, mi)`` from ``long(account_id, y, feature, value)``. The number of
+    value buckets per feature grows with the largest feature (about 250k rows per
+    bucket, 16..4096), so each window partition stays bounded."""
     v = long.where(F.col("value").isNotNull()).select("feature", "account_id", F.col(label).alias("y"), "value")
     cnt = v.groupBy("feature", "y").agg(F.count(F.lit(1)).alias("n_c"))
     v = v.join(F.broadcast(cnt), ["feature", "y"]).where(F.col("n_c") > 1)  # features x classes rows
     v = v.withColumn("k_i", F.least(F.lit(k), F.col("n_c") - 1))
+    if buckets is None:
+        biggest = cnt.groupBy("feature").agg(F.sum("n_c").alias("n")).agg(F.max("n")).first()[0] or 0
+        buckets = int(min(4096, max(16, -(-biggest // ROWS_PER_BUCKET))))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = v.groupBy("feature").agg(F.percentile_approx("value", probs, 10_000).alias("_b"))
     bounds = cut_lineage(bounds)
 
     # within-class rank by (value, id)
-    vb = feature_buckets(v.withColumn("_one", F.lit(1)), "value", bounds)
+    vb = feature_buckets(v.withColumn("_one", F.lit(1)), "value", bounds, len(probs))
     ranked = running_totals(vb, [F.col("value"), F.col("account_id")], ["_one"], F.col("_bkt"), by=["feature", "y"])
     ranked = cut_lineage(ranked.select("feature", "y", "account_id", "value", "n_c", "k_i",
                                        F.col("cum__one").alias("r")))
@@ -77,7 +94,7 @@ def mi_knn(long: DataFrame, k: int = K_NEIGHBOURS, label: str = "y", buckets: in
     lo = dist.select("feature", (F.col("value") - F.col("d")).alias("qv"),
                      F.when(zero, F.lit(0)).otherwise(F.lit(2)).alias("typ"), "account_id",
                      F.lit(2).alias("side"), F.lit(0).alias("is_data"))
-    pts = feature_buckets(data.unionByName(hi).unionByName(lo), "qv", bounds)
+    pts = feature_buckets(data.unionByName(hi).unionByName(lo), "qv", bounds, len(probs))
     counted = running_totals(pts, [F.col("qv"), F.col("typ"), F.col("account_id"), F.col("side")], ["is_data"],
                              F.col("_bkt"), by=["feature"])
     m = counted.where(F.col("is_data") == 0).groupBy("feature", "account_id").agg(

@@ -45,7 +45,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it
+    back: later passes read files (surviving executor loss) and the input plan is
+    computed once (``Dataset.checkpoint`` computes an unpersisted input twice)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "lineage", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
