@@ -23,6 +23,7 @@ _MODULES = (
     "riskloom.plans.screening",
     "riskloom.plans.modeling",
     "riskloom.plans.anomalies",
+    "riskloom.plans.reports",
 )
 
 
