@@ -59,7 +59,7 @@ def to_long(df: DataFrame, features: Sequence[str], id_col: str = "account_id",
     pairs = F.explode(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.col(f).cast(value_type).alias("value")) for f in features
     ])).alias("kv")
-    keep = [id_col] + ([label] if label else [])
+    keep = [c for c in (id_col, label) if c and c in df.columns]
     return df.select(*keep, pairs).select(*keep, "kv.feature", "kv.value")
 
 
