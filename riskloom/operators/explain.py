@@ -128,7 +128,7 @@ def card_columns(score: str = "risk_score", prob: str = "prob", protective: str
     prot = F.transform(neg, lambda x: F.struct(x["feature"].alias("feature"), x["value"].alias("value"),
                                                x["shap"].alias("shap_contrib")))
     tier = tier_col(score)
-    first = F.element_at(pos, 1)
+    first = F.try_element_at(pos, F.lit(1))
     driver = F.coalesce(first["feature"], F.lit(NO_FACTOR))
     contrib_txt = F.when(first.isNotNull(), F.format_string(" (contribution: +%.4f)", first["shap"])).otherwise(F.lit(""))
     narrative = F.concat(

@@ -153,7 +153,7 @@ def q_top_alerts(spark, sf_dir):
     s = scored_accounts(spark, sf_dir)
     cols = explain.card_columns()
     top = s.orderBy(F.col("risk_score").desc(), F.col("account_id")).limit(5)
-    first = F.element_at(cols["top_risk_factors"], 1)
+    first = F.try_element_at(cols["top_risk_factors"], F.lit(1))
     return top.select("account_id", "risk_score", "tier", first["feature"].alias("top_feature"),
                       round6(first["shap_contrib"]).alias("top_shap"))
 
