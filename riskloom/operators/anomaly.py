@@ -173,3 +173,18 @@ def pca_recon_error(df: DataFrame, col: str = "features", label: str = "y", fit_
         return pd.Series(((X * X).sum(axis=1) - (proj * proj).sum(axis=1)) / X.shape[1])
 
     return std.select("account_id", F.greatest(err("_z"), F.lit(0.0)).alias("recon_error"))
+
+
+# Families that feed the anomaly detectors (plus the key features).
+ANOMALY_PREFIXES = ("beh_", "feat_", "meta_")
+
+
+def anomaly_input_columns(columns, keys) -> list[str]:
+    """Columns of the anomaly detectors: behaviour, temporal and meta families plus the
+    key features, in column order."""
+    return [c for c in columns if c.startswith(ANOMALY_PREFIXES) or c in set(keys)]
+
+
+def with_anomaly_vector(df: DataFrame, keys, out: str = "features") -> DataFrame:
+    cols = anomaly_input_columns(df.columns, keys)
+    return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))

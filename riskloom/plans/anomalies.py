@@ -31,3 +31,43 @@ def q_pca_recon(spark, sf_dir):
 def q_mi_knn(spark, sf_dir):
     c = A.clean(spark, sf_dir)
     return mi.mi_knn(to_long(c, list(A.PRE_IMPUTE_COLS))).select("feature", round6("mi").alias("mi"))
+
+
+def _behaviour_vectors(spark, sf_dir):
+    from riskloom.plans.fitted import behaviour_table
+
+    b = behaviour_table(spark, sf_dir)
+    return anomaly.with_anomaly_vector(b, A.KEYS).select("account_id", "y", "features")
+
+
+@query("isolation_forest_accounts")
+def q_isolation_forest_accounts(spark, sf_dir):
+    """Isolation forest on the account table's behaviour, temporal, meta and key columns."""
+    s = anomaly.isolation_forest(_behaviour_vectors(spark, sf_dir))
+    return s.select("account_id", round6("if_score").alias("if_score"), round6("if_decision").alias("if_decision"),
+                    "if_anomaly")
+
+
+@query("pca_recon_accounts")
+def q_pca_recon_accounts(spark, sf_dir):
+    """PCA reconstruction error on the same columns, fitted on the negatives."""
+    e = anomaly.pca_recon_error(_behaviour_vectors(spark, sf_dir))
+    return e.select("account_id", round6("recon_error").alias("recon_error"))
+
+
+@query("fold_isolation_forest")
+def q_fold_isolation_forest(spark, sf_dir):
+    """In-fold anomaly scores: for each fold the forest is fitted on the other folds
+    and scores the held-out rows only."""
+    from riskloom.operators import folds
+
+    v = folds.stratified_folds(_behaviour_vectors(spark, sf_dir))
+    parts = []
+    for i in range(5):
+        s = anomaly.isolation_forest(v, fit_filter=F.col("fold") != i)
+        held = v.where(F.col("fold") == i).select("account_id", "fold")
+        parts.append(s.join(held, "account_id"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("account_id", "fold", round6("if_score").alias("if_score"), "if_anomaly")
