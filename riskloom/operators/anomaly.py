@@ -127,7 +127,9 @@ def isolation_scores(df: DataFrame, nodes: DataFrame, psi: int, col: str = "feat
             h = _path_lengths(X, nd) if len(pdf) else np.zeros(0)
             yield pd.DataFrame({id_col: pdf[id_col], "if_score": -np.power(2.0, -h / c)})
 
-    return df.select(id_col, F.col(col).cast("array<double>").alias(col)).mapInPandas(score, schema)
+    from riskloom.functions.params import spread
+
+    return spread(df.select(id_col, F.col(col).cast("array<double>").alias(col))).mapInPandas(score, schema)
 
 
 def isolation_forest(df: DataFrame, col: str = "features", label: str = "y", fit_filter: Column | None = None,

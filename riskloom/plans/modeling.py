@@ -53,3 +53,19 @@ def q_feature_importance(spark, sf_dir):
     names = [f"e{i}" for i in range(dim)]
     imp = models.importances(fm, names, spark)
     return imp.select("member", "feature", round6("importance").alias("importance"))
+
+
+@query("tree_contrib")
+def q_tree_contrib(spark, sf_dir):
+    """Exact tree contributions of the boosted-tree member (margin units), per
+    account and feature; the tests check sum + base = margin."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from riskloom.operators import treeshap
+
+    v = _vec(spark, sf_dir)
+    gbt = GBTClassifier(featuresCol="vec", labelCol="y", maxDepth=5, maxIter=20, stepSize=0.1, seed=models.SEED)
+    m = gbt.fit(v)
+    feats = fixture(spark, sf_dir, "vec_accounts").select("account_id", "features")
+    c = treeshap.tree_shap(feats, m, "features", [f"e{i}" for i in range(m.numFeatures)])
+    return c.select("account_id", "feature", round6("shap").alias("shap"), round6("base").alias("base"))
