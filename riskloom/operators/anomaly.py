@@ -91,33 +91,36 @@ def fit_isolation_forest(df: DataFrame, col: str = "features", n_trees: int = N_
 NODE_SCHEMA_COLS = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
 
 
-def _path_lengths(X: np.ndarray, nodes: pd.DataFrame) -> np.ndarray:
-    total = np.zeros(len(X))
-    trees = 0
+def tree_arrays(nodes: pd.DataFrame) -> list[tuple]:
+    """Per tree: (feature, threshold, left, right, size, depth) arrays indexed by node."""
+    out = []
     for _, t in nodes.groupby("tree"):
         t = t.sort_values("node")
-        feat, thr = t["feature"].to_numpy(), t["threshold"].to_numpy()
-        left, right = t["left"].to_numpy(), t["right"].to_numpy()
-        size, depth = t["size"].to_numpy(), t["depth"].to_numpy()
+        out.append(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size", "depth")))
+    return out
+
+
+def _path_lengths(X: np.ndarray, trees: list[tuple]) -> np.ndarray:
+    total = np.zeros(len(X))
+    rows = np.arange(len(X))
+    for feat, thr, left, right, size, depth in trees:
         at = np.zeros(len(X), dtype=int)
         for _ in range(int(depth.max()) + 1):
             f = feat[at]
             inner = f >= 0
             if not inner.any():
                 break
-            xv = X[np.arange(len(X)), np.where(inner, f, 0)]
-            nxt = np.where(xv < thr[at], left[at], right[at])
-            at = np.where(inner, nxt, at)
+            xv = X[rows, np.where(inner, f, 0)]
+            at = np.where(inner, np.where(xv < thr[at], left[at], right[at]), at)
         total += depth[at] + avg_path_length(size[at])
-        trees += 1
-    return total / max(trees, 1)
+    return total / max(len(trees), 1)
 
 
 def isolation_scores(df: DataFrame, nodes: DataFrame, psi: int, col: str = "features",
                      id_col: str = "account_id") -> DataFrame:
     """Adds ``if_score`` = -2^(-E[h]/c(psi)) (higher = more normal). The node table
     is bounded (trees x nodes) and shipped to the tasks once."""
-    nd = nodes.toPandas()
+    nd = tree_arrays(nodes.toPandas())
     c = float(avg_path_length([psi])[0]) or 1.0
     schema = df.select(id_col).schema.add("if_score", "double")
 
@@ -142,6 +145,9 @@ def isolation_forest(df: DataFrame, col: str = "features", label: str = "y", fit
     scored = isolation_scores(df, nodes, psi, col)
     rate = fit.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
     cont = max(rate, MIN_CONTAMINATION)
+    from riskloom.session import cut_lineage
+
+    scored = cut_lineage(scored)  # the offset and the output both read the scores
     fit_scores = scored.join(fit.select("account_id"), "account_id", "left_semi")
     offset = exact_percentiles(fit_scores, "if_score", [cont], names=["_offset"])
     out = attach_params(scored, offset).withColumn("if_decision", F.col("if_score") - F.col("_offset"))
@@ -190,3 +196,73 @@ def anomaly_input_columns(columns, keys) -> list[str]:
 def with_anomaly_vector(df: DataFrame, keys, out: str = "features") -> DataFrame:
     cols = anomaly_input_columns(df.columns, keys)
     return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))
+
+
+def fold_isolation_forest(df: DataFrame, k: int = 5, col: str = "features", label: str = "y",
+                          fold_col: str = "fold", seed: int = 42, n_trees: int = N_TREES,
+                          max_samples: int = MAX_SAMPLES, id_col: str = "account_id") -> DataFrame:
+    """In-fold isolation forests in one pass: forest i is grown on rows outside fold i
+    (groups keyed by (i, tree), each <= 3 x 256 sampled rows), every row is scored
+    by all k forests in one Arrow pass, forest i's offset is the contamination
+    percentile over its own training rows, and each row keeps the decision of the
+    forest that did not see it. ``(account_id, fold, if_score, if_decision, if_anomaly)``."""
+    sizes = df.groupBy(fold_col).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("r"))
+    st = {r[fold_col]: (r["n"], r["r"]) for r in sizes.collect()}  # k rows
+    total = sum(n for n, _ in st.values())
+    n_fit = {i: total - st.get(i, (0, 0))[0] for i in range(k)}
+    psi = {i: int(min(max_samples, max(n_fit[i], 1))) for i in range(k)}
+    frac = min(1.0, 3.0 * max(psi.values()) / max(min(n_fit.values()), 1))
+    cut = int(frac * 2147483647)
+    held_out = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col(fold_col))
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                     lambda t: F.pmod(F.xxhash64(F.lit(seed), t, F.col(id_col)), F.lit(2147483648)) <= F.lit(cut))
+    # tree membership depends on the row only: hash once per row, then fan out to forests
+    picked = df.select(F.col(id_col), F.col(fold_col), F.col(col).cast("array<double>").alias("x"),
+                       trees.alias("_trees")) \
+        .select(F.explode(held_out).alias("forest"), id_col, "x", "_trees") \
+        .select("forest", id_col, "x", F.explode("_trees").alias("tree"))
+    picked = picked.withColumn("key", F.xxhash64(F.lit(seed + 1), F.col("tree"), F.col(id_col)))
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, t = int(pdf["forest"].iloc[0]), int(pdf["tree"].iloc[0])
+        m = psi[forest]
+        pdf = pdf.sort_values(["key", id_col]).head(m)
+        rng = np.random.default_rng([seed, t])
+        depth = int(math.ceil(math.log2(max(m, 2))))
+        nodes = pd.DataFrame(_grow(np.vstack(pdf["x"].to_numpy()), rng, depth, t), columns=NODE_SCHEMA_COLS)
+        return nodes.assign(forest=forest)
+
+    nodes = picked.groupBy("forest", "tree").applyInPandas(grow, NODE_SCHEMA + ", forest int").toPandas()
+    c = {i: float(avg_path_length([psi[i]])[0]) or 1.0 for i in range(k)}
+    by_forest = {i: tree_arrays(g) for i, g in nodes.groupby("forest")}
+    from riskloom.functions.params import spread
+
+    def score(batches):
+        for pdf in batches:
+            X = np.vstack(pdf[col].to_numpy()) if len(pdf) else np.zeros((0, 1))
+            out = {id_col: pdf[id_col], fold_col: pdf[fold_col]}
+            for i in range(k):
+                h = _path_lengths(X, by_forest[i]) if len(pdf) else np.zeros(0)
+                out[f"s{i}"] = -np.power(2.0, -h / c[i])
+            yield pd.DataFrame(out)
+
+    schema = f"{id_col} long, {fold_col} int, " + ", ".join(f"s{i} double" for i in range(k))
+    from riskloom.session import cut_lineage
+
+    scored = cut_lineage(spread(df.select(id_col, fold_col, F.col(col).cast("array<double>").alias(col)))
+                         .mapInPandas(score, schema))  # offsets and output both read the scores
+    long = scored.select(id_col, fold_col, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("forest"), F.col(f"s{i}").alias("s")) for i in range(k)])).alias("e")) \
+        .select(id_col, fold_col, "e.forest", "e.s")
+    cont = {i: max((sum(st[j][0] * st[j][1] for j in st if j != i) / max(n_fit[i], 1)),
+                   MIN_CONTAMINATION) for i in range(k)}
+    # one grouped percentile call: each forest's training rows, every forest's rate
+    train = long.where(F.col("forest") != F.col(fold_col))
+    pc = exact_percentiles(train, "s", [cont[i] for i in range(k)], by=["forest"], names=[f"_o{i}" for i in range(k)])
+    pick = None
+    for i in range(k):
+        pick = F.when(F.col("forest") == i, F.col(f"_o{i}")) if pick is None else pick.when(F.col("forest") == i, F.col(f"_o{i}"))
+    off = pc.select("forest", pick.alias("_offset"))
+    own = long.where(F.col("forest") == F.col(fold_col)).join(F.broadcast(off), "forest")  # k rows
+    out = own.select(id_col, fold_col, F.col("s").alias("if_score"), (F.col("s") - F.col("_offset")).alias("if_decision"))
+    return out.withColumn("if_anomaly", (F.col("if_decision") < 0).cast("int"))

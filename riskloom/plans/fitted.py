@@ -35,8 +35,10 @@ def _chain(body, *extra):
 
 
 def behaviour_table(spark, sf_dir):
-    """Clean accounts + row moments (phase-two input)."""
-    return features.add_row_stats(A.clean(spark, sf_dir))
+    """Clean accounts + row moments (phase-two input, persisted once per application)."""
+    from riskloom.sources.artifacts import materialized
+
+    return materialized(spark, "behaviour", sf_dir, lambda: features.add_row_stats(A.clean(spark, sf_dir)))
 
 
 def _r6z(df):
