@@ -3,7 +3,6 @@ check their properties and compare with brute force on small inputs."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import round6
 from riskloom.operators import anomaly, mi

@@ -3,7 +3,7 @@ O-71..O-74, O-82, O-88, O-89, O-93, O-100) on the clean account table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import round6

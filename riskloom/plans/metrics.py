@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.functions.params import attach_params
 from riskloom.functions.scoring import round6
 from riskloom.operators import folds, metrics
 from riskloom.plans import common

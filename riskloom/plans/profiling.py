@@ -3,7 +3,6 @@ O-10..O-15, O-18, O-79, O-81) on the raw account fixture."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import round6
 from riskloom.operators import profile

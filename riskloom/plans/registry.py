@@ -24,6 +24,7 @@ _MODULES = (
     "riskloom.plans.modeling",
     "riskloom.plans.anomalies",
     "riskloom.plans.reports",
+    "riskloom.plans.documents",
 )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.functions.scoring import round6
 from riskloom.operators import explain, metrics, profile
 from riskloom.plans import accounts as A
 from riskloom.plans import explaining as X
