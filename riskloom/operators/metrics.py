@@ -75,30 +75,31 @@ def _attach(df, one_row):
     return attach_params(df, one_row)
 
 
-def pr_curve(scored: DataFrame, prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
+def pr_curve(scored: DataFrame, prob: str = "prob", by: Sequence[str] = (), curve: DataFrame | None = None) -> DataFrame:
     """Precision / recall at every distinct score plus the terminal (1, 0) point."""
     by = list(by)
-    curve = score_curve(scored, prob, by).select(*by, F.col("score").alias("threshold"), "precision", "recall")
+    curve = (curve if curve is not None else score_curve(scored, prob, by)).select(*by, F.col("score").alias("threshold"), "precision", "recall")
     groups = scored.select(*by).distinct() if by else scored.sparkSession.range(1).select()
     terminal = groups.select(*by, F.lit(None).cast("double").alias("threshold"),
                              F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return curve.unionByName(terminal)
 
 
-def average_precision(scored: DataFrame, prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
+def average_precision(scored: DataFrame, prob: str = "prob", by: Sequence[str] = (),
+                      curve: DataFrame | None = None) -> DataFrame:
     """AP = sum over distinct scores of (recall step) x precision."""
     by = list(by)
-    c = score_curve(scored, prob, by)
+    c = curve if curve is not None else score_curve(scored, prob, by)
     return c.groupBy(*by).agg(
         F.coalesce(F.sum(F.try_divide(F.col("pos"), F.col("n_pos")) * F.col("precision")), F.lit(0.0))
         .alias("average_precision")
     )
 
 
-def roc_auc(scored: DataFrame, prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
+def roc_auc(scored: DataFrame, prob: str = "prob", by: Sequence[str] = (), curve: DataFrame | None = None) -> DataFrame:
     """Mann-Whitney form with ties counted half: equals the trapezoidal ROC area."""
     by = list(by)
-    c = score_curve(scored, prob, by)
+    c = curve if curve is not None else score_curve(scored, prob, by)
     wins = F.col("pos") * ((F.col("n_neg") - F.col("fp")) + 0.5 * F.col("neg"))
     return c.groupBy(*by).agg(
         F.try_divide(F.sum(wins), F.first("n_pos") * F.first("n_neg")).alias("roc_auc")
@@ -106,9 +107,9 @@ def roc_auc(scored: DataFrame, prob: str = "prob", by: Sequence[str] = ()) -> Da
 
 
 def recall_at_precision(scored: DataFrame, prob: str = "prob", by: Sequence[str] = (),
-                        min_precision: float = 0.5) -> DataFrame:
+                        min_precision: float = 0.5, curve: DataFrame | None = None) -> DataFrame:
     by = list(by)
-    c = pr_curve(scored, prob, by)
+    c = pr_curve(scored, prob, by, curve)
     return c.groupBy(*by).agg(
         F.coalesce(F.max(F.when(F.col("precision") >= min_precision, F.col("recall"))), F.lit(0.0))
         .alias("recall_at_precision")
@@ -187,11 +188,14 @@ def rates(conf: DataFrame) -> DataFrame:
 
 def metric_record(scored: DataFrame, prob: str = "prob") -> DataFrame:
     """The 11-entry metric record as ``(metric, value)`` rows."""
+    from riskloom.session import cut_lineage
+
     best = best_threshold(scored, prob)
     r = rates(confusion(scored, best, prob))
-    auc = roc_auc(scored, prob)
-    ap = average_precision(scored, prob)
-    rp = recall_at_precision(scored, prob)
+    curve = cut_lineage(score_curve(scored, prob))  # one curve feeds three metrics
+    auc = roc_auc(scored, prob, curve=curve)
+    ap = average_precision(scored, prob, curve=curve)
+    rp = recall_at_precision(scored, prob, curve=curve)
     one = _attach(_attach(_attach(r, auc), ap), rp)
     names = ["roc_auc", "average_precision", "f2", "f1", "recall", "precision", "recall_at_precision",
              "tp", "fp", "fn", "tn"]

@@ -55,16 +55,23 @@ def positive_prob(pred: DataFrame) -> F.Column:
     return vector_to_array("probability")[1]
 
 
-def oof_scores(df: DataFrame, k: int = 5, fast: bool = False) -> DataFrame:
+def oof_scores(df: DataFrame, k: int = 5, fast: bool = False, parallelism: int = 4) -> DataFrame:
     """``(account_id, y, fold, member, prob)``: every row scored by the models that
-    did not see its fold. ``df`` has account_id, y, fold, vec."""
-    parts = []
-    for name, (weighting, est) in members(fast).items():
-        for i in range(k):
-            model = est.fit(_prepare(df.where(F.col("fold") != i), weighting))
-            pred = model.transform(df.where(F.col("fold") == i))
-            parts.append(pred.select("account_id", "y", "fold", F.lit(name).alias("member"),
-                                     positive_prob(pred).alias("prob")))
+    did not see its fold. ``df`` has account_id, y, fold, vec. The k x members fits
+    are independent distributed jobs; like ``CrossValidator(parallelism=...)`` they
+    are submitted from a small driver thread pool so the cluster stays busy."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jobs = [(name, weighting, est, i) for name, (weighting, est) in members(fast).items() for i in range(k)]
+
+    def run(job):
+        name, weighting, est, i = job
+        model = est.copy().fit(_prepare(df.where(F.col("fold") != i), weighting))
+        pred = model.transform(df.where(F.col("fold") == i))
+        return pred.select("account_id", "y", "fold", F.lit(name).alias("member"), positive_prob(pred).alias("prob"))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(run, jobs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
