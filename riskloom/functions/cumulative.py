@@ -31,11 +31,21 @@ def _split(x: Column, bounds: list[float], descending: bool, lo: int = 0) -> Col
     )
 
 
-def quantile_bucket(df: DataFrame, col: str, descending: bool = False, buckets: int | None = None) -> Column:
-    """Bucket id monotone in ``col``: boundaries are approximate quantiles of ``col``
-    (one small aggregation, k-1 values brought to the driver)."""
-    spark = df.sparkSession
-    k = buckets or min(MAX_BUCKETS, 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
+ROWS_PER_BUCKET = 250_000
+
+
+def quantile_bucket(df: DataFrame, col: str, descending: bool = False, buckets: int | None = None,
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
+    """Bucket id monotone in ``col``. The bucket count follows the data (about
+    ``rows_per_bucket`` rows each, at most 4096); boundaries are approximate
+    quantiles of ``col`` (one small aggregation, k-1 values brought to the driver).
+    Small inputs get one bucket and no boundary job."""
+    if buckets is None:
+        n = df.count()
+        buckets = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
+    k = buckets
+    if k <= 1:
+        return F.lit(0)
     probs = [i / k for i in range(1, k)]
     row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10_000).alias("b")).first()
     bounds = sorted({float(v) for v in (row["b"] or []) if v is not None})

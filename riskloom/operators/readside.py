@@ -53,14 +53,15 @@ def tier_breakdown(tiered: DataFrame) -> DataFrame:
     return dim.join(c, "tier", "left").select("tier", "tier_rank", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def rank_by_score(df: DataFrame, score: str = "risk_score", seed: int = 42) -> DataFrame:
+def rank_by_score(df: DataFrame, score: str = "risk_score", seed: int = 42,
+                  rows_per_bucket: int | None = None) -> DataFrame:
     """Adds ``rank`` (1 = highest integer score; equal scores ordered by a seeded hash
     of the id). The running count is bucketed on one numeric key that follows the
     full order, (-score) * 4096 + hash prefix, so a score value held by a third of
     the rows is still spread over many buckets and tasks."""
     h = df.withColumn("_h", seeded_hash("account_id", seed)).withColumn("_one", F.lit(1))
     h = h.withColumn("_k", (-F.col(score).cast("long") * 4096 + hash_bucket("_h")).cast("double"))
-    bucket = quantile_bucket(h, "_k")
+    bucket = quantile_bucket(h, "_k", rows_per_bucket=rows_per_bucket) if rows_per_bucket else quantile_bucket(h, "_k")
     r = running_totals(h, [F.col(score).desc(), F.col("_h")], ["_one"], bucket).drop("_k")
     return r.withColumn("rank", F.col("cum__one")).drop("_h", "_one", "cum__one")
 

@@ -79,3 +79,18 @@ def test_confusion_and_rates(spark):
     c = metrics.rates(metrics.confusion(s, th)).first()
     assert (c["tp"], c["fp"], c["fn"], c["tn"]) == (1, 1, 1, 1)
     assert c["precision"] == 0.5 and c["recall"] == 0.5 and c["f2"] == pytest.approx(0.5)
+
+
+def test_rank_with_hot_score_matches_window(spark):
+    from pyspark.sql import Window
+
+    from riskloom.operators.folds import seeded_hash
+    from riskloom.operators.readside import rank_by_score
+
+    rng = np.random.default_rng(2)
+    scores = np.where(rng.random(3000) < 0.34, 0, rng.integers(0, 1001, 3000))  # a third share one score
+    df = spark.createDataFrame([(i, int(s)) for i, s in enumerate(scores)], "account_id long, risk_score int")
+    r = rank_by_score(df, rows_per_bucket=100)  # many buckets, the hot score spread over them
+    w = Window.orderBy(F.col("risk_score").desc(), seeded_hash("account_id"))
+    chk = r.withColumn("ref", F.row_number().over(w))
+    assert chk.where("rank != ref").count() == 0 and chk.count() == 3000
