@@ -64,7 +64,7 @@ def calibrated_score(prob: Column | str, p1: Column, p99: Column) -> Column:
     p = F.col(prob) if isinstance(prob, str) else prob
     raw = (p - p1) / (p99 - p1 + F.lit(1e-9)) * F.lit(1000.0)
     clipped = F.least(F.greatest(raw, F.lit(0.0)), F.lit(1000.0))
-    return F.bround(clipped, 0).cast("int")
+    return F.when(raw.isNotNull(), F.bround(clipped, 0).cast("int"))  # no score for a missing probability
 
 
 def round6(c: Column | str) -> Column:

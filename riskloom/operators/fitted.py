@@ -24,8 +24,9 @@ def _z_columns(targets: Sequence[str]) -> list[Column]:
     out, flags = [], []
     for c in targets:
         z = (F.col(c) - F.col(f"_mu_{c}")) / (F.col(f"_sd_{c}") + F.lit(Z_EPS))
-        out.append(F.least(F.greatest(z, F.lit(-Z_CLIP)), F.lit(Z_CLIP)).alias(f"z_{c}"))
-        flags.append((F.abs(z) > Z_FLAG).cast("int"))
+        # greatest/least skip NULLs: keep an undefined z undefined instead of clipping it
+        out.append(F.when(z.isNotNull(), F.least(F.greatest(z, F.lit(-Z_CLIP)), F.lit(Z_CLIP))).alias(f"z_{c}"))
+        flags.append(F.coalesce((F.abs(z) > Z_FLAG).cast("int"), F.lit(0)))  # undefined z: not flagged
         out.append(flags[-1].alias(f"zflag_{c}"))
     comp = flags[0]
     for f in flags[1:]:

@@ -34,6 +34,9 @@ def select_features(scores: DataFrame, keys: Sequence[str], top_n: int = TOP_N,
     at 9 decimals so that equal scores (up to summation noise) tie and are broken by
     name; one row per feature, so the ranking window runs on the catalog."""
     w = Window.orderBy(F.round(F.col(score), 9).desc(), F.col("feature"))
-    r = scores.select("feature", F.row_number().over(w).alias("mi_rank"),
+    r = scores.select("feature", F.col(score).alias("_s"), F.row_number().over(w).alias("mi_rank"),
                       must_keep(F.col("feature"), keys).alias("must_keep"))
-    return r.where((F.col("mi_rank") <= top_n) | F.col("must_keep"))
+    # threshold = score of the top_n-th feature (0 when there are fewer features)
+    thr = F.coalesce(F.max(F.when(F.col("mi_rank") == top_n, F.col("_s"))).over(Window.partitionBy()), F.lit(0.0))
+    r = r.withColumn("mi_threshold", F.round(thr, 6))
+    return r.where((F.col("mi_rank") <= top_n) | F.col("must_keep")).drop("_s")

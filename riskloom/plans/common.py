@@ -40,9 +40,9 @@ def sql_action_case(col: str, table: dict[str, str] = ACTIONS) -> str:
 
 
 def sql_score(prob: str, p1: str, p99: str) -> str:
+    raw = f"(({prob} - {p1}) / ({p99} - {p1} + 1e-9) * 1000.0)"
     return (
-        f"CAST(round_even(least(greatest(({prob} - {p1}) / ({p99} - {p1} + 1e-9) * 1000.0, 0.0), 1000.0), 0)"
-        " AS INTEGER)"
+        f"CASE WHEN {raw} IS NOT NULL THEN CAST(round_even(least(greatest({raw}, 0.0), 1000.0), 0) AS INTEGER) END"
     )
 
 

@@ -23,9 +23,9 @@ def _zcols(src_mu="p"):
     out, flags = [], []
     for c in Z_TARGETS:
         z = f"(({c} - {src_mu}.mu_{c}) / ({src_mu}.sd_{c} + 1e-9))"
-        out.append(f"round(least(greatest({z}, -10.0), 10.0), 6) AS z_{c}")
-        out.append(f"CAST(abs({z}) > 3.0 AS INTEGER) AS zflag_{c}")
-        flags.append(f"CAST(abs({z}) > 3.0 AS INTEGER)")
+        out.append(f"round(CASE WHEN {z} IS NOT NULL THEN least(greatest({z}, -10.0), 10.0) END, 6) AS z_{c}")
+        out.append(f"coalesce(CAST(abs({z}) > 3.0 AS INTEGER), 0) AS zflag_{c}")
+        flags.append(f"coalesce(CAST(abs({z}) > 3.0 AS INTEGER), 0)")
     out.append("(" + " + ".join(flags) + ") AS z_composite_score")
     return ", ".join(out)
 
@@ -117,10 +117,11 @@ def q_mi_binned(spark, sf_dir):
 
 
 @query("select_features", _chain(
-    f"""SELECT feature, CAST(mi_rank AS INTEGER) AS mi_rank, must_keep FROM (
-          SELECT feature, row_number() OVER (ORDER BY round(mi, 9) DESC, feature) AS mi_rank,
-                 {selection.sql_must_keep('feature', A.KEYS)} AS must_keep FROM mi)
-        WHERE mi_rank <= {selection.TOP_N_DEMO} OR must_keep""",
+    f"""SELECT feature, CAST(mi_rank AS INTEGER) AS mi_rank, must_keep,
+               round(coalesce(max(CASE WHEN mi_rank = {selection.TOP_N_DEMO} THEN mi END) OVER (), 0.0), 6) AS mi_threshold
+        FROM (SELECT feature, mi, row_number() OVER (ORDER BY round(mi, 9) DESC, feature) AS mi_rank,
+                     {selection.sql_must_keep('feature', A.KEYS)} AS must_keep FROM mi)
+        QUALIFY mi_rank <= {selection.TOP_N_DEMO} OR must_keep""",
     ("cl", A.sql_long("clean", MI_COLS)), ("mi", SQL_MI)))
 def q_select_features(spark, sf_dir):
     c = A.clean(spark, sf_dir)

@@ -83,3 +83,16 @@ def test_low_variance_and_missing_bins(spark):
     mp = profile.missing_profile(df, ["a", "b", "c"])
     bins = {r["label"]: r["n_features"] for r in profile.missing_bins(mp).collect()}
     assert bins["0% (complete)"] == 2 and bins["50-100%"] == 1 and bins["100% (empty)"] == 0
+
+
+def test_zscores_on_degenerate_columns(spark):
+    from riskloom.operators import fitted
+
+    rows = [(i, 5.0, (1.0 if i == 0 else None), float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "account_id long, const double, one double, x double")
+    z = fitted.zscores(df, ["const", "one", "x"]).orderBy("account_id").collect()
+    assert all(r["z_const"] == 0.0 and r["zflag_const"] == 0 for r in z)
+    assert all(r["z_one"] is None and r["zflag_one"] == 0 for r in z)
+    assert max(abs(r["z_x"]) for r in z) < 3 and sum(r["z_composite_score"] for r in z) == 0
+    fit_only_first = fitted.zscores(df, ["x"], fit_filter=F.col("account_id") < 5).orderBy("account_id").collect()
+    assert fit_only_first[9]["zflag_x"] == 1  # x = 9 is far outside the fitted rows (mean 2, sd 1.58)
