@@ -44,8 +44,8 @@ def q_tier_distribution(spark, sf_dir):
 @query("positive_score_summary", with_views(
     """SELECT count(*) AS n_positives, min(risk_score) AS min_score, max(risk_score) AS max_score,
               round(avg(risk_score), 6) AS mean_score, round(quantile_cont(risk_score, 0.5), 6) AS median_score,
-              count_if(risk_score >= 500) AS n_ge_500, round(count_if(risk_score >= 500) * 100.0 / count(*), 6) AS pct_ge_500,
-              count_if(risk_score >= 750) AS n_ge_750, round(count_if(risk_score >= 750) * 100.0 / count(*), 6) AS pct_ge_750
+              CAST(count_if(risk_score >= 500) AS BIGINT) AS n_ge_500, round(count_if(risk_score >= 500) * 100.0 / count(*), 6) AS pct_ge_500,
+              CAST(count_if(risk_score >= 750) AS BIGINT) AS n_ge_750, round(count_if(risk_score >= 750) * 100.0 / count(*), 6) AS pct_ge_750
        FROM tiered WHERE y = 1""",
     "scored_events", extra=_T))
 def q_positive_score_summary(spark, sf_dir):

@@ -34,10 +34,10 @@ SQL_BEST = f"""SELECT coalesce(max(t), CAST(0.5 AS DOUBLE)) AS threshold, coales
     SELECT t, f2 FROM (SELECT j, t, tp, fp, {sql_f(4.0)} AS f2 FROM thr) WHERE tp + fp > 0 AND f2 > 0
     ORDER BY f2 DESC, j ASC LIMIT 1)"""
 
-SQL_CONF = """SELECT b.threshold, count_if(s.prob >= b.threshold AND s.y = 1) AS tp,
-                     count_if(s.prob >= b.threshold AND s.y <> 1) AS fp,
-                     count_if(s.prob < b.threshold AND s.y = 1) AS fn,
-                     count_if(s.prob < b.threshold AND s.y <> 1) AS tn
+SQL_CONF = """SELECT b.threshold, CAST(count_if(s.prob >= b.threshold AND s.y = 1) AS BIGINT) AS tp,
+                     CAST(count_if(s.prob >= b.threshold AND s.y <> 1) AS BIGINT) AS fp,
+                     CAST(count_if(s.prob < b.threshold AND s.y = 1) AS BIGINT) AS fn,
+                     CAST(count_if(s.prob < b.threshold AND s.y <> 1) AS BIGINT) AS tn
               FROM scored s, best b GROUP BY b.threshold"""
 
 SQL_CURVE = """SELECT score, pos, neg, tp, fp, n_pos, n_neg, tp / (tp + fp) AS precision,

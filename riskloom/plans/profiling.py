@@ -25,7 +25,7 @@ def q_load_accounts(spark, sf_dir):
 
 
 @query("class_profile", _v(
-    """SELECT count(*) AS n_rows, count_if(y = 1) AS n_pos, count_if(y = 0) AS n_neg,
+    """SELECT count(*) AS n_rows, CAST(count_if(y = 1) AS BIGINT) AS n_pos, CAST(count_if(y = 0) AS BIGINT) AS n_neg,
               round(count_if(y = 0) / nullif(count_if(y = 1), 0), 6) AS imbalance,
               round(count_if(y = 1) / count(*), 6) AS pos_rate FROM acct_raw"""))
 def q_class_profile(spark, sf_dir):
@@ -113,7 +113,7 @@ def q_class_contrast(spark, sf_dir):
 
 @query("binary_feature_rates", _v(
     """SELECT feature, n_ones, round(rate, 6) AS rate, CAST(row_number() OVER (ORDER BY abs(rate) DESC, feature) AS INTEGER) AS rank
-       FROM (SELECT feature, count(DISTINCT value) AS n_distinct, count_if(value = 1) AS n_ones,
+       FROM (SELECT feature, count(DISTINCT value) AS n_distinct, CAST(count_if(value = 1) AS BIGINT) AS n_ones,
                     avg(CAST(y AS DOUBLE)) FILTER (WHERE value = 1) AS rate
              FROM raw_long GROUP BY feature) WHERE n_distinct = 2 AND n_ones > 10
        QUALIFY row_number() OVER (ORDER BY abs(rate) DESC, feature) <= 5""", SQL_LONG_NUM))

@@ -49,9 +49,9 @@ _MB = tuple(x for x in MBASE if x[0] != "scored")
 
 
 @query("kpi_row", _v(
-    """SELECT (SELECT count_if(tier = 'AUTO-FREEZE') FROM tiered) AS n_freeze,
-              (SELECT count_if(tier = 'INVESTIGATOR') FROM tiered) AS n_investigate,
-              (SELECT count_if(tier = 'WATCHLIST') FROM tiered) AS n_watch,
+    """SELECT (SELECT CAST(count_if(tier = 'AUTO-FREEZE') AS BIGINT) FROM tiered) AS n_freeze,
+              (SELECT CAST(count_if(tier = 'INVESTIGATOR') AS BIGINT) FROM tiered) AS n_investigate,
+              (SELECT CAST(count_if(tier = 'WATCHLIST') AS BIGINT) FROM tiered) AS n_watch,
               tp, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision FROM conf""", *_MB, ("conf", SQL_CONF)))
 def q_kpi_row(spark, sf_dir):
     return readside.kpi_row(common.tiered(spark, sf_dir), _conf(spark, sf_dir))

@@ -187,7 +187,7 @@ def q_interactions(spark, sf_dir):
 @query("quality_gate", _chain(
     """SELECT * FROM (VALUES ('no_nulls', (SELECT CAST(sum(""" + " + ".join(
         f"CAST({c} IS NULL AS INTEGER)" for c in A.PRE_IMPUTE_COLS) + """) AS BIGINT) FROM clean)),
-        ('label_domain', (SELECT count_if(y NOT IN (0, 1) OR y IS NULL) FROM clean)),
+        ('label_domain', (SELECT CAST(count_if(y NOT IN (0, 1) OR y IS NULL) AS BIGINT) FROM clean)),
         ('row_count', (SELECT abs(count(*) - count(y)) FROM clean)),
         ('string_columns', CAST(0 AS BIGINT)),
         ('named_leak_present', CAST(0 AS BIGINT))) t(check_name, violations)"""))
