@@ -42,7 +42,7 @@ def tier_distribution(tiered: DataFrame) -> DataFrame:
             "tier",
             "tier_rank",
             F.coalesce("n_accounts", F.lit(0)).cast("long").alias("n_accounts"),
-            F.round(F.coalesce("n_accounts", F.lit(0)) * 100.0 / F.col("n_total"), 6).alias("pct_accounts"),
+            F.round(F.try_divide(F.coalesce("n_accounts", F.lit(0)) * 100.0, F.col("n_total")), 6).alias("pct_accounts"),
             F.coalesce("n_positives", F.lit(0)).cast("long").alias("n_positives"),
         )
     )
@@ -64,7 +64,7 @@ def positive_score_summary(tiered: DataFrame) -> DataFrame:
         "n_positives", "min_score", "max_score", "mean_score",
         F.round("median_score", 6).alias("median_score"),
         "n_ge_500",
-        F.round(F.col("n_ge_500") * 100.0 / F.col("n_positives"), 6).alias("pct_ge_500"),
+        F.round(F.try_divide(F.col("n_ge_500") * 100.0, F.col("n_positives")), 6).alias("pct_ge_500"),
         "n_ge_750",
-        F.round(F.col("n_ge_750") * 100.0 / F.col("n_positives"), 6).alias("pct_ge_750"),
+        F.round(F.try_divide(F.col("n_ge_750") * 100.0, F.col("n_positives")), 6).alias("pct_ge_750"),
     )

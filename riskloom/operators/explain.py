@@ -48,7 +48,7 @@ def fit_linear_scorer(df: DataFrame, features: Sequence[str], label: str = "y",
     packed = st.agg(F.array_sort(F.collect_list(F.struct("pos", "mu", "sd", "w"))).alias("_p"))
     rate = fit.agg(F.avg(F.col(label).cast("double")).alias("_rate"))
     one = attach_params(packed, rate)
-    return one.select(F.log(F.col("_rate") / (1 - F.col("_rate"))).alias("intercept"),
+    return one.select(F.log(F.try_divide(F.col("_rate"), 1 - F.col("_rate"))).alias("intercept"),
                       F.transform("_p", lambda x: x["mu"]).alias("mu"),
                       F.transform("_p", lambda x: x["sd"]).alias("sd"),
                       F.transform("_p", lambda x: x["w"]).alias("w"))

@@ -94,3 +94,14 @@ def test_rank_with_hot_score_matches_window(spark):
     w = Window.orderBy(F.col("risk_score").desc(), seeded_hash("account_id"))
     chk = r.withColumn("ref", F.row_number().over(w))
     assert chk.where("rank != ref").count() == 0 and chk.count() == 3000
+
+
+def test_summaries_without_positives(spark):
+    from riskloom.operators import alerts
+
+    t = spark.createDataFrame([(1, 0, 0.2, 600, "WATCHLIST"), (2, 0, 0.1, 100, "MONITORED")],
+                              "account_id long, y int, prob double, risk_score int, tier string")
+    s = alerts.positive_score_summary(t).first()
+    assert s["n_positives"] == 0 and s["pct_ge_500"] is None and s["median_score"] is None
+    d = {r["tier"]: r["n_accounts"] for r in alerts.tier_distribution(t).collect()}
+    assert d == {"AUTO-FREEZE": 0, "INVESTIGATOR": 0, "WATCHLIST": 1, "MONITORED": 1}
