@@ -65,7 +65,7 @@ def _norm(v):
 
 @pytest.mark.parametrize("key", ["tier_distribution", "best_threshold", "average_precision", "roc_auc",
                                  "leakage_corr", "temporal_features", "row_stats", "zscores", "alert_cards",
-                                 "positives_ranked", "screen_batch", "mi_binned"])
+                                 "positives_ranked", "screen_batch", "mi_binned", "doc_encoded", "select_features"])
 def test_oracle_subset(spark, key):
     con = duckdb.connect()
     for t in TABLES:
