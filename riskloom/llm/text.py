@@ -122,3 +122,19 @@ def annotate(docs: DataFrame, text: str, schema: str, compute: Callable[[pa.Reco
             yield pa.RecordBatch.from_arrays(cols, names=[*kept, *made.names])
 
     return docs.select(*[docs[f"`{c}`"] for c in read]).mapInArrow(run, out)
+
+
+def parts(vocab: pa.Array, pattern: str) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The matches of ``pattern`` (RE2, one group) in each lower-cased word, which must cover the word:
+    (codes into the distinct parts, offsets of each word's codes, distinct parts)."""
+    spaced = pc.replace_substring_regex(pc.utf8_lower(vocab), pattern, r"\1 ")
+    lists = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(spaced))
+    flat = lists.flatten().dictionary_encode()
+    return flat.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64), flat.dictionary
+
+
+def of_words(words: Words, codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of whole texts in turn, and each text's start among them."""
+    size = np.diff(offsets)[words.codes]
+    out = codes[ragged(offsets[words.codes], size)]
+    return out, np.concatenate([[0], np.cumsum(segment_sums(size, words.starts))])
