@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, langid, packing, quality_rules, simhash
+from riskloom.llm import bpe, embed_dedup, langid, packing, quality_rules, simhash, substring, token_counts
 from riskloom.sources.tables import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.fit(docs), keep=["doc_id"])
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+OP6_SQL = None
+
+
+@query("op6_substring_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(read_table(spark, sf_dir, "documents"), digests=True)
+
+
+@query("op1_embedding_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
