@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, embed_dedup, langid, packing, quality_rules, simhash, substring, token_counts
+from riskloom.llm import bpe, embed_dedup, langid, packing, quality_model, quality_rules, simhash, substring, token_counts, toxicity
 from riskloom.sources.tables import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_model.classify(docs, quality_model.fit(docs), keep=["doc_id"])
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return scored.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
