@@ -10,26 +10,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import packing, simhash
+from riskloom.llm import langid, packing, quality_rules, simhash, substring
 from riskloom.session import cut_lineage
 from riskloom.sources.tables import read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Least closeness to the nearest language profile (clean texts of a learned language are far above it).
+LEAST_LANGUAGE_SCORE = 0.3
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rank-order profiles; texts without a letter or close to no learned language go."""
+    found = langid.identify(docs, langid.fit(docs), prefix="__")
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Base rules and the hashed n-gram ratio; documents that are not kept go."""
+    judged = quality_rules.rules(docs, read_table(spark, sf_dir, "labels"), prefix="__")
+    return judged.where("__kept").select(docs.columns)
+
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash over 4-word shingles, at most 4 differing bits: one document of each group stays."""
     return simhash.keep_first(docs, shingle=4, radius=4)
 
 
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that start in a document with a smaller id are cut from the text."""
+    out = substring.dedup(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing into sequences of 4096 tokens: one row per piece."""
     return packing.pack_documents(docs, capacity=4096)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_stage),
+    ("quality_rules", quality_stage),
     ("simhash_near_dedup", near_dedup_stage),
+    ("substring_dedup", substring_stage),
     ("best_fit_packing", packing_stage),
 ]
 

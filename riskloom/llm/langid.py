@@ -153,12 +153,12 @@ class Profiles:
         return names, scores
 
 
-def identify(docs: DataFrame, profiles: list[tuple[str, list[int]]], *, text: str = "text", keep: list[str] | None = None, size: int = SIZE) -> DataFrame:
-    """``keep`` columns with lang_pred and score of every text."""
+def identify(docs: DataFrame, profiles: list[tuple[str, list[int]]], *, text: str = "text", keep: list[str] | None = None, size: int = SIZE, prefix: str = "") -> DataFrame:
+    """``keep`` columns with lang_pred and score (their names after ``prefix``) of every text."""
     model = Profiles(profiles, size)
 
     def compute(part: pa.RecordBatch) -> dict:
         names, scores = model.predict(tx.plain(part.column(text)))
-        return {"lang_pred": pa.array(names, pa.string()), "score": scores}
+        return {f"{prefix}lang_pred": pa.array(names, pa.string()), f"{prefix}score": scores}
 
-    return tx.annotate(docs, text, "lang_pred string, score double", compute, keep)
+    return tx.annotate(docs, text, f"{prefix}lang_pred string, {prefix}score double", compute, keep)

@@ -142,8 +142,8 @@ def statistics(texts: pa.Array, words: tx.Words) -> dict[str, np.ndarray]:
     }
 
 
-def assess(docs: DataFrame, ratio: np.ndarray, *, text: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``keep`` columns with the statistics, base_failed, llr and kept of every document."""
+def assess(docs: DataFrame, ratio: np.ndarray, *, text: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
+    """``keep`` columns with the statistics, base_failed, llr and kept (names after ``prefix``) of every document."""
     buckets = len(ratio)
 
     def compute(part: pa.RecordBatch) -> dict:
@@ -153,13 +153,13 @@ def assess(docs: DataFrame, ratio: np.ndarray, *, text: str = "text", keep: list
         grams, starts = gram_buckets(words, tx.WordHashes(), buckets)
         out["llr"] = tx.segment_sums(ratio[grams], starts) / np.maximum(1, np.diff(starts))
         out["kept"] = ~out["base_failed"] & (out["llr"] >= threshold)
-        return out
+        return {prefix + k: v for k, v in out.items()}
 
-    schema = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-              "base_failed boolean, llr double, kept boolean")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    schema = ", ".join([*[f"{prefix}{c} bigint" for c in counts], f"{prefix}base_failed boolean, {prefix}llr double, {prefix}kept boolean"])
     return tx.annotate(docs, text, schema, compute, keep)
 
 
-def rules(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def rules(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """The whole operator: fit on all documents, then decide on every one."""
-    return assess(docs, fit(docs, trusted_ids(labels), doc_id=doc_id, text=text), text=text, keep=keep)
+    return assess(docs, fit(docs, trusted_ids(labels), doc_id=doc_id, text=text), text=text, keep=keep, prefix=prefix)
