@@ -139,8 +139,8 @@ def pack(items: DataFrame, capacity: int = 4096, slack: int = 2, items_per_task:
     bins = done[0]
     for more in done[1:]:
         bins = bins.unionByName(more)
-    numbered = bins.select(F.monotonically_increasing_id().alias("sequence_id"), F.explode("members").alias("m"))
-    return numbered.select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset")
+    numbered = bins.select(F.monotonically_increasing_id().alias("sequence_id"), "members")  # before the explode
+    return numbered.select("sequence_id", F.explode("members").alias("m")).select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", "sequence_id", "m.offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 4096, **options) -> DataFrame:
