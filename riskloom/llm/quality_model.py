@@ -1,7 +1,7 @@
 """Quality classifier by weak labels: heuristic labellers, expectation-maximisation, a hashed linear scorer.
 
 Labellers look at every document: symbols among the characters, table bars, upper-case letters, words that
-repeat the word before, repeated windows and lines, words of letters only, and common short words. Each
+repeat a word just before or are repeated by the next, repeated windows and lines, words of letters only, and common short words. Each
 calls a document good or bad by fixed limits, or abstains. Expectation-maximisation over the vote patterns
 of the whole corpus estimates their accuracies without any label. The posteriors label a bounded sample
 (``max_sample`` documents in hash order of the id), on which a logistic regression over hashed features is
@@ -28,7 +28,7 @@ from riskloom.llm import text as tx
 from riskloom.llm import weak
 
 MAX_SAMPLE, BUCKETS, THRESHOLD = 20_000, 1 << 16, 0.3
-VOTERS = 8
+VOTERS = 10
 
 
 def _share(flag: np.ndarray, words: tx.Words) -> np.ndarray:
@@ -42,11 +42,22 @@ def word_traits(words: tx.Words) -> dict[str, np.ndarray]:
     def match(pattern: str) -> np.ndarray:
         return pc.match_substring_regex(vocab, pattern).to_numpy(zero_copy_only=False)[codes]
 
-    again = np.zeros(len(codes), bool)
-    if len(codes):
-        again[1:] = (codes[1:] == codes[:-1]) & (words.doc[1:] == words.doc[:-1])
+    doc = words.doc
+    again, near = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+    for back in (1, 2, 3):
+        same = (codes[back:] == codes[:-back]) & (doc[back:] == doc[:-back])
+        near[back:] |= same
+        if back == 1:
+            again[1:] = same
     return {"symbol": match(r"[#*$%&|<>]"), "bar": match(r"^\|$"), "upper": match(r"^[^\pL]*\pLu[\pLu]+[^\pL]*$"), "shout": match(r"!!"),
-            "again": again, "letters": match(r"^\pL+[.,;:!?]?$"), "short": match(r"^\pL{1,4}[.,]?$")}
+            "again": again, "near": near, "letters": match(r"^\pL+[.,;:!?]?$"), "short": match(r"^\pL{1,4}[.,]?$")}
+
+
+def _followed(flag: np.ndarray, words: tx.Words) -> np.ndarray:
+    """Share of words whose next word has the flag."""
+    after = np.zeros(len(flag), bool)
+    after[:-1] = flag[1:]
+    return _share(after, words)
 
 
 def votes(texts: pa.Array, words: tx.Words, traits: dict[str, np.ndarray]) -> np.ndarray:
@@ -60,7 +71,7 @@ def votes(texts: pa.Array, words: tx.Words, traits: dict[str, np.ndarray]) -> np
 
     return np.column_stack([
         vote(share["symbol"], 0.2, 0.05), vote(share["bar"], 0.15, 0.02), vote(share["upper"] + share["shout"], 0.4, 0.1),
-        vote(share["again"], 0.25, 0.1), vote(repeats, 0.3, 0.1), vote(lines, 1.0, 0.3), vote(-share["letters"], -0.5, -0.8), vote(-share["short"], -0.02, -0.15)])
+        vote(share["again"], 0.25, 0.1), vote(share["near"], 0.4, 0.15), vote(_followed(traits["again"], words), 0.25, 0.1), vote(repeats, 0.3, 0.1), vote(lines, 1.0, 0.3), vote(-share["letters"], -0.5, -0.8), vote(-share["short"], -0.02, -0.15)])
 
 
 def feature_codes(words: tx.Words, traits: dict[str, np.ndarray], hashes: tx.WordHashes, buckets: int) -> tuple[np.ndarray, np.ndarray]:

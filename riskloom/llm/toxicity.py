@@ -195,7 +195,7 @@ class Model:
         run, starts, runs = langid.letter_runs(tx.Words(texts))
         doc, entry, n = self.lexicon.hits(run, starts, runs)
         odds = np.bincount(doc, weights=np.minimum(n, MOST) * self.weights[entry], minlength=len(texts)) + self.intercept
-        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        return np.where(np.isneginf(odds), 0.0, 1 / (1 + np.exp(-np.clip(odds, -500, 500))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_labelled: int = MAX_LABELLED) -> Model:

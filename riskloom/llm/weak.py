@@ -52,18 +52,21 @@ def conditional_correlation(votes: np.ndarray, counts: np.ndarray, positive: np.
             continue
         x = value - (w @ value) / w.sum()
         cov = (x * w[:, None]).T @ x / w.sum()
-        std = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-        total += share * cov / np.outer(std, std)
+        var = np.diag(cov)
+        some = var > 1e-4  # a voter that doesn't vary within a class has no correlation there
+        std = np.sqrt(np.where(some, var, 1.0))
+        total += share * np.where(np.outer(some, some), cov / np.outer(std, std), 0)
     np.fill_diagonal(total, 0)
     return np.where(total >= least, total, 0)
 
 
 def fit_label_model(votes: np.ndarray, counts: np.ndarray, start: np.ndarray, correlated: bool = False, rounds: int = 100, smoothing: float = 1.0) -> LabelModel:
     """votes: distinct patterns; counts: documents of each; start: first guess of P(positive) of each.
-    With ``correlated`` the rounds also estimate the voters' correlations within a class."""
-    n, m = votes.shape
+    With ``correlated`` the voters' correlations within a class are estimated from the first guess, rounded,
+    and their votes weigh less by them; estimated anew in each round, that would feed on itself."""
+    m = votes.shape[1]
     positive, model = start.astype(float), None
-    none = np.zeros((m, m))
+    correlation = conditional_correlation(votes, counts, (positive > 0.5).astype(float)) if correlated else np.zeros((m, m))
     for k in range(rounds):
         table = np.full((2, m, 3), smoothing)
         for c, w in enumerate((counts * (1 - positive), counts * positive)):
@@ -71,7 +74,7 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, start: np.ndarray, co
                 table[c, j] += np.bincount(votes[:, j], weights=w, minlength=3)
         table /= table.sum(axis=2, keepdims=True)
         prior = float(np.clip((counts @ positive) / max(counts.sum(), 1), 1e-4, 1 - 1e-4))
-        model = LabelModel(prior, table, conditional_correlation(votes, counts, positive) if correlated else none)
+        model = LabelModel(prior, table, correlation)
         new = model.posterior(votes)
         if k and np.abs(new - positive).max(initial=0) < 1e-6:
             break
