@@ -16,43 +16,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
+ROWS_PER_BUCKET = 250_000
 
 
-def _split(x: Column, bounds: list[float], descending: bool, lo: int = 0) -> Column:
-    """Balanced CASE tree: number of boundaries below x (above x when descending)."""
+def boundaries_below(x: Column, bounds: list[float]) -> Column:
+    """Number of the ascending ``bounds`` below x, by binary search in a literal array: the
+    expression stays small and takes log2(k) steps for any number of boundaries. NULL counts
+    none, NaN counts all (it sorts above every number)."""
     if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    b = F.lit(float(bounds[mid]))
-    go_right = (x < b) if descending else (x > b)
-    return F.when(go_right, _split(x, bounds[mid + 1:], descending, lo + mid + 1)).otherwise(
-        _split(x, bounds[:mid], descending, lo)
-    )
+        return F.lit(0)
+    n, step = len(bounds), 1
+    while step * 2 <= n:
+        step *= 2
+    steps = [step >> i for i in range(step.bit_length())]
+    arr = F.array(*[F.lit(float(b)) for b in bounds])
 
+    def go(at, s):
+        fits = (at + s <= n) & (F.get(arr, at + s - 1) < x)
+        return F.when(fits, at + s).otherwise(at)
 
-ROWS_PER_BUCKET = 250_000
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), go)
 
 
 def quantile_bucket(df: DataFrame, col: str, descending: bool = False, buckets: int | None = None,
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
-    """Bucket id monotone in ``col``. The bucket count follows the data (about
-    ``rows_per_bucket`` rows each, at most 4096); boundaries are approximate
-    quantiles of ``col`` (one small aggregation, k-1 values brought to the driver).
-    Small inputs get one bucket and no boundary job."""
+    """Bucket id monotone in ``col`` under Spark's order (ascending: NULL first, NaN last;
+    descending: the reverse). The bucket count follows the data (about ``rows_per_bucket`` rows
+    each, no upper limit); boundaries are approximate quantiles of ``col`` (one small
+    aggregation, k-1 values brought to the driver). One bucket needs no boundary job."""
     if buckets is None:
-        n = df.count()
-        buckets = int(min(MAX_BUCKETS, max(1, -(-n // rows_per_bucket))))
-    k = buckets
+        buckets = max(1, -(-df.count() // rows_per_bucket))
+    k = int(buckets)
     if k <= 1:
         return F.lit(0)
     probs = [i / k for i in range(1, k)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10_000).alias("b")).first()
-    bounds = sorted({float(v) for v in (row["b"] or []) if v is not None})
-    if descending:
-        bounds = sorted(bounds, reverse=True)
+    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, max(10_000, 4 * k)).alias("b")).first()
+    bounds = sorted({float(v) for v in (row["b"] or []) if v is not None and v == v})
     x = F.col(col).cast("double")
-    return _split(x, bounds, descending)
+    if not descending:
+        return boundaries_below(x, bounds)
+    found = boundaries_below(-x, sorted(-b for b in bounds))
+    return F.when(x.isNull(), F.lit(len(bounds))).when(F.isnan(x), F.lit(0)).otherwise(found)
 
 
 def hash_bucket(hex_col: str, digits: int = 3) -> Column:

@@ -16,10 +16,3 @@ def attach_params(df: DataFrame, params: DataFrame) -> DataFrame:
     left = df.withColumn(key, F.lit(1))
     right = F.broadcast(params.withColumn(key, F.lit(1)))
     return left.join(right, key).drop(key)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores before a CPU-heavy Python stage
-    when the input arrives in fewer partitions (e.g. one small file)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -48,18 +48,20 @@ def f_beta(tp, fp, fn, beta: float = BETA):
     return F.coalesce(F.try_divide(num, den), F.lit(0.0))
 
 
-def score_curve(scored: DataFrame, prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
+def score_curve(scored: DataFrame, prob: str = "prob", by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """One row per (group, distinct score), highest first: pos, neg, tp/fp at
-    threshold = score, group totals n_pos / n_neg, precision and recall."""
+    threshold = score, group totals n_pos / n_neg, precision and recall. Rows whose
+    score is NULL or NaN have no place on a curve and are left out of it and of its totals."""
+    from riskloom.session import cut_lineage
+
     by = list(by)
-    counts = scored.groupBy(*by, F.col(prob).alias("score")).agg(
+    counts = scored.where(F.col(prob).isNotNull() & ~F.isnan(prob)).groupBy(*by, F.col(prob).alias("score")).agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
     )
-    bucket = quantile_bucket(counts, "score", descending=True)
+    counts = cut_lineage(counts)  # counted, bucketed, summed and read: one row per distinct score
+    bucket = quantile_bucket(counts, "score", descending=True, buckets=buckets)
     run = running_totals(counts, [F.col("score").desc()], ["pos", "neg"], bucket, by=by)
-    totals = scored.groupBy(*by).agg(
-        F.count_if(F.col("y") == 1).alias("n_pos"), F.count_if(F.col("y") != 1).alias("n_neg")
-    )
+    totals = counts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     joined = run.join(F.broadcast(totals), by) if by else _attach(run, totals)
     return joined.select(
         *by, "score", "pos", "neg",
