@@ -1,14 +1,18 @@
-"""Exact path-dependent tree contributions (Lundberg, Erion & Lee 2018, Alg. 2)
-for Spark ML tree ensembles.
-
-The fitted trees (<= trees x 2^(depth+1) nodes, a bounded table) are read from the
-model once and shipped to the tasks; each Arrow batch of rows is explained inside
-``mapInPandas``. Contributions are in the model's margin units: for Spark GBT the
-probability is sigmoid(2 x margin), so log-odds contributions are twice these.
+"""Exact path-dependent tree contributions (Shapley values) for Spark ML tree ensembles.
+
+A leaf's value counts for a row in proportion to the conditions on its path that hold. With the
+path's distinct features as players, feature j has a share z_j of the training weight that passes its
+conditions, and o_j says whether the row passes them. The leaf gives feature i
+value * (o_i - z_i) * sum over subsets S of the other features of
+|S|! (D - |S| - 1)! / D! * prod(o in S) * prod(z outside S). As the o are 0 or 1, a leaf with D features
+has 2^D such vectors (D is at most the tree depth): they are tabulated once, and a batch of rows looks
+its patterns up with numpy. Contributions of a boosted classifier are in log-odds (twice Spark's margin).
 """
 
 from __future__ import annotations
 
+from math import factorial
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,85 +40,57 @@ def tree_table(tree_model) -> dict[str, np.ndarray]:
                                          ("threshold", thr), ("value", val), ("cover", cover))}
 
 
-def _extend(d, z, o, w, depth, zf, of, fi):
-    d[depth], z[depth], o[depth] = fi, zf, of
-    w[depth] = 1.0 if depth == 0 else 0.0
-    for i in range(depth - 1, -1, -1):
-        w[i + 1] += of * w[i] * (i + 1) / (depth + 1)
-        w[i] = zf * w[i] * (depth - i) / (depth + 1)
-
-
-def _unwind(d, z, o, w, depth, k):
-    of, zf = o[k], z[k]
-    nxt = w[depth]
-    for i in range(depth - 1, -1, -1):
-        if of != 0:
-            tmp = w[i]
-            w[i] = nxt * (depth + 1) / ((i + 1) * of)
-            nxt = tmp - w[i] * zf * (depth - i) / (depth + 1)
-        else:
-            w[i] = w[i] * (depth + 1) / (zf * (depth - i))
-    for i in range(k, depth):
-        d[i], z[i], o[i] = d[i + 1], z[i + 1], o[i + 1]
-
-
-def _unwound_sum(z, o, w, depth, k):
-    of, zf = o[k], z[k]
-    nxt = w[depth]
-    total = 0.0
-    for i in range(depth - 1, -1, -1):
-        if of != 0:
-            tmp = nxt * (depth + 1) / ((i + 1) * of)
-            total += tmp
-            nxt = w[i] - tmp * zf * (depth - i) / (depth + 1)
-        else:
-            total += w[i] / zf / ((depth - i) / (depth + 1))
-    return total
-
-
-def _as_lists(t: dict[str, np.ndarray]) -> tuple:
-    leaves = t["left"] < 0
-    depth, stack = 0, [(0, 0)]
+def leaf_tables(t: dict[str, np.ndarray]) -> list[tuple[np.ndarray, list[list[tuple[float, bool]]], np.ndarray]]:
+    """For each leaf below at least one split: (features, their conditions (threshold, goes left),
+    contributions [pattern, feature]). Bit j of a pattern says that feature j's conditions hold."""
+    out = []
+    stack: list[tuple[int, dict[int, tuple[float, list[tuple[float, bool]]]]]] = [(0, {})]
     while stack:
-        n, dp = stack.pop()
-        depth = max(depth, dp)
-        if t["left"][n] >= 0:
-            stack += [(int(t["left"][n]), dp + 1), (int(t["right"][n]), dp + 1)]
-    del leaves
-    return (t["left"].tolist(), t["right"].tolist(), t["feature"].tolist(), t["threshold"].tolist(),
-            t["value"].tolist(), t["cover"].tolist(), depth + 2)
-
-
-def tree_contributions(x, t, phi, scale: float = 1.0) -> None:
-    """Add one tree's contributions for row ``x`` into ``phi`` (length = features).
-    ``t`` is a tree table or its ``_as_lists`` form."""
-    left, right, feat, thr, val, cover, size = t if isinstance(t, tuple) else _as_lists(t)
-
-    def rec(node, parent, depth, zf, of, fi):
-        d, z, o, w = parent[0][:], parent[1][:], parent[2][:], parent[3][:]
-        _extend(d, z, o, w, depth, zf, of, fi)
-        if left[node] < 0:
-            v = val[node] * scale
-            for i in range(1, depth + 1):
-                phi[d[i]] += _unwound_sum(z, o, w, depth, i) * (o[i] - z[i]) * v
-            return
-        f = feat[node]
-        hot, cold = (left[node], right[node]) if x[f] <= thr[node] else (right[node], left[node])
-        iz, io = 1.0, 1.0
-        k = -1
-        for i in range(depth + 1):
-            if d[i] == f:
-                k = i
-                break
-        if k >= 0:
-            iz, io = z[k], o[k]
-            _unwind(d, z, o, w, depth, k)
-            depth -= 1
-        cur = (d, z, o, w)
-        rec(hot, cur, depth + 1, cover[hot] / cover[node] * iz, io, f)
-        rec(cold, cur, depth + 1, cover[cold] / cover[node] * iz, 0.0, f)
-
-    rec(0, ([-1] * size, [0.0] * size, [0.0] * size, [0.0] * size), 0, 1.0, 1.0, -1)
+        node, path = stack.pop()
+        if t["left"][node] >= 0:
+            f, cut = int(t["feature"][node]), float(t["threshold"][node])
+            for child, left in ((int(t["left"][node]), True), (int(t["right"][node]), False)):
+                share, held = path.get(f, (1.0, []))
+                step = float(t["cover"][child] / t["cover"][node])
+                stack.append((child, {**path, f: (share * step, [*held, (cut, left)])}))
+        elif path:
+            feats = np.array(list(path))
+            z = np.array([path[f][0] for f in feats.tolist()])
+            out.append((feats, [path[f][1] for f in feats.tolist()], float(t["value"][node]) * _pattern_weights(z)))
+    return out
+
+
+def _pattern_weights(z: np.ndarray) -> np.ndarray:
+    """[pattern, feature] contributions of a leaf of value 1."""
+    d = len(z)
+    o = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
+    size_weight = np.array([factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)])
+    out = np.empty_like(o)
+    for i in range(d):
+        by_size = np.zeros((len(o), d))  # coefficient of t^s in the product of (z_j + o_j t), j != i
+        by_size[:, 0] = 1.0
+        for j in range(d):
+            if j != i:
+                shifted = np.pad(by_size[:, :-1], ((0, 0), (1, 0)))
+                by_size = by_size * z[j] + shifted * o[:, j:j + 1]
+        out[:, i] = (o[:, i] - z[i]) * (by_size @ size_weight)
+    return out
+
+
+def add_contributions(x: np.ndarray, leaves: list, phi: np.ndarray, scale: float = 1.0) -> None:
+    """Add a tree's contributions for the rows of ``x`` into ``phi`` (both rows x features)."""
+    passes: dict[tuple[int, float], np.ndarray] = {}
+    for feats, conditions, table in leaves:
+        code = np.zeros(len(x), dtype=np.int64)
+        for j, (f, held) in enumerate(zip(feats.tolist(), conditions, strict=True)):
+            ok = np.ones(len(x), bool)
+            for cut, left in held:
+                below = passes.get((f, cut))
+                if below is None:
+                    below = passes[f, cut] = x[:, f] <= cut
+                ok &= below if left else ~below
+            code |= ok.astype(np.int64) << j
+        phi[:, feats] += scale * table[code]
 
 
 def expected_value(t: dict[str, np.ndarray]) -> float:
@@ -127,33 +103,26 @@ def gbt_tables(model) -> tuple[list[dict[str, np.ndarray]], list[float]]:
 
 
 def tree_shap(df: DataFrame, model, col: str = "features", names: list[str] | None = None,
-              id_col: str = "account_id") -> DataFrame:
-    """``(account_id, feature, shap, base)`` in margin units for every row and every
-    feature with a non-zero contribution; sum(shap) + base = margin."""
+              id_col: str = "account_id", unit: float = 2.0) -> DataFrame:
+    """``(account_id, feature, shap, base)`` for every row and every feature, zeros included;
+    sum(shap) + base = ``unit`` x margin, which for Spark's boosted classifier is the log-odds."""
     trees, weights = gbt_tables(model)
-    base = float(sum(w * expected_value(t) for t, w in zip(trees, weights)))
+    base = unit * float(sum(w * expected_value(t) for t, w in zip(trees, weights, strict=True)))
     n_feat = model.numFeatures
-    labels = names or [f"f{i}" for i in range(n_feat)]
-
-    packed = [_as_lists(t) for t in trees]
+    labels = np.array(names or [f"f{i}" for i in range(n_feat)], dtype=object)
+    packed = [leaf_tables(t) for t in trees]  # trees x leaves, a bounded table
 
     def explain(batches):
-        for pdf in batches:
-            ids, feats, shaps = [], [], []
-            for rid, x in zip(pdf[id_col], pdf[col]):
-                xv = [float(a) for a in x]
-                phi_l = [0.0] * n_feat
-                for t, w in zip(packed, weights):
-                    tree_contributions(xv, t, phi_l, w)
-                phi = np.array(phi_l)
-                nz = np.flatnonzero(phi)
-                ids += [rid] * len(nz)
-                feats += [labels[i] for i in nz]
-                shaps += phi[nz].tolist()
-            yield pd.DataFrame({id_col: ids, "feature": feats, "shap": shaps, "base": base})
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                pdf = whole.iloc[at:at + 1000]
+                x = np.array(pdf[col].tolist(), dtype=float).reshape(len(pdf), -1)
+                phi = np.zeros((len(pdf), n_feat))
+                for leaves, w in zip(packed, weights, strict=True):
+                    add_contributions(x, leaves, phi, w * unit)
+                yield pd.DataFrame({id_col: np.repeat(pdf[id_col].to_numpy(), n_feat), "feature": np.tile(labels, len(pdf)),
+                                    "shap": phi.ravel(), "base": base})
 
     schema = f"{id_col} long, feature string, shap double, base double"
-    from riskloom.functions.params import spread
-
-    rows = spread(df.select(id_col, F.col(col).cast("array<double>").alias(col)))
+    rows = df.select(id_col, F.col(col).cast("array<double>").alias(col))
     return rows.mapInPandas(explain, schema)

@@ -59,17 +59,20 @@ def test_tree_contributions_equal_exact_shapley():
     for _ in range(20):
         m = int(rng.integers(2, 6))
         t = random_tree(rng, m, int(rng.integers(1, 5)))
-        x = rng.normal(size=m)
-        phi = [0.0] * m
-        treeshap.tree_contributions(list(x), t, phi)
-        assert np.allclose(phi, shapley_brute(t, x, m), atol=1e-10)
-        assert sum(phi) + treeshap.expected_value(t) == pytest.approx(cond_expectation(t, x, set(range(m))))
+        x = rng.normal(size=(6, m))
+        phi = np.zeros((6, m))
+        treeshap.add_contributions(x, treeshap.leaf_tables(t), phi)
+        for row, got in zip(x, phi, strict=True):
+            assert np.allclose(got, shapley_brute(t, row, m), atol=1e-10)
+            assert got.sum() + treeshap.expected_value(t) == pytest.approx(cond_expectation(t, row, set(range(m))))
 
 
-def test_gbt_contributions_sum_to_margin(spark):
+def test_gbt_contributions_sum_to_log_odds(spark):
     v = fixture(spark, SF, "vec_accounts").withColumn("vec", array_to_vector(F.col("features").cast("array<double>")))
     m = GBTClassifier(featuresCol="vec", labelCol="y", maxDepth=4, maxIter=8, seed=1).fit(v)
-    c = treeshap.tree_shap(v, m).groupBy("account_id").agg(F.sum("shap").alias("s"), F.first("base").alias("b"))
+    long = treeshap.tree_shap(v, m)
+    assert long.count() == v.count() * m.numFeatures
+    c = long.groupBy("account_id").agg(F.sum("shap").alias("s"), F.first("base").alias("b"))
     p = m.transform(v).select("account_id", vector_to_array("rawPrediction")[1].alias("margin"))
     j = c.join(p, "account_id").toPandas()
-    assert len(j) == v.count() and np.abs(j.s + j.b - j.margin).max() < 1e-9
+    assert len(j) == v.count() and np.abs(j.s + j.b - 2 * j.margin).max() < 1e-9
