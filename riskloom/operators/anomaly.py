@@ -130,9 +130,8 @@ def isolation_scores(df: DataFrame, nodes: DataFrame, psi: int, col: str = "feat
             h = _path_lengths(X, nd) if len(pdf) else np.zeros(0)
             yield pd.DataFrame({id_col: pdf[id_col], "if_score": -np.power(2.0, -h / c)})
 
-    from riskloom.functions.params import spread
 
-    return spread(df.select(id_col, F.col(col).cast("array<double>").alias(col))).mapInPandas(score, schema)
+    return df.select(id_col, F.col(col).cast("array<double>").alias(col)).mapInPandas(score, schema)
 
 
 def isolation_forest(df: DataFrame, col: str = "features", label: str = "y", fit_filter: Column | None = None,
@@ -235,7 +234,6 @@ def fold_isolation_forest(df: DataFrame, k: int = 5, col: str = "features", labe
     nodes = picked.groupBy("forest", "tree").applyInPandas(grow, NODE_SCHEMA + ", forest int").toPandas()
     c = {i: float(avg_path_length([psi[i]])[0]) or 1.0 for i in range(k)}
     by_forest = {i: tree_arrays(g) for i, g in nodes.groupby("forest")}
-    from riskloom.functions.params import spread
 
     def score(batches):
         for pdf in batches:
@@ -249,7 +247,7 @@ def fold_isolation_forest(df: DataFrame, k: int = 5, col: str = "features", labe
     schema = f"{id_col} long, {fold_col} int, " + ", ".join(f"s{i} double" for i in range(k))
     from riskloom.session import cut_lineage
 
-    scored = cut_lineage(spread(df.select(id_col, fold_col, F.col(col).cast("array<double>").alias(col)))
+    scored = cut_lineage(df.select(id_col, fold_col, F.col(col).cast("array<double>").alias(col))
                          .mapInPandas(score, schema))  # offsets and output both read the scores
     long = scored.select(id_col, fold_col, F.explode(F.array(*[
         F.struct(F.lit(i).alias("forest"), F.col(f"s{i}").alias("s")) for i in range(k)])).alias("e")) \

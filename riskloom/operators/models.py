@@ -6,7 +6,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -24,23 +30,26 @@ def with_vector(df: DataFrame, features: str | Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="vec", handleInvalid="keep").transform(df)
 
 
-def members(fast: bool = False, final: bool = False) -> dict[str, tuple[str, object]]:
+#: Rounds at most of the boosted member (early stopping on an inner split ends them), trees of the
+#: forest, iterations at most of the linear member.
+BOOST_ROUNDS, FOREST_TREES, LINEAR_ROUNDS = 800, 200, 600
+
+
+def members() -> dict[str, tuple[str, object]]:
     """name -> (weighting, estimator). Three learners with different biases:
     boosted trees (ratio weights, early stopping on an inner split), a random
     forest (balanced weights) and an elastic-net logistic regression on
     standardised features (balanced weights)."""
-    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.1 if fast else 0.05,
-                        maxIter=20 if fast else 200, subsamplingRate=0.8, minInstancesPerNode=3,
-                        featureSubsetStrategy="0.7", seed=SEED)
-    if not final:  # early stopping on the inner split; the final refit uses every row
-        gbt.setValidationIndicatorCol("is_val")
-    rf = RandomForestClassifier(featuresCol="vec", labelCol="y", weightCol="w", numTrees=40 if fast else 200,
+    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.05,
+                        maxIter=BOOST_ROUNDS, subsamplingRate=0.8, minInstancesPerNode=3, checkpointInterval=20,
+                        featureSubsetStrategy="0.7", validationIndicatorCol="is_val", validationTol=0.005, seed=SEED)
+    rf = RandomForestClassifier(featuresCol="vec", labelCol="y", weightCol="w", numTrees=FOREST_TREES,
                                 maxDepth=6, minInstancesPerNode=5, featureSubsetStrategy="0.7",
                                 subsamplingRate=0.8, seed=SEED)
     lr = Pipeline(stages=[
         StandardScaler(inputCol="vec", outputCol="vec_std", withMean=True, withStd=True),
         LogisticRegression(featuresCol="vec_std", labelCol="y", weightCol="w", regParam=0.01,
-                           elasticNetParam=0.5, maxIter=50 if fast else 200),
+                           elasticNetParam=0.5, maxIter=LINEAR_ROUNDS),
     ])
     return {"gbt": ("ratio", gbt), "rf": ("balanced", rf), "lr": ("balanced", lr)}
 
@@ -55,14 +64,14 @@ def positive_prob(pred: DataFrame) -> F.Column:
     return vector_to_array("probability")[1]
 
 
-def oof_scores(df: DataFrame, k: int = 5, fast: bool = False, parallelism: int = 4) -> DataFrame:
+def oof_scores(df: DataFrame, k: int = 5, parallelism: int = 4) -> DataFrame:
     """``(account_id, y, fold, member, prob)``: every row scored by the models that
     did not see its fold. ``df`` has account_id, y, fold, vec. The k x members fits
     are independent distributed jobs; like ``CrossValidator(parallelism=...)`` they
     are submitted from a small driver thread pool so the cluster stays busy."""
     from concurrent.futures import ThreadPoolExecutor
 
-    jobs = [(name, weighting, est, i) for name, (weighting, est) in members(fast).items() for i in range(k)]
+    jobs = [(name, weighting, est, i) for name, (weighting, est) in members().items() for i in range(k)]
 
     def run(job):
         name, weighting, est, i = job
@@ -78,13 +87,10 @@ def oof_scores(df: DataFrame, k: int = 5, fast: bool = False, parallelism: int =
     return out
 
 
-def fit_final(df: DataFrame, fast: bool = False) -> dict[str, object]:
-    """Each member refitted on all rows (no early-stopping split for the trees)."""
-    out = {}
-    for name, (weighting, est) in members(fast, final=True).items():
-        t = class_weights(df, mode=weighting)
-        out[name] = est.fit(t)
-    return out
+def fit_final(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, object]:
+    """Each member (or those of ``names``) fitted on all folds. The boosted member keeps its inner
+    early-stopping split, so that its number of rounds suits the data instead of being fixed."""
+    return {name: est.fit(_prepare(df, weighting)) for name, (weighting, est) in members().items() if names is None or name in names}
 
 
 def save_models(models: dict[str, object], path: str) -> None:
@@ -92,6 +98,20 @@ def save_models(models: dict[str, object], path: str) -> None:
         m.write().overwrite().save(f"{path}/{name}")
 
 
+def load_models(path: str, names: Sequence[str] = ("gbt", "rf", "lr")) -> dict[str, object]:
+    kinds = {"gbt": GBTClassificationModel, "rf": RandomForestClassificationModel, "lr": PipelineModel}
+    return {name: kinds[name].load(f"{path}/{name}") for name in names}
+
+
+def score_members(df: DataFrame, models: dict[str, object], keep: Sequence[str] = ("account_id", "y")) -> DataFrame:
+    """``keep`` columns and one probability column per member, in one pass over ``df``."""
+    out = df.select(*keep, "vec")
+    for name, m in models.items():
+        p = m.transform(out)
+        out = p.select(*out.columns, positive_prob(p).alias(name))
+    return out.drop("vec")
+
+
 def importances(models: dict[str, object], names: Sequence[str], spark) -> DataFrame:
     """``(member, feature, importance)`` for the tree members (split-gain based),
     |coefficient| for the linear member, joined to feature names."""

@@ -25,7 +25,7 @@ def _vec(spark, sf_dir):
 def _oof(spark, sf_dir):
     from riskloom.sources.artifacts import materialized
 
-    return materialized(spark, "oof_scores", sf_dir, lambda: models.oof_scores(_vec(spark, sf_dir), fast=True))
+    return materialized(spark, "oof_scores", sf_dir, lambda: models.oof_scores(_vec(spark, sf_dir)))
 
 
 @query("model_oof")
@@ -44,28 +44,37 @@ def q_model_blend(spark, sf_dir):
     return metrics.metric_record(b.select("account_id", "y", "prob")).select("metric", round6("value").alias("value"))
 
 
+_FINAL: dict[tuple[str, str], str] = {}
+
+
+def _final(spark, sf_dir):
+    """The members fitted on all rows: saved on first use, loaded by every later one."""
+    from riskloom.sources.artifacts import artifact_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = artifact_path(spark, "final_members", sf_dir)
+    if key not in _FINAL:
+        models.save_models(models.fit_final(_vec(spark, sf_dir)), path)
+        _FINAL[key] = path
+    return models.load_models(path)
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
     """Final fit on all rows; importances per member, strongest first."""
-    v = _vec(spark, sf_dir)
-    dim = len(fixture(spark, sf_dir, "vec_accounts").select("features").first()[0])
-    fm = models.fit_final(v, fast=True)
-    names = [f"e{i}" for i in range(dim)]
-    imp = models.importances(fm, names, spark)
+    fitted = _final(spark, sf_dir)
+    names = [f"e{i}" for i in range(fitted["gbt"].numFeatures)]
+    imp = models.importances(fitted, names, spark)
     return imp.select("member", "feature", round6("importance").alias("importance"))
 
 
 @query("tree_contrib")
 def q_tree_contrib(spark, sf_dir):
-    """Exact tree contributions of the boosted-tree member (margin units), per
-    account and feature; the tests check sum + base = margin."""
-    from pyspark.ml.classification import GBTClassifier
-
+    """Exact tree contributions of the boosted-tree member (log-odds), per account and
+    feature; the tests check sum + base = log-odds."""
     from riskloom.operators import treeshap
 
-    v = _vec(spark, sf_dir)
-    gbt = GBTClassifier(featuresCol="vec", labelCol="y", maxDepth=5, maxIter=20, stepSize=0.1, seed=models.SEED)
-    m = gbt.fit(v)
+    m = _final(spark, sf_dir)["gbt"]
     feats = fixture(spark, sf_dir, "vec_accounts").select("account_id", "features")
     c = treeshap.tree_shap(feats, m, "features", [f"e{i}" for i in range(m.numFeatures)])
     return c.select("account_id", "feature", round6("shap").alias("shap"), round6("base").alias("base"))

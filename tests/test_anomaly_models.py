@@ -53,7 +53,7 @@ def test_fold_statistics_ignore_held_out_rows(spark):
 def test_oof_each_row_once_per_member(spark):
     v = _vec(spark)
     f = folds.stratified_folds(v.select("account_id", "y", "features"))
-    oof = models.oof_scores(models.with_vector(f, "features").select("account_id", "y", "fold", "vec"), fast=True)
+    oof = models.oof_scores(models.with_vector(f, "features").select("account_id", "y", "fold", "vec"))
     c = oof.groupBy("member", "account_id").count()
     assert c.where("count != 1").count() == 0
     assert c.select("account_id").distinct().count() == v.count()
