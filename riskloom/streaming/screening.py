@@ -2,9 +2,10 @@
 
 Requests land as parquet files in a landing folder; a file-source stream applies
 the batch screening transform to each micro-batch inside ``foreachBatch`` and
-appends the responses, tagged with the batch id, to a parquet sink. The transform
+writes the responses to the batch's own folder of the parquet sink. The transform
 is stateless (no watermark needed); fitted tables are small and attached per batch.
-The checkpoint location gives exactly-once appends across restarts.
+A batch that is run again after a restart overwrites its folder, so the sink holds
+every response once although ``foreachBatch`` itself is at-least-once.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.operators import screen
 from riskloom.session import checkpoint_dir
@@ -21,13 +21,17 @@ from riskloom.session import checkpoint_dir
 
 def start_screen_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, medians: DataFrame,
                         scorer_params: DataFrame, calibration: DataFrame, features: list[str],
-                        typology_attrs: dict[str, str], schema, available_now: bool = True):
+                        typology_attrs: dict[str, str], schema, available_now: bool = True,
+                        files_per_batch: int | None = None):
     """Start the stream; returns the StreamingQuery."""
-    stream = spark.readStream.schema(schema).parquet(landing)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(landing)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = screen.screen_requests(batch, medians, scorer_params, calibration, features, typology_attrs)
-        out.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        out.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -35,13 +39,13 @@ def start_screen_stream(spark: SparkSession, landing: str, sink: str, checkpoint
 
 
 def run_screen_stream(spark: SparkSession, requests: DataFrame, medians: DataFrame, scorer_params: DataFrame,
-                      calibration: DataFrame, features: list[str], typology_attrs: dict[str, str]) -> DataFrame:
-    """Land ``requests`` as files, drain them through the stream, return the sink."""
+                      calibration: DataFrame, features: list[str], typology_attrs: dict[str, str], batches: int = 3) -> DataFrame:
+    """Land ``requests`` as ``batches`` files, drain them through as many micro-batches, return the sink."""
     base = os.path.join(checkpoint_dir(spark), "screen-stream", uuid.uuid4().hex)
     landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "checkpoint"))
-    requests.write.parquet(landing)
+    requests.repartition(batches).write.parquet(landing)
     schema = spark.read.parquet(landing).schema
     q = start_screen_stream(spark, landing, sink, ckpt, medians, scorer_params, calibration, features,
-                            typology_attrs, schema)
+                            typology_attrs, schema, files_per_batch=1)
     q.awaitTermination()
     return spark.read.parquet(sink).drop("batch_id")
