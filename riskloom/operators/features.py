@@ -30,10 +30,11 @@ def add_temporal(df: DataFrame, date_col: str, ref_date: _dt.date) -> DataFrame:
     return df.select(*[c for c in df.columns if c != date_col], *[v.alias(k) for k, v in cols.items()])
 
 
-def miss_flag_columns(null_fracs: Mapping[str, float], present: Sequence[str]) -> list[str]:
-    """Columns (in column order) with 0.10 < null fraction < 1, first 300."""
+def miss_flag_columns(null_fracs: Mapping[str, float], present: Sequence[str], cap: int | None = MISS_FLAG_CAP) -> list[str]:
+    """Columns (in column order) with 0.10 < null fraction < 1: the first ``cap`` of them
+    (None: all). The cap is the data model's own limit on flag columns."""
     keep = [c for c in present if c in null_fracs and MISS_FLAG_MIN < null_fracs[c] < 1.0]
-    return keep[:MISS_FLAG_CAP]
+    return keep[:cap]
 
 
 def row_meta_columns(columns: Sequence[str]) -> dict[str, Column]:
@@ -75,10 +76,11 @@ def row_stat_columns(columns: Sequence[str]) -> dict[str, Column]:
     n = F.lit(float(len(columns)))
     mean = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / n
 
-    def central(k):
-        return F.aggregate(arr, F.lit(0.0), lambda a, x: a + F.pow(x - mean, k))
-
-    s2, s3, s4 = central(2), central(3), central(4)
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("s2", "s3", "s4")])
+    # the mean is bound once per row, so the three sums are one pass over the row's values
+    sums = F.transform(F.array(mean), lambda m: F.aggregate(arr, zero, lambda a, x: F.struct(
+        *[(a[f"s{k}"] + F.pow(x - m, F.lit(float(k)))).alias(f"s{k}") for k in (2, 3, 4)])))[0]
+    s2, s3, s4 = sums["s2"], sums["s3"], sums["s4"]
     nn = float(len(columns))
     skew = F.when(F.lit(nn) < 3, F.lit(None)).when(s2 == 0, F.lit(0.0)).otherwise(
         F.lit(nn * (nn - 1) ** 0.5 / (nn - 2) if nn > 2 else 0.0) * s3 / F.pow(s2, 1.5))
@@ -163,7 +165,9 @@ def clean_accounts(raw: DataFrame, date_col: str | None, ref_date: _dt.date,
     plan = sorted(plan, key=lambda r: df.columns.index(r["feature"]))
     df = encode.apply_encodings(df, plan, manual)
     log["encoded"] = [(r["feature"], r["encoding"]) for r in plan]
-    flags = miss_flag_columns(mp, [c for c in df.columns if c not in ("account_id", label)])
+    candidates = [c for c in df.columns if c not in ("account_id", label)]
+    flags = miss_flag_columns(mp, candidates)
+    log["miss_flags_left_out"] = miss_flag_columns(mp, candidates, cap=None)[len(flags):]
     num_now = [c for c in df.columns if c not in ("account_id", label)]
     meta = row_meta_columns(num_now)
     df = df.select(*df.columns, *[v.alias(k) for k, v in meta.items()],

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 # miss_flag_ columns must earn their rank.
 TOP_N = 300
 MUST_KEEP_PREFIXES = ("beh_", "iforest_", "ae_", "z_composite", "feat_", "meta_", "int_")
-# The fixture table has ~30 columns; its query keeps the top 10 so the rank matters.
-TOP_N_DEMO = 10
 
 
 def must_keep(feature: Column, keys: Sequence[str]) -> Column:

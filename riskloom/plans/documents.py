@@ -18,6 +18,11 @@ def _docs(spark, sf_dir):
     return fixture(spark, sf_dir, "doc_accounts")
 
 
+def _labelled(spark, sf_dir):
+    """The documents that have a label: class statistics need it, encodings don't."""
+    return _docs(spark, sf_dir).where("y IS NOT NULL")
+
+
 def _v(body, *extra):
     return with_views(body, "doc_accounts", extra=tuple(extra))
 
@@ -46,7 +51,7 @@ def q_doc_encoded(spark, sf_dir):
     return encode.apply_encodings(d, plan, {}).select("account_id", "s_lang", "s_source")
 
 
-_LONG = " UNION ALL ".join(f"SELECT account_id, y, '{c}' AS feature, {c} AS value FROM doc_accounts" for c in DOC_NUMERIC)
+_LONG = " UNION ALL ".join(f"SELECT account_id, y, '{c}' AS feature, {c} AS value FROM doc_accounts WHERE y IS NOT NULL" for c in DOC_NUMERIC)
 
 
 @query("doc_class_contrast", _v(
@@ -56,7 +61,7 @@ _LONG = " UNION ALL ".join(f"SELECT account_id, y, '{c}' AS feature, {c} AS valu
               round(CASE WHEN count(value) >= 3 AND var_pop(value) > 0 THEN skewness(value) END, 6) AS skew
        FROM dl GROUP BY feature""", ("dl", _LONG)))
 def q_doc_class_contrast(spark, sf_dir):
-    c = profile.class_contrast(_docs(spark, sf_dir), list(DOC_NUMERIC))
+    c = profile.class_contrast(_labelled(spark, sf_dir), list(DOC_NUMERIC))
     return c.select("feature", *[round6(x).alias(x) for x in ("mean_pos", "mean_neg", "ratio", "skew")])
 
 
@@ -70,5 +75,5 @@ def q_doc_class_contrast(spark, sf_dir):
              ON l.feature = r.feature GROUP BY 1, 2, 3))
        GROUP BY feature""", ("dl", _LONG)))
 def q_doc_mi_binned(spark, sf_dir):
-    m = fitted.mi_binned(to_long(_docs(spark, sf_dir), list(DOC_NUMERIC)))
+    m = fitted.mi_binned(to_long(_labelled(spark, sf_dir), list(DOC_NUMERIC)))
     return m.select("feature", round6("mi").alias("mi"))

@@ -13,6 +13,8 @@ from riskloom.plans.registry import query
 from riskloom.plans.rowfeatures import SQL_ROW_STATS
 from riskloom.sources.fixtures import fixture, with_views
 
+#: The account fixture has about 30 columns, so its query ranks with this parameter instead of 300.
+TOP_N = 10
 Z_TARGETS = A.KEYS + ("beh_row_mean", "beh_row_std", "meta_missing_ratio")
 SQL_ZT = ("SELECT c.*, rs.beh_row_mean, rs.beh_row_std, rs.beh_row_skew, rs.beh_row_kurt, rs.beh_row_max, "
           "rs.beh_row_min, rs.beh_row_range, rs.beh_row_q75_q25 FROM clean c JOIN rs ON c.account_id = rs.account_id")
@@ -118,12 +120,12 @@ def q_mi_binned(spark, sf_dir):
 
 @query("select_features", _chain(
     f"""SELECT feature, CAST(mi_rank AS INTEGER) AS mi_rank, must_keep,
-               round(coalesce(max(CASE WHEN mi_rank = {selection.TOP_N_DEMO} THEN mi END) OVER (), 0.0), 6) AS mi_threshold
+               round(coalesce(max(CASE WHEN mi_rank = {TOP_N} THEN mi END) OVER (), 0.0), 6) AS mi_threshold
         FROM (SELECT feature, mi, row_number() OVER (ORDER BY round(mi, 9) DESC, feature) AS mi_rank,
                      {selection.sql_must_keep('feature', A.KEYS)} AS must_keep FROM mi)
-        QUALIFY mi_rank <= {selection.TOP_N_DEMO} OR must_keep""",
+        QUALIFY mi_rank <= {TOP_N} OR must_keep""",
     ("cl", A.sql_long("clean", MI_COLS)), ("mi", SQL_MI)))
 def q_select_features(spark, sf_dir):
     c = A.clean(spark, sf_dir)
     m = fitted.mi_binned(to_long(c, list(MI_COLS)))
-    return selection.select_features(m, A.KEYS, top_n=selection.TOP_N_DEMO)
+    return selection.select_features(m, A.KEYS, top_n=TOP_N)

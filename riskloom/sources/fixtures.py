@@ -60,7 +60,7 @@ DOC_ACCOUNTS = """
 SELECT d.doc_id AS account_id, l.toxic AS y, CAST(d.n_chars AS DOUBLE) AS f_chars,
        CAST(length(d.text) - length(replace(d.text, ' ', '')) AS DOUBLE) AS f_spaces,
        d.lang AS s_lang, d.source AS s_source
-FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
+FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 """
 
 VIEWS = {
