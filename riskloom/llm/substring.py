@@ -10,6 +10,9 @@ truncated suffix tree of its group from the words themselves: nodes at depth 1,
 sequences below them, and the nodes at depth 50 with several suffixes are the repeats. The smallest
 document below such a node keeps its words; all other suffixes below it are removed.
 
+Exact copies stay out of the trees: of equal texts only the one with the smallest id takes part, and the
+others lose every window.
+
 An anchor with more than ``group`` documents is split by a longer prefix, the whole window: its
 windows are then named by 128-bit fingerprints, and each one's smallest document is found by a
 partial minimum and a join, so that no group grows with the data.
@@ -242,21 +245,32 @@ def crowded(listed: DataFrame, window: int, anchor: int) -> DataFrame:
     return hit.select("doc_id", "rk", "start", (F.col("start") + 1).alias("stop"))
 
 
+def copies(source: DataFrame) -> DataFrame:
+    """(doc_id, rk) of the rows whose text, by 124 bits of two hashes, also belongs to a smaller id."""
+    second = F.conv(F.substring(F.md5(F.col("text").cast("binary")), 1, 15), 16, 10).cast("bigint")
+    named = cut_lineage(source.where("doc_id is not null and text is not null").select("doc_id", "rk", second.alias("rk2")))
+    first = named.groupBy("rk", "rk2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return named.join(first, ["rk", "rk2"]).where("doc_id > first").select("doc_id", "rk").distinct()
+
+
 def repeated_spans(source: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, group: int = GROUP) -> DataFrame:
-    """(doc_id, rk, start, stop) of every repeated window that is to go."""
+    """(doc_id, rk, start, stop) of every repeated window that is to go (stop may lie behind the text)."""
+    again = cut_lineage(copies(source))
     own = cut_lineage(anchors(source, window, anchor))
-    shared = own.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("rk").alias("n")).where("x < y")
+    shared = own.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.min("rk").alias("a"), F.max("rk").alias("b"),
+                                       F.count("rk").alias("n")).where("x < y and a < b")
     lists = own.join(shared.select("anchor", (F.col("n") > group).alias("many")), "anchor").groupBy("doc_id", "rk").agg(
         F.collect_list(F.when(~F.col("many"), F.col("anchor"))).alias("few"),
         F.collect_list(F.when(F.col("many"), F.col("anchor"))).alias("many"))
-    lists = cut_lineage(lists)
+    lists = cut_lineage(lists.join(again, ["doc_id", "rk"], "left_anti"))
     total, many = lists.agg(F.sum(F.size("few")), F.sum(F.size("many"))).first()
     rows = source.join(lists, ["doc_id", "rk"])
     groups = max(1, -(-(total or 0) // group))
     spans = repeats(runs(rows.select("doc_id", "rk", "text", F.col("few").alias("anchors")), window, anchor), groups, window)
     if many:
         spans = spans.unionByName(crowded(rows.where(F.size("many") > 0).select("doc_id", "rk", "text", F.col("many").alias("anchors")), window, anchor))
-    return spans
+    whole = again.select("doc_id", "rk", F.lit(0).cast("bigint").alias("start"), F.lit(1 << 40).cast("bigint").alias("stop"))
+    return spans.unionByName(whole)
 
 
 def removed_words(words: tx.Words, spans: pa.ListArray, window: int) -> np.ndarray:
@@ -264,9 +278,12 @@ def removed_words(words: tx.Words, spans: pa.ListArray, window: int) -> np.ndarr
     change = np.zeros(len(words.codes) + 1, dtype=np.int64)
     n = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
     flat = spans.flatten()
-    base = np.repeat(words.starts[:-1], n)
-    np.add.at(change, base + flat.field("start").to_numpy(zero_copy_only=False), 1)
-    np.add.at(change, base + flat.field("stop").to_numpy(zero_copy_only=False) + window - 1, -1)
+    base, end = np.repeat(words.starts[:-1], n), np.repeat(words.starts[1:], n)
+    start, stop = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "stop"))
+    stop = np.minimum(base + stop + window - 1, end)
+    some = stop - base - start >= window  # a copy shorter than a window loses nothing
+    np.add.at(change, (base + start)[some], 1)
+    np.add.at(change, stop[some], -1)
     return np.cumsum(change[:-1]) > 0
 
 
