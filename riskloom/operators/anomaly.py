@@ -147,7 +147,7 @@ def isolation_forest(df: DataFrame, col: str = "features", label: str = "y", fit
     from riskloom.session import cut_lineage
 
     scored = cut_lineage(scored)  # the offset and the output both read the scores
-    fit_scores = scored.join(fit.select("account_id"), "account_id", "left_semi")
+    fit_scores = scored if fit_filter is None else scored.join(fit.select("account_id"), "account_id", "left_semi")
     offset = exact_percentiles(fit_scores, "if_score", [cont], names=["_offset"])
     out = attach_params(scored, offset).withColumn("if_decision", F.col("if_score") - F.col("_offset"))
     return out.withColumn("if_anomaly", (F.col("if_decision") < 0).cast("int")).drop("_offset")
@@ -162,8 +162,10 @@ def pca_recon_error(df: DataFrame, col: str = "features", label: str = "y", fit_
     from pyspark.ml.functions import array_to_vector
 
     from riskloom.operators.fitted import standardize
+    from riskloom.session import cut_lineage
 
-    std = standardize(df.withColumn(col, F.col(col).cast("array<double>")), col, fit_filter, out="_z")
+    # the width, the PCA, the mean and the output all read the standardised rows
+    std = cut_lineage(standardize(df.withColumn(col, F.col(col).cast("array<double>")), col, fit_filter, out="_z"))
     fit = std if fit_filter is None else std.where(fit_filter)
     neg = fit.where(F.col(label) != 1)
     d = len(neg.select("_z").first()["_z"])
@@ -197,6 +199,17 @@ def with_anomaly_vector(df: DataFrame, keys, out: str = "features") -> DataFrame
     return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))
 
 
+def fold_pca_error(df: DataFrame, k: int = 5, col: str = "features", label: str = "y", fold_col: str = "fold") -> DataFrame:
+    """``(account_id, recon_error)``: each row's error under the projection that was fitted on the
+    negatives of the other folds (k fits; every fit scores its held-out fold only)."""
+    out = None
+    for i in range(k):
+        err = pca_recon_error(df, col, label, fit_filter=F.col(fold_col) != i)
+        own = err.join(df.where(F.col(fold_col) == i).select("account_id"), "account_id", "left_semi")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def fold_isolation_forest(df: DataFrame, k: int = 5, col: str = "features", label: str = "y",
                           fold_col: str = "fold", seed: int = 42, n_trees: int = N_TREES,
                           max_samples: int = MAX_SAMPLES, id_col: str = "account_id") -> DataFrame:

@@ -76,17 +76,21 @@ def row_stat_columns(columns: Sequence[str]) -> dict[str, Column]:
     n = F.lit(float(len(columns)))
     mean = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / n
 
+    nn = float(len(columns))
     zero = F.struct(*[F.lit(0.0).alias(k) for k in ("s2", "s3", "s4")])
-    # the mean is bound once per row, so the three sums are one pass over the row's values
+    # the mean is bound once per row, so the three power sums are one pass over the row's values
     sums = F.transform(F.array(mean), lambda m: F.aggregate(arr, zero, lambda a, x: F.struct(
-        *[(a[f"s{k}"] + F.pow(x - m, F.lit(float(k)))).alias(f"s{k}") for k in (2, 3, 4)])))[0]
-    s2, s3, s4 = sums["s2"], sums["s3"], sums["s4"]
-    nn = float(len(columns))
-    skew = F.when(F.lit(nn) < 3, F.lit(None)).when(s2 == 0, F.lit(0.0)).otherwise(
-        F.lit(nn * (nn - 1) ** 0.5 / (nn - 2) if nn > 2 else 0.0) * s3 / F.pow(s2, 1.5))
-    kurt = F.when(F.lit(nn) < 4, F.lit(None)).when(s2 == 0, F.lit(0.0)).otherwise(
+        *[(a[f"s{k}"] + F.pow(x - m, F.lit(float(k)))).alias(f"s{k}") for k in (2, 3, 4)])))
+
+    def from_sums(make) -> Column:
+        return F.transform(sums, lambda s: make(s["s2"], s["s3"], s["s4"]))[0]
+
+    std = from_sums(lambda s2, s3, s4: F.sqrt(s2 / (n - 1)))
+    skew = from_sums(lambda s2, s3, s4: F.when(F.lit(nn) < 3, F.lit(None)).when(s2 == 0, F.lit(0.0)).otherwise(
+        F.lit(nn * (nn - 1) ** 0.5 / (nn - 2) if nn > 2 else 0.0) * s3 / F.pow(s2, 1.5)))
+    kurt = from_sums(lambda s2, s3, s4: F.when(F.lit(nn) < 4, F.lit(None)).when(s2 == 0, F.lit(0.0)).otherwise(
         F.lit(nn * (nn + 1) * (nn - 1)) * s4 / (F.lit((nn - 2) * (nn - 3) if nn > 3 else 1.0) * s2 * s2)
-        - F.lit(3 * (nn - 1) ** 2 / ((nn - 2) * (nn - 3)) if nn > 3 else 0.0))
+        - F.lit(3 * (nn - 1) ** 2 / ((nn - 2) * (nn - 3)) if nn > 3 else 0.0)))
     srt = F.array_sort(arr)
 
     def q(p):
@@ -98,7 +102,7 @@ def row_stat_columns(columns: Sequence[str]) -> dict[str, Column]:
     mx, mn = F.array_max(arr), F.array_min(arr)
     return {
         "beh_row_mean": mean,
-        "beh_row_std": F.sqrt(s2 / (n - 1)),
+        "beh_row_std": std,
         "beh_row_skew": skew,
         "beh_row_kurt": kurt,
         "beh_row_max": mx,

@@ -40,9 +40,9 @@ def members() -> dict[str, tuple[str, object]]:
     boosted trees (ratio weights, early stopping on an inner split), a random
     forest (balanced weights) and an elastic-net logistic regression on
     standardised features (balanced weights)."""
-    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.05,
+    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.1,
                         maxIter=BOOST_ROUNDS, subsamplingRate=0.8, minInstancesPerNode=3, checkpointInterval=20,
-                        featureSubsetStrategy="0.7", validationIndicatorCol="is_val", validationTol=0.005, seed=SEED)
+                        featureSubsetStrategy="0.7", validationIndicatorCol="is_val", validationTol=0.01, seed=SEED)
     rf = RandomForestClassifier(featuresCol="vec", labelCol="y", weightCol="w", numTrees=FOREST_TREES,
                                 maxDepth=6, minInstancesPerNode=5, featureSubsetStrategy="0.7",
                                 subsamplingRate=0.8, seed=SEED)
@@ -61,7 +61,7 @@ def _prepare(train: DataFrame, weighting: str) -> DataFrame:
 
 
 def positive_prob(pred: DataFrame) -> F.Column:
-    return vector_to_array("probability")[1]
+    return F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))  # a fit that saw one class says 0
 
 
 def oof_scores(df: DataFrame, k: int = 5, parallelism: int = 4) -> DataFrame:

@@ -25,6 +25,7 @@ _MODULES = (
     "riskloom.plans.anomalies",
     "riskloom.plans.reports",
     "riskloom.plans.documents",
+    "riskloom.plans.chain",
 )
 
 
