@@ -4,7 +4,7 @@ An unpartitioned window (``Window.orderBy(x)``) moves every row into a single
 task. Here every row gets a *bucket* that is monotone in the order key
 (quantile boundaries of a numeric key, or a prefix of a uniform hash); each
 bucket is summed (one row per bucket), the buckets' prefix offsets are computed
-on that small table and broadcast back, and the running total inside a bucket is
+on that small table and joined back, and the running total inside a bucket is
 an ordinary window partitioned by bucket. Buckets are deterministic, so every
 branch of the plan (and every retried task) sees the same assignment.
 """
@@ -19,25 +19,24 @@ from pyspark.sql import functions as F
 ROWS_PER_BUCKET = 250_000
 
 
-def boundaries_below(x: Column, bounds: list[float]) -> Column:
-    """Number of the ascending ``bounds`` below x, by binary search in a literal array: the
-    expression stays small and takes log2(k) steps for any number of boundaries. NULL counts
-    none, NaN counts all (it sorts above every number)."""
-    if not bounds:
-        return F.lit(0)
-    n, step = len(bounds), 1
-    while step * 2 <= n:
-        step *= 2
-    steps = [step >> i for i in range(step.bit_length())]
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
+def count_below(x: Column, arr: Column, size: Column, most: int) -> Column:
+    """Number of elements of an ascending array (``size`` of them, at most ``most``) below x, by binary
+    search: the expression stays small and takes log2(most) steps. NULL counts none, NaN counts all
+    (it sorts above every number)."""
+    steps = [1 << i for i in reversed(range(max(1, most).bit_length()))]
 
     def go(at, s):
-        fits = (at + s <= n) & (F.get(arr, at + s - 1) < x)
+        fits = (at + s <= size) & (F.get(arr, at + s - 1) < x)
         return F.when(fits, at + s).otherwise(at)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), go)
 
 
+def boundaries_below(x: Column, bounds: list[float]) -> Column:
+    """``count_below`` for boundaries known to the driver."""
+    return count_below(x, F.array(*[F.lit(float(b)) for b in bounds]), F.lit(len(bounds)), len(bounds)) if bounds else F.lit(0)
+
+
 def quantile_bucket(df: DataFrame, col: str, descending: bool = False, buckets: int | None = None,
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
     """Bucket id monotone in ``col`` under Spark's order (ascending: NULL first, NaN last;
@@ -74,7 +73,7 @@ def running_totals(
 ) -> DataFrame:
     """Adds ``cum_<c>`` = sum of ``c`` over rows of the same ``by`` group up to and
     including this row in ``order``. ``bucket`` must be non-decreasing along
-    ``order``; ``order`` should be unique. ``by`` groups must be few."""
+    ``order``; ``order`` should be unique."""
     by = list(by)
     b = df.withColumn("_bkt", bucket)
     totals = b.groupBy(*by, "_bkt").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sums])
@@ -83,7 +82,7 @@ def running_totals(
         *by, "_bkt", *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums]
     )
     within = Window.partitionBy(*by, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(F.broadcast(offsets), [*by, "_bkt"])
+    out = b.join(offsets, [*by, "_bkt"])  # small: broadcast by its size; else a join on the window's own keys
     for c in sums:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_off_{c}") + F.sum(c).over(within))
     return out.drop("_bkt", *[f"_off_{c}" for c in sums])

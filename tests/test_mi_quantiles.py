@@ -50,13 +50,14 @@ def test_mi_knn_matches_brute_force(spark):
     x1 = rng.normal(size=n) + 1.5 * y
     x2 = np.round(rng.normal(size=n), 1)  # many ties
     x3 = np.where(rng.random(n) < 0.2, np.nan, rng.exponential(size=n))
+    x4 = (rng.random(n) < 0.1).astype(float)  # two values: one row each per class, however many points
     rows = []
     for i in range(n):
-        for name, col in (("a", x1), ("b", x2), ("c", x3)):
+        for name, col in (("a", x1), ("b", x2), ("c", x3), ("d", x4)):
             v = None if np.isnan(col[i]) else float(col[i])
             rows.append((i, int(y[i]), name, v))
     long = spark.createDataFrame(rows, "account_id long, y int, feature string, value double")
     got = {r["feature"]: r["mi"] for r in mi_knn(long).collect()}
-    for name, col in (("a", x1), ("b", x2), ("c", x3)):
+    for name, col in (("a", x1), ("b", x2), ("c", x3), ("d", x4)):
         ok = ~np.isnan(col)
         assert got[name] == pytest.approx(mi_brute(col[ok], y[ok]), abs=1e-9)
