@@ -17,6 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.cumulative import ROWS_PER_BUCKET, quantile_bucket, running_totals
+from riskloom.session import cut_lineage
+
 _LADDER = (1e-6, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1)
 
 
@@ -34,6 +37,7 @@ def exact_percentiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     accuracy: int = 10_000,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
@@ -94,14 +98,17 @@ def exact_percentiles(
         .join(F.broadcast(brackets), by)
     )
 
-    w = Window.partitionBy(*by).orderBy("_v")
+    for i in range(len(probs)):
+        inb = F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+        inside = inside.withColumn(f"_in{i}", F.when(inb, F.col("_c")).otherwise(0))
+    # ranks inside the brackets are bucketed running totals: a bracket of any size spreads over tasks
+    inside = cut_lineage(inside)
+    inside = running_totals(inside, [F.col("_v")], [f"_in{i}" for i in range(len(probs))],
+                            quantile_bucket(inside, "_v", rows_per_bucket=rows_per_bucket), by=by)
     picks = []
     for i in range(len(probs)):
         inb = F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        cum = F.sum(F.when(inb, F.col("_c")).otherwise(0)).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        inside = inside.withColumn(f"_end{i}", F.col(f"_below{i}") + cum - 1)
+        inside = inside.withColumn(f"_end{i}", F.col(f"_below{i}") + F.col(f"cum__in{i}") - 1)
         inside = inside.withColumn(f"_start{i}", F.col(f"_end{i}") - F.col("_c") + 1)
         r_lo = F.floor(F.col(f"_pos{i}"))
         r_hi = F.ceil(F.col(f"_pos{i}"))
@@ -118,5 +125,8 @@ def exact_percentiles(
     out = [*by] if grouped else []
     for i, name in enumerate(names):
         d = F.col(f"_p{i}") - F.floor(F.col(f"_p{i}"))
-        out.append((F.col(f"_vlo{i}") + d * (F.col(f"_vhi{i}") - F.col(f"_vlo{i}"))).alias(name))
+        found = F.col(f"_vlo{i}") + d * (F.col(f"_vhi{i}") - F.col(f"_vlo{i}"))
+        missed = F.col(f"_p{i}").isNotNull() & found.isNull()  # never a silent NULL
+        lost = F.raise_error(F.lit(f"percentile {name}: its rank lies outside the sketch's bracket")).cast("double")
+        out.append(F.when(missed, lost).otherwise(found).alias(name))
     return agg.select(*out)

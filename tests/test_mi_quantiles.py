@@ -61,3 +61,13 @@ def test_mi_knn_matches_brute_force(spark):
     for name, col in (("a", x1), ("b", x2), ("c", x3), ("d", x4)):
         ok = ~np.isnan(col)
         assert got[name] == pytest.approx(mi_brute(col[ok], y[ok]), abs=1e-9)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [5, 250_000])
+def test_percentiles_dont_depend_on_buckets(spark, rows_per_bucket):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=900), np.zeros(450)])
+    df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(x)], "g int, x double")
+    r = exact_percentiles(df, "x", [0.01, 0.5, 0.99], by=["g"], names=["a", "b", "c"], rows_per_bucket=rows_per_bucket)
+    for row in r.collect():
+        assert list(row)[1:] == pytest.approx(np.quantile(x[row["g"]::2], [0.01, 0.5, 0.99]).tolist(), abs=1e-12)
