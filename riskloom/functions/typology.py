@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 DEFAULTS = {"age_bucket": 3.0, "occupation": 3.0, "missing_ratio": 0.3, "account_type": 1.0, "opening_dow": 0.0}
 
 
+def attribute(columns: list[str], column: str | None, name: str) -> Column:
+    """The attribute's column, or its default value where the table has no such column."""
+    return F.col(column) if column in columns else F.lit(DEFAULTS[name])
+
+
 def _w(cond: Column, weight: float) -> Column:
     return F.when(cond, F.lit(weight)).otherwise(F.lit(0.0))
 

@@ -24,7 +24,6 @@ REFERENCE_MAPPINGS: dict[str, dict[str, int]] = {
 }
 HIGH_CARDINALITY = 50
 # Broadcast a frequency table only below this many categories (size check).
-BROADCAST_MAX_CATEGORIES = 1_000_000
 
 
 def manual_code(col: str, mapping: Mapping[str, int]):
@@ -78,7 +77,7 @@ def apply_encodings(df: DataFrame, plan_rows: Sequence, manual: Mapping[str, Map
     """Replace each planned string column by its numeric code (double)."""
     out = df
     for r in plan_rows:
-        col, enc, nd = r["feature"], r["encoding"], r["n_distinct"]
+        col, enc = r["feature"], r["encoding"]
         if enc == "manual":
             out = out.withColumn(col, manual_code(col, manual[col]))
         elif enc == "ordinal":
@@ -88,8 +87,6 @@ def apply_encodings(df: DataFrame, plan_rows: Sequence, manual: Mapping[str, Map
                 .withColumn(col, F.coalesce("code", F.lit(-1.0))).drop("_cat", "code")
         else:
             t = frequency_table(df, col).withColumnRenamed("category", "_cat")
-            if nd <= BROADCAST_MAX_CATEGORIES:
-                t = F.broadcast(t)
             out = out.withColumn("_cat", F.col(col)).join(t, "_cat", "left") \
                 .withColumn(col, F.coalesce("share", F.lit(0.0))).drop("_cat", "share")
     return out

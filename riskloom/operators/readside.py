@@ -76,7 +76,7 @@ def nth_riskiest_positive(tiered: DataFrame, n: int) -> DataFrame:
 
 def account_lookup(tiered: DataFrame, account_ids: DataFrame) -> DataFrame:
     """Rows of the given accounts with the model decision (prob > 0.3 -> FLAG)."""
-    j = tiered.join(F.broadcast(account_ids.select("account_id")), "account_id")  # ids: a short list
+    j = tiered.join(account_ids.select("account_id").distinct(), "account_id")  # broadcast only if it is small
     return j.select("account_id", "risk_score", "prob", "tier", "y",
                     F.when(F.col("prob") > FLAG_PROBABILITY, "FLAG").otherwise("PASS").alias("decision"))
 

@@ -63,7 +63,7 @@ def screen(vectors: DataFrame, scorer_params: DataFrame, calibration: DataFrame,
     """Vector -> probability -> calibrated score -> tier -> top-5 factors -> typology."""
     from riskloom.functions.scoring import action_col, calibrated_score, magnitude_col, tier_col
     from riskloom.functions.params import attach_params
-    from riskloom.functions.typology import typology_columns
+    from riskloom.functions.typology import attribute, typology_columns
     from riskloom.operators.explain import linear_contributions
 
     s = linear_contributions(vectors, scorer_params, features)
@@ -77,9 +77,10 @@ def screen(vectors: DataFrame, scorer_params: DataFrame, calibration: DataFrame,
         x["feature"].alias("feature"), F.bround(x["value"], 4).alias("value"),
         F.bround(x["shap"], 4).alias("shap_contrib"), magnitude_col(x["shap"]).alias("magnitude")))
     a = typology_attrs
-    typo = typology_columns(F.col(a["age"]), F.col(a["occupation"]), F.col(a["missing"]), F.col(a["acct_type"]), None)
+    typo = typology_columns(*[attribute(vectors.columns, a.get(k), name) for k, name in (
+        ("age", "age_bucket"), ("occupation", "occupation"), ("missing", "missing_ratio"), ("acct_type", "account_type"))], None)
     return s.select(
-        "account_id", "risk_score", "tier", F.bround("ens", 4).alias("fraud_probability"),
+        *[c for c in ("parse_error",) if c in vectors.columns], "account_id", "risk_score", "tier", F.bround("ens", 4).alias("fraud_probability"),
         action_col("tier", screening=True).alias("action"), top.alias("top_risk_factors"),
         F.struct(*[v.alias(k) for k, v in typo.items()]).alias("typology"),
         F.lit(MODEL_VERSION).alias("model_version"))
@@ -87,15 +88,15 @@ def screen(vectors: DataFrame, scorer_params: DataFrame, calibration: DataFrame,
 
 def screen_requests(requests: DataFrame, medians: DataFrame, scorer_params: DataFrame, calibration: DataFrame,
                     features: list[str], typology_attrs: dict[str, str]) -> DataFrame:
-    """Batch screening with per-row failures: rows whose supplied values do not
+    """Batch screening with per-row failures, in one pass: rows whose supplied values do not
     parse get tier ERROR, score 0 and the message; the rest are screened."""
     v = request_vectors(requests, medians, features)
-    ok = screen(v.where(F.col("parse_error").isNull()).drop("parse_error"), scorer_params, calibration, features,
-                typology_attrs)
-    bad = v.where(F.col("parse_error").isNotNull()).select(
-        "account_id", F.lit(0).alias("risk_score"), F.lit(ERROR_TIER).alias("tier"),
-        F.lit(0.0).alias("fraud_probability"), F.concat(F.lit("Screening failed: "), "parse_error").alias("action"),
-        F.array().cast(ok.schema["top_risk_factors"].dataType).alias("top_risk_factors"),
-        F.lit(None).cast(ok.schema["typology"].dataType).alias("typology"),
-        F.lit(MODEL_VERSION).alias("model_version"))
-    return ok.unionByName(bad)
+    parsed = F.col("parse_error").isNull()
+    v = v.select(*[F.when(parsed, F.col(c)).otherwise(F.lit(0.0)).alias(c) if c in features else F.col(c) for c in v.columns])
+    out = screen(v, scorer_params, calibration, features, typology_attrs)
+    failed = {"risk_score": F.lit(0), "tier": F.lit(ERROR_TIER), "fraud_probability": F.lit(0.0),
+              "action": F.concat(F.lit("Screening failed: "), "parse_error"),
+              "top_risk_factors": F.array().cast(out.schema["top_risk_factors"].dataType),
+              "typology": F.lit(None).cast(out.schema["typology"].dataType)}
+    return out.select(*[F.when(parsed, F.col(c)).otherwise(failed[c]).alias(c) if c in failed else F.col(c)
+                        for c in out.columns if c != "parse_error"])

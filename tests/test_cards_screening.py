@@ -65,3 +65,14 @@ def test_linear_contributions_sum_to_margin(spark):
         assert abs(r["prob"] - 1 / (1 + pytest.importorskip("math").exp(-r["margin"]))) < 1e-12
     base = chk.agg(F.min("d"), F.max("d")).first()
     assert base[0] == pytest.approx(base[1])  # the same intercept for every row
+
+
+def test_absent_typology_attributes_take_their_defaults(spark):
+    from riskloom.functions.typology import DEFAULTS, attribute, typology_columns
+
+    df = spark.createDataFrame([(5.0,)], "age double")
+    keys = ("age_bucket", "occupation", "missing_ratio", "account_type")
+    some = typology_columns(*[attribute(df.columns, "age" if k == "age_bucket" else k, k) for k in keys])
+    want = typology_columns(F.lit(5.0), *[F.lit(DEFAULTS[k]) for k in keys[1:]])
+    r = df.select(*[v.alias(k) for k, v in some.items()], *[v.alias("want_" + k) for k, v in want.items()]).first()
+    assert all(r[k] == r["want_" + k] for k in some)
