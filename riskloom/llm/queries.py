@@ -52,7 +52,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-OP6_SQL = None
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+     win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM p WHERE i + 49 <= len(ws)),
+     least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+     hit AS (SELECT doc_id, i FROM win JOIN least USING (k) WHERE doc_id > m),
+     gone AS (SELECT DISTINCT doc_id, i + j AS i FROM hit, range(50) r(j)),
+     kept AS (SELECT p.doc_id, string_agg(ws[i], ' ' ORDER BY i) AS t, count(*) AS n FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY p.doc_id)
+SELECT w.doc_id, len(w.ws) AS n_words, len(w.ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
 
 
 @query("op6_substring_dedup", OP6_SQL)
@@ -60,7 +70,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(read_table(spark, sf_dir, "documents"), digests=True)
 
 
-@query("op1_embedding_near_dedup")
+OP1_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+     e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+           WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+     reach AS (SELECT vec_id AS id, vec_id AS r FROM v UNION SELECT reach.id, e.b FROM reach JOIN e ON reach.r = e.a),
+     comp AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id),
+     n AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp ON vec_id = id LEFT JOIN n ON vec_id = a
+"""
+
+
+@query("op1_embedding_near_dedup", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
