@@ -30,7 +30,7 @@ from riskloom.llm import text as tx
 
 SIZE = 400
 #: Documents whose n-gram counts are held as one matrix.
-ROWS = 1000
+ROWS = 250
 PART = r"(\pL+|[^\pL]+)"
 _PAD = ord("_")
 

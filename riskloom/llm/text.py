@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Bytes of text that a task handles at once (a longer single text is a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -29,6 +29,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         cuts = np.flatnonzero(np.diff(group)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(a), int(b - a))
+            pa.default_memory_pool().release_unused()  # workers live on; what a slice needed goes back
 
 
 def plain(texts: pa.Array) -> pa.Array:
@@ -87,7 +88,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept between slices up to ``limit`` entries."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -119,7 +120,9 @@ def annotate(docs: DataFrame, text: str, schema: str, compute: Callable[[pa.Reco
             new = compute(part)
             cols = [part.column(c) for c in kept] + [new[f.name] for f in made]
             cols = [c if isinstance(c, pa.Array) else pa.array(c) for c in cols]
+            del new
             yield pa.RecordBatch.from_arrays(cols, names=[*kept, *made.names])
+            del cols
 
     return docs.select(*[docs[f"`{c}`"] for c in read]).mapInArrow(run, out)
 

@@ -89,7 +89,7 @@ class Unigram:
 class KnownCounts:
     """Counts of words already seen by this task, up to ``limit`` of them."""
 
-    def __init__(self, model: Unigram, limit: int = 400_000):
+    def __init__(self, model: Unigram, limit: int = 200_000):
         self.model, self.limit, self.known = model, limit, {}
 
     def of(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:

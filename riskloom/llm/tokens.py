@@ -69,7 +69,7 @@ class LibraryIds:
 class WordIds:
     """Ids of the distinct words of a slice; ``source`` encodes pre-tokens and unusual words."""
 
-    def __init__(self, source, limit: int = 300_000):
+    def __init__(self, source, limit: int = 200_000):
         self.source, self.limit = source, limit
         self.known: dict[str, bytes] = {}
 
