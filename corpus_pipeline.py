@@ -18,14 +18,16 @@ from riskloom.sources.tables import read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Least closeness to the nearest language profile (clean texts of a learned language are far above it).
-LEAST_LANGUAGE_SCORE = 0.3
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rank-order profiles; texts without a letter or close to no learned language go."""
-    found = langid.identify(docs, langid.fit(docs), prefix="__")
-    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+    """Rank-order profiles; texts without a letter or below the least score of the language found go."""
+    profiles = langid.fit(docs)
+    least = langid.least_scores(docs, profiles)
+    found = langid.identify(docs, profiles, prefix="__")
+    if not least:
+        return found.where("false").select(docs.columns)
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in least.items() for x in pair]), F.col("__lang_pred"))
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= limit)).select(docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

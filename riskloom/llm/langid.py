@@ -2,13 +2,17 @@
 
 Each word is cut into runs of letters, lower-cased and padded; its 1-, 2- and 3-grams are counted.
 A language's profile is its ``size`` most frequent n-grams in rank order, over every training
-document. A document's own profile is made of its most frequent n-grams among those that occur in any
-language's profile; its distance to a language is the mean out-of-place distance of the ranks, with
-the largest one for n-grams that the language's profile lacks. The nearest language wins.
+document. A document's own profile is made of its ``size`` most frequent n-grams, known or not; its
+distance to a language is the mean out-of-place distance of the ranks, with the largest one for n-grams
+that the language's profile lacks. The nearest language wins.
 
 Training uses documents with a language whose crc32 of the id (as text) modulo 3 is not 1; the
 prediction sees the text alone. ``score`` is one minus the mean distance, divided by ``size``.
 
+A text in a language that was not learned has few known n-grams in their places. ``least_scores`` gives
+the score that a text of each language should reach, from the training documents' own scores: as far
+below their 1 % quantile as that is below their median.
+
 Defined results: a text that is null, empty or without a letter is ``und`` with score 0, and so is
 every text if no language was learned; a text none of whose n-grams is known gets the first language
 by name with score 0; equal distances go to the first language by name; equal counts rank by code
@@ -29,8 +33,10 @@ from pyspark.sql import functions as F
 from riskloom.llm import text as tx
 
 SIZE = 400
-#: Documents whose n-gram counts are held as one matrix.
-ROWS = 250
+#: Cells (documents x distinct n-grams of a slice) of one matrix of n-gram counts at most.
+CELLS = 1_000_000
+#: Training documents from which a language's own least score is taken.
+LEAST_TRAINED = 200
 PART = r"(\pL+|[^\pL]+)"
 _PAD = ord("_")
 
@@ -68,9 +74,13 @@ def grams(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([run[one], run[:-1][two], run[:-2][three]]))
 
 
+def training(docs: DataFrame, doc_id: str = "doc_id", lang: str = "lang") -> DataFrame:
+    return docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
+
+
 def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", size: int = SIZE) -> list[tuple[str, list[int]]]:
     """[(language, its n-gram codes in rank order)], by name: ``size`` codes a language at most."""
-    train = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
+    train = training(docs, doc_id, lang)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -112,41 +122,44 @@ class Profiles:
     def __init__(self, profiles: list[tuple[str, list[int]]], size: int = SIZE):
         self.names, self.size = [n for n, _ in profiles], size
         self.known = np.unique(np.array([g for _, p in profiles for g in p], dtype=np.int64))
-        self.ranks = np.full((len(profiles), len(self.known)), size, dtype=np.int64)
+        self.ranks = np.full((len(profiles), len(self.known)), 2 * size, dtype=np.int64)  # lacking: far from any place
         for k, (_, p) in enumerate(profiles):
             self.ranks[k, np.searchsorted(self.known, np.array(p, dtype=np.int64))] = np.arange(len(p))
 
-    def distances(self, counts: np.ndarray) -> np.ndarray:
-        """(documents, languages): mean out-of-place distance over ``size``; 1 for an empty profile."""
-        size = min(self.size, counts.shape[1])
-        order = np.argsort(-counts, axis=1, kind="stable")[:, :size]
-        used = np.take_along_axis(counts, order, axis=1) > 0
-        place = np.arange(size)
-        far = [np.where(used, np.minimum(self.size, np.abs(r[order] - place)), 0).sum(axis=1) for r in self.ranks]
-        n = used.sum(axis=1)
-        return np.where(n[:, None] > 0, np.array(far).T / np.maximum(1, n)[:, None] / self.size, 1.0)
+    def distances(self, doc: np.ndarray, at: np.ndarray, n: np.ndarray, docs: int) -> np.ndarray:
+        """(documents, languages): mean out-of-place distance over ``size``; 1 for an empty profile.
+        Entries (document, index among the known n-grams or -1, occurrences), by document and code point."""
+        order = np.lexsort((-n, doc))
+        doc, at = doc[order], at[order]
+        total = np.bincount(doc, minlength=docs)
+        place = np.arange(len(doc)) - (np.cumsum(total) - total)[doc]
+        used = place < self.size
+        own, known = np.minimum(total, self.size), used & (at >= 0)
+        doc, at, place = doc[known], at[known], place[known]
+        lost = self.size * (own - np.bincount(doc, minlength=docs))
+        far = [lost + np.bincount(doc, weights=np.minimum(self.size, np.abs(r[at] - place)), minlength=docs) for r in self.ranks]
+        return np.where(own[:, None] > 0, np.array(far).T / np.maximum(1, own)[:, None] / self.size, 1.0)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         run, starts, runs = letter_runs(tx.Words(texts))
+        if not self.names:
+            return ["und"] * len(texts), np.zeros(len(texts))
         code, of = grams(runs)
-        at = np.searchsorted(self.known, code)
-        hit = (at < len(self.known)) & (self.known[np.minimum(at, len(self.known) - 1)] == code) if len(self.known) else np.zeros(len(code), bool)
-        at, of = at[hit], of[hit]
-        at = at[np.argsort(of, kind="stable")]
+        distinct, g = np.unique(code, return_inverse=True)
+        at = np.where(np.isin(distinct, self.known), np.searchsorted(self.known, distinct), -1)
+        g = g[np.argsort(of, kind="stable")]
         size = np.bincount(of, minlength=len(runs))
         begin = np.cumsum(size) - size
         names, scores = [], np.zeros(len(texts))
-        for a in range(0, len(texts), ROWS):
-            b = min(a + ROWS, len(texts))
+        rows = max(1, CELLS // max(1, len(distinct)))
+        for a in range(0, len(texts), rows):
+            b = min(a + rows, len(texts))
             own = run[starts[a]:starts[b]]
             n = np.diff(starts[a:b + 1])
-            if not self.names:
-                names += ["und"] * (b - a)
-                continue
-            doc = np.repeat(np.repeat(np.arange(b - a), n), size[own])
-            g = at[tx.ragged(begin[own], size[own])]
-            counts = np.bincount(doc * len(self.known) + g, minlength=(b - a) * len(self.known)).reshape(b - a, -1)
-            far = self.distances(counts)
+            cell = np.repeat(np.repeat(np.arange(b - a), n), size[own]) * len(distinct) + g[tx.ragged(begin[own], size[own])]
+            counts = np.bincount(cell, minlength=(b - a) * len(distinct))
+            held = np.flatnonzero(counts)
+            far = self.distances(held // max(1, len(distinct)), at[held % max(1, len(distinct))], counts[held], b - a)
             best = far.argmin(axis=1)
             names += [self.names[k] if m else "und" for k, m in zip(best.tolist(), n.tolist(), strict=True)]
             scores[a:b] = np.where(n > 0, 1 - far.min(axis=1), 0.0)
@@ -162,3 +175,14 @@ def identify(docs: DataFrame, profiles: list[tuple[str, list[int]]], *, text: st
         return {f"{prefix}lang_pred": pa.array(names, pa.string()), f"{prefix}score": scores}
 
     return tx.annotate(docs, text, f"{prefix}lang_pred string, {prefix}score double", compute, keep)
+
+
+def least_scores(docs: DataFrame, profiles: list[tuple[str, list[int]]], *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", size: int = SIZE) -> dict[str, float]:
+    """{language: least score} from every training document that is found to be in its own language; a
+    language with fewer than ``LEAST_TRAINED`` of them goes no higher than all languages together."""
+    train = training(docs, doc_id, lang).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    scored = identify(train, profiles, keep=["lang"], size=size).where("lang = lang_pred")
+    sums = scored.rollup("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("score", [0.01, 0.5]).alias("q"))
+    found = {r["lang"]: (r["n"], max(0.0, 2 * r["q"][0] - r["q"][1])) for r in sums.where("n > 0").collect()}  # a row a language
+    every = found.pop(None, (0, 0.0))[1]
+    return {name: least if n >= LEAST_TRAINED else min(least, every) for name, (n, least) in ((k, found.get(k, (0, every))) for k, _ in profiles)}
