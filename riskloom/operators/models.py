@@ -30,19 +30,20 @@ def with_vector(df: DataFrame, features: str | Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="vec", handleInvalid="keep").transform(df)
 
 
-#: Rounds at most of the boosted member (early stopping on an inner split ends them), trees of the
-#: forest, iterations at most of the linear member.
+#: Rounds at most of the boosted member, trees of the forest, iterations at most of the linear member.
 BOOST_ROUNDS, FOREST_TREES, LINEAR_ROUNDS = 800, 200, 600
+#: Rounds without a new least loss on the inner split that end the boosted member; rounds of its first fit.
+PATIENCE, FIRST_ROUNDS = 50, 100
 
 
 def members() -> dict[str, tuple[str, object]]:
     """name -> (weighting, estimator). Three learners with different biases:
-    boosted trees (ratio weights, early stopping on an inner split), a random
+    boosted trees (ratio weights, rounds chosen by ``fit_member``), a random
     forest (balanced weights) and an elastic-net logistic regression on
     standardised features (balanced weights)."""
-    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.1,
+    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.05,
                         maxIter=BOOST_ROUNDS, subsamplingRate=0.8, minInstancesPerNode=3, checkpointInterval=20,
-                        featureSubsetStrategy="0.7", validationIndicatorCol="is_val", validationTol=0.01, seed=SEED)
+                        featureSubsetStrategy="0.7", seed=SEED)
     rf = RandomForestClassifier(featuresCol="vec", labelCol="y", weightCol="w", numTrees=FOREST_TREES,
                                 maxDepth=6, minInstancesPerNode=5, featureSubsetStrategy="0.7",
                                 subsamplingRate=0.8, seed=SEED)
@@ -60,6 +61,50 @@ def _prepare(train: DataFrame, weighting: str) -> DataFrame:
     return t.withColumn("is_val", F.conv(F.substring(seeded_hash("account_id", SEED + 1), 1, 2), 16, 10).cast("int") < 26)
 
 
+def inner_losses(model: GBTClassificationModel, inner: DataFrame) -> list[float]:
+    """Weighted log loss of the inner split after 1, 2, ... trees (weights are constant in a class)."""
+    total = [0.0] * model.getNumTrees
+    for r in inner.groupBy("y").agg(F.sum("w").alias("w")).collect():
+        own = inner.where(F.col("y") == r["y"]).withColumn("w", F.lit(1.0))
+        total = [t + r["w"] * x for t, x in zip(total, model.evaluateEachIteration(own), strict=True)]
+    return total
+
+
+def patient_rounds(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(rounds at the least loss, whether ``patience`` rounds followed without a lower one)."""
+    best = 0
+    for k, x in enumerate(losses):
+        if x < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_member(est, train: DataFrame):
+    """``est`` fitted on prepared rows. The boosted member is fitted without its inner split for
+    ``FIRST_ROUNDS`` rounds, then twice as many, until ``PATIENCE`` rounds bring no lower loss on the split
+    or its rounds are used up; the trees up to the least loss are the member. A longer fit
+    begins with the trees of a shorter one (round k has seed + k). Without inner rows all rounds stay."""
+    if not isinstance(est, GBTClassifier):
+        return est.copy().fit(train)
+    most, rows = est.getMaxIter(), train.where(~F.col("is_val")).persist()
+    inner = train.where("is_val").persist()
+    try:
+        if inner.isEmpty() or rows.isEmpty():
+            return est.copy().fit(train)
+        rounds = min(FIRST_ROUNDS, most)
+        while True:
+            model = est.copy({est.maxIter: rounds}).fit(rows)
+            best, done = patient_rounds(inner_losses(model, inner))
+            if done or rounds == most:
+                return model if best == rounds else est.copy({est.maxIter: best}).fit(rows)
+            rounds = min(2 * rounds, most)
+    finally:
+        rows.unpersist()
+        inner.unpersist()
+
+
 def positive_prob(pred: DataFrame) -> F.Column:
     return F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))  # a fit that saw one class says 0
 
@@ -75,7 +120,7 @@ def oof_scores(df: DataFrame, k: int = 5, parallelism: int = 4) -> DataFrame:
 
     def run(job):
         name, weighting, est, i = job
-        model = est.copy().fit(_prepare(df.where(F.col("fold") != i), weighting))
+        model = fit_member(est, _prepare(df.where(F.col("fold") != i), weighting))
         pred = model.transform(df.where(F.col("fold") == i))
         return pred.select("account_id", "y", "fold", F.lit(name).alias("member"), positive_prob(pred).alias("prob"))
 
@@ -89,8 +134,8 @@ def oof_scores(df: DataFrame, k: int = 5, parallelism: int = 4) -> DataFrame:
 
 def fit_final(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, object]:
     """Each member (or those of ``names``) fitted on all folds. The boosted member keeps its inner
-    early-stopping split, so that its number of rounds suits the data instead of being fixed."""
-    return {name: est.fit(_prepare(df, weighting)) for name, (weighting, est) in members().items() if names is None or name in names}
+    split, so that its number of rounds suits the data instead of being fixed."""
+    return {name: fit_member(est, _prepare(df, weighting)) for name, (weighting, est) in members().items() if names is None or name in names}
 
 
 def save_models(models: dict[str, object], path: str) -> None:

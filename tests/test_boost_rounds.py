@@ -1,0 +1,43 @@
+"""Rounds of the boosted member: a patient stop on the inner split, equal to one long fit."""
+
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from riskloom.operators import models
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 6))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + 0.8 * rng.normal(size=900) > 2.0).astype(int)
+    data = [(f"a{i}", int(y[i]), i % 5, Vectors.dense(x[i])) for i in range(900)]
+    return spark.createDataFrame(data, ["account_id", "y", "fold", "vec"]).coalesce(2).cache()
+
+
+def test_patience_outlasts_noise_and_ends_at_the_least_loss():
+    noisy = [1 - 0.001 * k + 0.004 * (k % 3) for k in range(200)]
+    assert models.patient_rounds(noisy) == (199, False)
+    assert models.patient_rounds([3.0, 2.0, 2.5, *[2.1] * 60, 1.0]) == (2, True)
+    assert models.patient_rounds([3.0, 2.0, *[2.1] * 30, 1.0]) == (33, False)
+
+
+def test_boosted_member_keeps_the_trees_up_to_the_least_inner_loss(rows, monkeypatch):
+    weighting, est = models.members()["gbt"]
+    assert (est.getStepSize(), est.getMaxIter(), models.PATIENCE) == (0.05, 800, 50)
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 16)
+    monkeypatch.setattr(models, "PATIENCE", 12)
+    monkeypatch.setattr(models.patient_rounds, "__defaults__", (12,))
+    est = est.copy({est.maxIter: 64})
+    train = models._prepare(rows, weighting)
+    got = models.fit_member(est, train)
+    whole = est.fit(train.where("not is_val"))
+    inner = train.where("is_val").toPandas()
+    trees = np.array([[t.predict(v) for t in whole.trees] for v in inner.vec]) * np.array(whole.treeWeights)
+    margin = trees.cumsum(axis=1) * np.where(inner.y == 1, 1, -1)[:, None]
+    losses = (2 * np.log1p(np.exp(-2 * margin)) * inner.w.to_numpy()[:, None]).sum(axis=0)
+    best, _ = models.patient_rounds(losses.tolist(), 12)
+    assert got.getNumTrees == best > 3
+    assert [t.toDebugString.split("\n", 1)[1] for t in got.trees] == [t.toDebugString.split("\n", 1)[1] for t in whole.trees[:best]]
