@@ -140,7 +140,6 @@ def isolation_forest(df: DataFrame, col: str = "features", label: str = "y", fit
     contamination-th percentile over the fitting rows, contamination = max(rate, 0.005)."""
     fit = df if fit_filter is None else df.where(fit_filter)
     nodes, psi = fit_isolation_forest(df, col, seed=seed, fit_filter=fit_filter)
-    nodes = nodes.cache()
     scored = isolation_scores(df, nodes, psi, col)
     rate = fit.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
     cont = max(rate, MIN_CONTAMINATION)
@@ -199,15 +198,73 @@ def with_anomaly_vector(df: DataFrame, keys, out: str = "features") -> DataFrame
     return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))
 
 
-def fold_pca_error(df: DataFrame, k: int = 5, col: str = "features", label: str = "y", fold_col: str = "fold") -> DataFrame:
-    """``(account_id, recon_error)``: each row's error under the projection that was fitted on the
-    negatives of the other folds (k fits; every fit scores its held-out fold only)."""
-    out = None
+def fold_moments(df: DataFrame, center: np.ndarray, scale: np.ndarray, col: str = "features", label: str = "y", fold_col: str = "fold") -> dict:
+    """(fold, positive) -> (rows, sums, cross products) of (x - center) / scale: summed in tasks, then by
+    group; one row of d x d numbers per fold and class reaches the driver."""
+    d = len(center)
+    schema = "fold int, positive boolean, sums binary"
+
+    def run(batches):
+        held: dict[tuple[int, bool], np.ndarray] = {}
+        for pdf in batches:
+            x = (np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), d) - center) / scale
+            x = np.hstack([np.ones((len(x), 1)), x])
+            for key in set(zip(pdf["fold"], pdf["positive"], strict=True)):
+                own = x[((pdf["fold"] == key[0]) & (pdf["positive"] == key[1])).to_numpy()]
+                held[key] = held.get(key, 0) + own.T @ own  # first row and column: count and sums
+        yield pd.DataFrame([(f, p, m.tobytes()) for (f, p), m in held.items()], columns=["fold", "positive", "sums"])
+
+    def add(pdf):
+        total = np.sum([np.frombuffer(b) for b in pdf["sums"]], axis=0)
+        return pdf.iloc[:1][["fold", "positive"]].assign(sums=[total.tobytes()])
+
+    rows = df.select(F.col(fold_col).cast("int").alias("fold"), (F.col(label) == 1).alias("positive"), F.col(col).cast("array<double>").alias("x"))
+    got = rows.mapInPandas(run, schema).groupBy("fold", "positive").applyInPandas(add, schema).collect()
+    return {(r["fold"], r["positive"]): np.frombuffer(r["sums"]).reshape(d + 1, d + 1) for r in got}
+
+
+def fold_pca_error(df: DataFrame, k: int = 5, col: str = "features", label: str = "y", fold_col: str = "fold", k_max: int = 20) -> DataFrame:
+    """``(account_id, recon_error)``: each row's error under the scaler and projection that were fitted on
+    the other folds (``pca_recon_error`` with ``fit_filter=fold != i`` for each i). One aggregate of moments by
+    fold and class serves all fits: the moments of the other folds are added up on the driver (d x d numbers a
+    fold), and one pass scores all rows. Moments are taken around the total mean, in units of the total
+    deviation, so no digits cancel. A column that is constant in the fitting rows keeps its unit."""
+    from riskloom.operators.fitted import array_moments
+
+    total = {r["pos"]: (r["mean"], r["std"]) for r in array_moments(df, col).collect()}  # d rows
+    d = len(total)
+    center = np.array([total[i][0] for i in range(d)])
+    scale = np.array([total[i][1] or 1.0 for i in range(d)])
+    moments = fold_moments(df, center, scale, col, label, fold_col)
+    width = max(1, min(k_max, d // 2))
+    fits = {}
     for i in range(k):
-        err = pca_recon_error(df, col, label, fit_filter=F.col(fold_col) != i)
-        own = err.join(df.where(F.col(fold_col) == i).select("account_id"), "account_id", "left_semi")
-        out = own if out is None else out.unionByName(own)
-    return out
+        other = [(p, m) for (f, p), m in moments.items() if f != i]
+        if not any(not p for p, _ in other):
+            continue
+        whole, neg = sum(m for _, m in other), sum(m for p, m in other if not p)
+        mean = whole[0, 1:] / whole[0, 0]
+        var = np.diag(whole)[1:] / whole[0, 0] - mean ** 2
+        sd = np.where(var > 1e-12, np.sqrt(np.maximum(var, 0)), 1.0 / scale)
+        mu = neg[0, 1:] / neg[0, 0]
+        cov = (neg[1:, 1:] / neg[0, 0] - np.outer(mu, mu)) / np.outer(sd, sd)
+        _, vectors = np.linalg.eigh(cov)
+        fits[i] = (mu, sd, vectors[:, ::-1][:, :width])
+
+    def score(batches):
+        for pdf in batches:
+            x = (np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), d) - center) / scale
+            out = np.full(len(pdf), np.nan)
+            for i, (mu, sd, p) in fits.items():
+                own = (pdf["fold"] == i).to_numpy()
+                z = (x[own] - mu) / sd
+                proj = z @ p
+                out[own] = np.maximum(((z * z).sum(axis=1) - (proj * proj).sum(axis=1)) / d, 0.0)
+            yield pd.DataFrame({"account_id": pdf["account_id"], "recon_error": out})
+
+    rows = df.select("account_id", F.col(fold_col).cast("int").alias("fold"), F.col(col).cast("array<double>").alias("x"))
+    schema = f"account_id {df.schema['account_id'].dataType.simpleString()}, recon_error double"
+    return rows.mapInPandas(score, schema).withColumn("recon_error", F.nanvl("recon_error", F.lit(None).cast("double")))
 
 
 def fold_isolation_forest(df: DataFrame, k: int = 5, col: str = "features", label: str = "y",

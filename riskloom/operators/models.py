@@ -1,170 +1,51 @@
-"""Class-weighted members trained on stratified folds, out-of-fold assembly,
-final fit and importances (Spark ML; each fit is a distributed job)."""
+"""The trained members of the chain: boosted trees of three growths (``boosting``), their node table as
+the saved artifact, and what is read from it: probabilities, log-odds and contributions."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.operators.folds import class_weights, seeded_hash
+from riskloom.operators import boosting, treeshap
 
-SEED = 42
+#: Names of the members, in the order of their columns.
+NAMES = [m.name for m in boosting.MEMBERS]
 
 
-def with_vector(df: DataFrame, features: str | Sequence[str]) -> DataFrame:
-    """``vec`` column from an array column or a list of numeric columns."""
-    if isinstance(features, str):
-        return df.withColumn("vec", array_to_vector(F.col(features).cast("array<double>")))
-    return VectorAssembler(inputCols=list(features), outputCol="vec", handleInvalid="keep").transform(df)
+def train(df: DataFrame, members: Sequence[boosting.Member] = boosting.MEMBERS, k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(node table, out-of-fold scores) of all members on all folds and on all rows, from one run.
+    ``df`` has account_id, y, fold and features."""
+    models, blocks, _ = boosting.fit(df, members, (*range(k), boosting.ALL))
+    return boosting.node_table(df.sparkSession, models), boosting.oof_scores(models, blocks)
 
 
-#: Rounds at most of the boosted member, trees of the forest, iterations at most of the linear member.
-BOOST_ROUNDS, FOREST_TREES, LINEAR_ROUNDS = 800, 200, 600
-#: Rounds without a new least loss on the inner split that end the boosted member; rounds of its first fit.
-PATIENCE, FIRST_ROUNDS = 50, 100
+def final_members(nodes: DataFrame, names: Sequence[str] = NAMES) -> dict[str, list[dict]]:
+    """The members that were fitted on all rows, from a node table."""
+    held = boosting.read_nodes(nodes.where(F.col("fold") == boosting.ALL))
+    return {n: held[n, boosting.ALL] for n in names if (n, boosting.ALL) in held}
 
 
-def members() -> dict[str, tuple[str, object]]:
-    """name -> (weighting, estimator). Three learners with different biases:
-    boosted trees (ratio weights, rounds chosen by ``fit_member``), a random
-    forest (balanced weights) and an elastic-net logistic regression on
-    standardised features (balanced weights)."""
-    gbt = GBTClassifier(featuresCol="vec", labelCol="y", weightCol="w", maxDepth=5, stepSize=0.05,
-                        maxIter=BOOST_ROUNDS, subsamplingRate=0.8, minInstancesPerNode=3, checkpointInterval=20,
-                        featureSubsetStrategy="0.7", seed=SEED)
-    rf = RandomForestClassifier(featuresCol="vec", labelCol="y", weightCol="w", numTrees=FOREST_TREES,
-                                maxDepth=6, minInstancesPerNode=5, featureSubsetStrategy="0.7",
-                                subsamplingRate=0.8, seed=SEED)
-    lr = Pipeline(stages=[
-        StandardScaler(inputCol="vec", outputCol="vec_std", withMean=True, withStd=True),
-        LogisticRegression(featuresCol="vec_std", labelCol="y", weightCol="w", regParam=0.01,
-                           elasticNetParam=0.5, maxIter=LINEAR_ROUNDS),
-    ])
-    return {"gbt": ("ratio", gbt), "rf": ("balanced", rf), "lr": ("balanced", lr)}
+def score(df: DataFrame, members: dict[str, list[dict]], keep: Sequence[str] = ("account_id", "y"), features: str = "features") -> DataFrame:
+    """``keep`` columns, a probability for each member, and its log-odds as ``<member>_odds``."""
+    made = [T.StructField(c, T.DoubleType()) for n in members for c in (n, f"{n}_odds")]
+    schema = T.StructType([*[df.schema[c] for c in keep], *made])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array(b.column("__x").to_pylist(), dtype=float).reshape(b.num_rows, -1)
+            odds = [boosting.margins(trees, x) for trees in members.values()]
+            cols = [pa.array(v) for o in odds for v in (1.0 / (1.0 + np.exp(-np.clip(o, -500, 500))), o)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *cols], names=schema.names)
 
-def _prepare(train: DataFrame, weighting: str) -> DataFrame:
-    t = class_weights(train, mode=weighting)
-    # inner early-stopping split: 10 % of rows by seeded hash (not the scored fold)
-    return t.withColumn("is_val", F.conv(F.substring(seeded_hash("account_id", SEED + 1), 1, 2), 16, 10).cast("int") < 26)
+    return df.select(*keep, F.col(features).cast("array<double>").alias("__x")).mapInArrow(run, schema)
 
 
-def inner_losses(model: GBTClassificationModel, inner: DataFrame) -> list[float]:
-    """Weighted log loss of the inner split after 1, 2, ... trees (weights are constant in a class)."""
-    total = [0.0] * model.getNumTrees
-    for r in inner.groupBy("y").agg(F.sum("w").alias("w")).collect():
-        own = inner.where(F.col("y") == r["y"]).withColumn("w", F.lit(1.0))
-        total = [t + r["w"] * x for t, x in zip(total, model.evaluateEachIteration(own), strict=True)]
-    return total
-
-
-def patient_rounds(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """(rounds at the least loss, whether ``patience`` rounds followed without a lower one)."""
-    best = 0
-    for k, x in enumerate(losses):
-        if x < losses[best]:
-            best = k
-        elif k - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_member(est, train: DataFrame):
-    """``est`` fitted on prepared rows. The boosted member is fitted without its inner split for
-    ``FIRST_ROUNDS`` rounds, then twice as many, until ``PATIENCE`` rounds bring no lower loss on the split
-    or its rounds are used up; the trees up to the least loss are the member. A longer fit
-    begins with the trees of a shorter one (round k has seed + k). Without inner rows all rounds stay."""
-    if not isinstance(est, GBTClassifier):
-        return est.copy().fit(train)
-    most, rows = est.getMaxIter(), train.where(~F.col("is_val")).persist()
-    inner = train.where("is_val").persist()
-    try:
-        if inner.isEmpty() or rows.isEmpty():
-            return est.copy().fit(train)
-        rounds = min(FIRST_ROUNDS, most)
-        while True:
-            model = est.copy({est.maxIter: rounds}).fit(rows)
-            best, done = patient_rounds(inner_losses(model, inner))
-            if done or rounds == most:
-                return model if best == rounds else est.copy({est.maxIter: best}).fit(rows)
-            rounds = min(2 * rounds, most)
-    finally:
-        rows.unpersist()
-        inner.unpersist()
-
-
-def positive_prob(pred: DataFrame) -> F.Column:
-    return F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))  # a fit that saw one class says 0
-
-
-def oof_scores(df: DataFrame, k: int = 5, parallelism: int = 4) -> DataFrame:
-    """``(account_id, y, fold, member, prob)``: every row scored by the models that
-    did not see its fold. ``df`` has account_id, y, fold, vec. The k x members fits
-    are independent distributed jobs; like ``CrossValidator(parallelism=...)`` they
-    are submitted from a small driver thread pool so the cluster stays busy."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    jobs = [(name, weighting, est, i) for name, (weighting, est) in members().items() for i in range(k)]
-
-    def run(job):
-        name, weighting, est, i = job
-        model = fit_member(est, _prepare(df.where(F.col("fold") != i), weighting))
-        pred = model.transform(df.where(F.col("fold") == i))
-        return pred.select("account_id", "y", "fold", F.lit(name).alias("member"), positive_prob(pred).alias("prob"))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(run, jobs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def fit_final(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, object]:
-    """Each member (or those of ``names``) fitted on all folds. The boosted member keeps its inner
-    split, so that its number of rounds suits the data instead of being fixed."""
-    return {name: fit_member(est, _prepare(df, weighting)) for name, (weighting, est) in members().items() if names is None or name in names}
-
-
-def save_models(models: dict[str, object], path: str) -> None:
-    for name, m in models.items():
-        m.write().overwrite().save(f"{path}/{name}")
-
-
-def load_models(path: str, names: Sequence[str] = ("gbt", "rf", "lr")) -> dict[str, object]:
-    kinds = {"gbt": GBTClassificationModel, "rf": RandomForestClassificationModel, "lr": PipelineModel}
-    return {name: kinds[name].load(f"{path}/{name}") for name in names}
-
-
-def score_members(df: DataFrame, models: dict[str, object], keep: Sequence[str] = ("account_id", "y")) -> DataFrame:
-    """``keep`` columns and one probability column per member, in one pass over ``df``."""
-    out = df.select(*keep, "vec")
-    for name, m in models.items():
-        p = m.transform(out)
-        out = p.select(*out.columns, positive_prob(p).alias(name))
-    return out.drop("vec")
-
-
-def importances(models: dict[str, object], names: Sequence[str], spark) -> DataFrame:
-    """``(member, feature, importance)`` for the tree members (split-gain based),
-    |coefficient| for the linear member, joined to feature names."""
-    rows = []
-    for member, m in models.items():
-        if isinstance(m, PipelineModel):
-            vals = [abs(float(x)) for x in m.stages[-1].coefficients]
-        else:
-            vals = [float(x) for x in m.featureImportances.toArray()]
-        rows += [(member, names[i], v) for i, v in enumerate(vals)]
-    return spark.createDataFrame(rows, "member string, feature string, importance double")
+def contributions(df: DataFrame, trees: list[dict], width: int, names: list[str], features: str = "features") -> DataFrame:
+    """(account_id, feature, shap, base) of one member, in log-odds."""
+    tables = [{**t, "cover": t["rows"]} for t in trees[1:]]
+    return treeshap.tree_shap(df, tables, width, trees[0]["prior"], features, names)

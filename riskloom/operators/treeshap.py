@@ -1,12 +1,13 @@
-"""Exact path-dependent tree contributions (Shapley values) for Spark ML tree ensembles.
+"""Exact path-dependent tree contributions (Shapley values) for tree ensembles.
 
 A leaf's value counts for a row in proportion to the conditions on its path that hold. With the
-path's distinct features as players, feature j has a share z_j of the training weight that passes its
+path's distinct features as players, feature j has a share z_j of the training rows that pass its
 conditions, and o_j says whether the row passes them. The leaf gives feature i
 value * (o_i - z_i) * sum over subsets S of the other features of
-|S|! (D - |S| - 1)! / D! * prod(o in S) * prod(z outside S). As the o are 0 or 1, a leaf with D features
-has 2^D such vectors (D is at most the tree depth): they are tabulated once, and a batch of rows looks
-its patterns up with numpy. Contributions of a boosted classifier are in log-odds (twice Spark's margin).
+|S|! (D - |S| - 1)! / D! * prod(o in S) * prod(z outside S). The sums by size of S are the coefficients of
+the product of (z_j + o_j t): the path is extended one feature at a time, and feature i is taken out again by
+one division by (z_i + o_i t), so a leaf costs D^2 steps however deep it is. All rows with the same o (at most
+the rows of a batch) are one row of the numpy arrays, and all features are taken out at once.
 """
 
 from __future__ import annotations
@@ -40,13 +41,15 @@ def tree_table(tree_model) -> dict[str, np.ndarray]:
                                          ("threshold", thr), ("value", val), ("cover", cover))}
 
 
-def leaf_tables(t: dict[str, np.ndarray]) -> list[tuple[np.ndarray, list[list[tuple[float, bool]]], np.ndarray]]:
-    """For each leaf below at least one split: (features, their conditions (threshold, goes left),
-    contributions [pattern, feature]). Bit j of a pattern says that feature j's conditions hold."""
+def leaf_paths(t: dict[str, np.ndarray]) -> list[tuple[np.ndarray, list[list[tuple[float, bool]]], np.ndarray, float]]:
+    """For each leaf below at least one split that holds training rows: (features, their conditions
+    (threshold, goes left), their shares, value)."""
     out = []
     stack: list[tuple[int, dict[int, tuple[float, list[tuple[float, bool]]]]]] = [(0, {})]
     while stack:
         node, path = stack.pop()
+        if t["cover"][node] <= 0:
+            continue  # no row came here: its leaves weigh nothing
         if t["left"][node] >= 0:
             f, cut = int(t["feature"][node]), float(t["threshold"][node])
             for child, left in ((int(t["left"][node]), True), (int(t["right"][node]), False)):
@@ -55,42 +58,43 @@ def leaf_tables(t: dict[str, np.ndarray]) -> list[tuple[np.ndarray, list[list[tu
                 stack.append((child, {**path, f: (share * step, [*held, (cut, left)])}))
         elif path:
             feats = np.array(list(path))
-            z = np.array([path[f][0] for f in feats.tolist()])
-            out.append((feats, [path[f][1] for f in feats.tolist()], float(t["value"][node]) * _pattern_weights(z)))
+            out.append((feats, [path[f][1] for f in feats.tolist()], np.array([path[f][0] for f in feats.tolist()]), float(t["value"][node])))
     return out
 
 
-def _pattern_weights(z: np.ndarray) -> np.ndarray:
-    """[pattern, feature] contributions of a leaf of value 1."""
+def path_contributions(z: np.ndarray, o: np.ndarray) -> np.ndarray:
+    """[row, feature] contributions of a leaf of value 1 with shares ``z`` for rows that pass as ``o`` says."""
     d = len(z)
-    o = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
-    size_weight = np.array([factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)])
-    out = np.empty_like(o)
-    for i in range(d):
-        by_size = np.zeros((len(o), d))  # coefficient of t^s in the product of (z_j + o_j t), j != i
-        by_size[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                shifted = np.pad(by_size[:, :-1], ((0, 0), (1, 0)))
-                by_size = by_size * z[j] + shifted * o[:, j:j + 1]
-        out[:, i] = (o[:, i] - z[i]) * (by_size @ size_weight)
-    return out
+    whole = np.zeros((len(o), d + 1))  # coefficients of the product of (z_j + o_j t)
+    whole[:, 0] = 1.0
+    for j in range(d):
+        moved = whole[:, :-1] * o[:, j:j + 1]
+        whole *= z[j]
+        whole[:, 1:] += moved
+    size_weight = [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)]
+    passed = o > 0
+    # without feature i: divided by z_i where the row fails it, by (z_i + t), highest power first, where it passes
+    rest, total = np.zeros((len(o), d)), np.zeros((len(o), d))
+    for s in reversed(range(d)):
+        rest = np.where(passed, whole[:, s + 1:s + 2] - z * rest, whole[:, s:s + 1] / z)
+        total += size_weight[s] * rest
+    return (o - z) * total
 
 
 def add_contributions(x: np.ndarray, leaves: list, phi: np.ndarray, scale: float = 1.0) -> None:
     """Add a tree's contributions for the rows of ``x`` into ``phi`` (both rows x features)."""
     passes: dict[tuple[int, float], np.ndarray] = {}
-    for feats, conditions, table in leaves:
-        code = np.zeros(len(x), dtype=np.int64)
+    for feats, conditions, z, value in leaves:
+        ok = np.ones((len(x), len(feats)), bool)
         for j, (f, held) in enumerate(zip(feats.tolist(), conditions, strict=True)):
-            ok = np.ones(len(x), bool)
             for cut, left in held:
                 below = passes.get((f, cut))
                 if below is None:
                     below = passes[f, cut] = x[:, f] <= cut
-                ok &= below if left else ~below
-            code |= ok.astype(np.int64) << j
-        phi[:, feats] += scale * table[code]
+                ok[:, j] &= below if left else ~below
+        packed = np.packbits(ok, axis=1)
+        _, first, back = np.unique(packed.view(f"S{packed.shape[1]}" if packed.shape[1] > 1 else np.uint8).ravel(), return_index=True, return_inverse=True)
+        phi[:, feats] += (scale * value * path_contributions(z, ok[first].astype(float)))[back]
 
 
 def expected_value(t: dict[str, np.ndarray]) -> float:
@@ -98,31 +102,32 @@ def expected_value(t: dict[str, np.ndarray]) -> float:
     return float((t["value"][leaves] * t["cover"][leaves]).sum() / t["cover"][0])
 
 
-def gbt_tables(model) -> tuple[list[dict[str, np.ndarray]], list[float]]:
-    return [tree_table(tr) for tr in model.trees], [float(w) for w in model.treeWeights]
+def spark_trees(model, unit: float = 2.0) -> list[dict[str, np.ndarray]]:
+    """The trees of a Spark boosted classifier in log-odds (twice its margin)."""
+    tables = [(tree_table(t), float(w)) for t, w in zip(model.trees, model.treeWeights, strict=True)]
+    return [{**t, "value": t["value"] * w * unit} for t, w in tables]
 
 
-def tree_shap(df: DataFrame, model, col: str = "features", names: list[str] | None = None,
-              id_col: str = "account_id", unit: float = 2.0) -> DataFrame:
-    """``(account_id, feature, shap, base)`` for every row and every feature, zeros included;
-    sum(shap) + base = ``unit`` x margin, which for Spark's boosted classifier is the log-odds."""
-    trees, weights = gbt_tables(model)
-    base = unit * float(sum(w * expected_value(t) for t, w in zip(trees, weights, strict=True)))
-    n_feat = model.numFeatures
-    labels = np.array(names or [f"f{i}" for i in range(n_feat)], dtype=object)
-    packed = [leaf_tables(t) for t in trees]  # trees x leaves, a bounded table
+def tree_shap(df: DataFrame, trees: list[dict[str, np.ndarray]], width: int, prior: float = 0.0, col: str = "features",
+              names: list[str] | None = None, id_col: str = "account_id") -> DataFrame:
+    """``(account_id, feature, shap, base)`` for every row and each of ``width`` features, zeros included;
+    sum(shap) + base = the model's log-odds. Null and NaN count as lower than any number."""
+    base = prior + float(sum(expected_value(t) for t in trees))
+    labels = np.array(names or [f"f{i}" for i in range(width)], dtype=object)
+    packed = [leaf_paths(t) for t in trees]  # trees x leaves, a bounded table
 
     def explain(batches):
         for whole in batches:
-            for at in range(0, len(whole), 1000):
-                pdf = whole.iloc[at:at + 1000]
+            for at in range(0, len(whole), 5000):
+                pdf = whole.iloc[at:at + 5000]
                 x = np.array(pdf[col].tolist(), dtype=float).reshape(len(pdf), -1)
-                phi = np.zeros((len(pdf), n_feat))
-                for leaves, w in zip(packed, weights, strict=True):
-                    add_contributions(x, leaves, phi, w * unit)
-                yield pd.DataFrame({id_col: np.repeat(pdf[id_col].to_numpy(), n_feat), "feature": np.tile(labels, len(pdf)),
+                x = np.where(np.isnan(x), -np.inf, x)
+                phi = np.zeros((len(pdf), width))
+                for leaves in packed:
+                    add_contributions(x, leaves, phi)
+                yield pd.DataFrame({id_col: np.repeat(pdf[id_col].to_numpy(), width), "feature": np.tile(labels, len(pdf)),
                                     "shap": phi.ravel(), "base": base})
 
-    schema = f"{id_col} long, feature string, shap double, base double"
+    id_type = df.schema[id_col].dataType.simpleString()
     rows = df.select(id_col, F.col(col).cast("array<double>").alias(col))
-    return rows.mapInPandas(explain, schema)
+    return rows.mapInPandas(explain, f"{id_col} {id_type}, feature string, shap double, base double")

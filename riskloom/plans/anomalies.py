@@ -63,3 +63,12 @@ def q_fold_isolation_forest(spark, sf_dir):
     v = folds.stratified_folds(_behaviour_vectors(spark, sf_dir))
     out = anomaly.fold_isolation_forest(v)
     return out.select("account_id", "fold", round6("if_score").alias("if_score"), "if_anomaly")
+
+
+@query("fold_pca_recon")
+def q_fold_pca_recon(spark, sf_dir):
+    """In-fold reconstruction errors: scaler and projection from the other folds' moments."""
+    from riskloom.operators import folds
+
+    v = folds.stratified_folds(_behaviour_vectors(spark, sf_dir))
+    return anomaly.fold_pca_error(v).select("account_id", round6("recon_error").alias("recon_error"))

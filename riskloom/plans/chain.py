@@ -9,20 +9,20 @@ for the members' scores and for the final member that explains them.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import round6
-from riskloom.operators import alerts, anomaly, explain, features, fitted, folds, metrics, models, selection, treeshap
+from riskloom.operators import alerts, anomaly, boosting, explain, features, fitted, folds, metrics, models, selection
 from riskloom.operators.catalog import to_long
 from riskloom.plans import accounts as A
 from riskloom.plans.fitted import Z_TARGETS, behaviour_table
 from riskloom.plans.registry import query
-from riskloom.sources.artifacts import artifact_path, materialized
+from riskloom.sources.artifacts import materialized, materialized_all
 
-MEMBERS = ["gbt", "rf", "lr"]
+MEMBERS = models.NAMES
+#: The member whose contributions explain an account.
+EXPLAINED = "level"
 _IDS = ("account_id", "y", "fold")
-_FITTED: set[tuple[str, str]] = set()
 
 
 def engineered(spark, sf_dir):
@@ -61,18 +61,28 @@ def selection_table(spark, sf_dir):
 
 
 def training(spark, sf_dir):
-    """(account_id, y, fold, features, vec) over the selected features; an undefined value is 0."""
+    """(account_id, y, fold, features) over the selected features; an undefined value is 0."""
 
     def build():
         t, cols = engineered(spark, sf_dir), selected(spark, sf_dir)
         arr = F.array(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0)) for c in cols])
-        return models.with_vector(t.select(*_IDS, arr.alias("features")), "features")
+        return t.select(*_IDS, arr.alias("features"))
 
     return materialized(spark, "chain_training", sf_dir, build)
 
 
+def trained(spark, sf_dir):
+    """(node table, out-of-fold scores): all members on all folds and on all rows, saved by one run."""
+    return materialized_all(spark, ("chain_nodes", "chain_members"), sf_dir, lambda: models.train(training(spark, sf_dir)))
+
+
 def member_scores(spark, sf_dir):
-    return materialized(spark, "chain_members", sf_dir, lambda: models.oof_scores(training(spark, sf_dir)))
+    return trained(spark, sf_dir)[1]
+
+
+def weights(spark, sf_dir):
+    """(member, ap, weight), as ``metrics.blend_weights`` gives them."""
+    return metrics.blend_weights(member_scores(spark, sf_dir))
 
 
 def blended(spark, sf_dir):
@@ -81,26 +91,22 @@ def blended(spark, sf_dir):
     def build():
         long = member_scores(spark, sf_dir)
         wide = long.groupBy("account_id", "y").pivot("member", MEMBERS).agg(F.first("prob"))
-        return alerts.risk_scores(metrics.blend(wide, metrics.blend_weights(long), MEMBERS, out="prob"), "prob")
+        return alerts.risk_scores(metrics.blend(wide, weights(spark, sf_dir), MEMBERS, out="prob"), "prob")
 
     return materialized(spark, "chain_blended", sf_dir, build)
 
 
-def final_member(spark, sf_dir):
-    """The boosted member on all folds, saved on first use and loaded from there."""
-    path, key = artifact_path(spark, "chain_final", sf_dir), (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        models.save_models(models.fit_final(training(spark, sf_dir), ["gbt"]), path)
-        _FITTED.add(key)
-    return models.load_models(path, ["gbt"])["gbt"]
+def final_members(spark, sf_dir) -> dict[str, list[dict]]:
+    """The three members on all folds, read from the saved node table."""
+    return models.final_members(trained(spark, sf_dir)[0])
 
 
 def contributions(spark, sf_dir):
-    """(account_id, feature, shap, base) in log-odds: accounts x selected features."""
+    """(account_id, feature, shap, base) of the level-wise member in log-odds: accounts x selected features."""
 
     def build():
-        m = final_member(spark, sf_dir)
-        return treeshap.tree_shap(training(spark, sf_dir), m, "features", selected(spark, sf_dir))
+        names = selected(spark, sf_dir)
+        return models.contributions(training(spark, sf_dir), final_members(spark, sf_dir)[EXPLAINED], len(names), names)
 
     return materialized(spark, "chain_contributions", sf_dir, build)
 
@@ -146,14 +152,29 @@ def q_account_tree_importance(spark, sf_dir):
 def q_account_tree_cards(spark, sf_dir):
     """Alert cards of every account: the blend's score and tier, the boosted member's factors."""
     cols = F.array(*[F.lit(c) for c in selected(spark, sf_dir)])
-    m = final_member(spark, sf_dir)
+    m = {EXPLAINED: final_members(spark, sf_dir)[EXPLAINED]}
     values = training(spark, sf_dir).select("account_id", F.map_from_arrays(cols, "features").alias("v"))
     long = contributions(spark, sf_dir).join(values, "account_id").select(
         "account_id", F.struct("feature", F.element_at("v", F.col("feature")).alias("value"), "shap").alias("c"))
     rows = long.groupBy("account_id").agg(F.collect_list("c").alias("contrib"))  # one entry per feature
     t = blended(spark, sf_dir).join(rows, "account_id")
-    own = m.transform(training(spark, sf_dir)).select("account_id", vector_to_array("probability")[1].alias("member_prob"))
+    own = models.score(training(spark, sf_dir), m).select("account_id", F.col(EXPLAINED).alias("member_prob"))
     cards = t.join(own, "account_id").select("account_id", "risk_score", round6("prob").alias("prob"), round6("member_prob").alias("member_prob"),
                                               *[v.alias(k) for k, v in explain.card_columns().items()])
     return cards.select("account_id", "risk_score", "prob", "member_prob", "tier", "action", "narrative",
                         F.to_json("top_risk_factors").alias("top_risk_factors"), F.to_json("protective_factors").alias("protective_factors"))
+
+
+@query("account_split_ledger")
+def q_account_split_ledger(spark, sf_dir):
+    """Every split of the chain's members: (member, fold, tree, node, feature, gain, rows)."""
+    ledger = boosting.split_ledger(trained(spark, sf_dir)[0], selected(spark, sf_dir))
+    return ledger.select("member", "fold", "tree", "node", "feature", round6("gain").alias("gain"), "rows")
+
+
+@query("account_model_importance")
+def q_account_model_importance(spark, sf_dir):
+    """Splits, total and mean gain a split of each feature in the members on all folds."""
+    final = trained(spark, sf_dir)[0].where(F.col("fold") == boosting.ALL)
+    imp = boosting.importances(boosting.split_ledger(final, selected(spark, sf_dir)))
+    return imp.select("member", "feature", "splits", *[round6(c).alias(c) for c in ("total_gain", "mean_gain")])

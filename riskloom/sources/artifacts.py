@@ -36,9 +36,13 @@ def materialized(spark: SparkSession, name: str, scope: str, build: Callable[[],
     return spark.read.parquet(path)
 
 
-def save_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def materialized_all(spark: SparkSession, names: tuple[str, ...], scope: str, build: Callable[[], tuple[DataFrame, ...]]) -> tuple[DataFrame, ...]:
+    """Several artifacts that one run makes together, in the order of ``names``."""
+    made: list[tuple[DataFrame, ...]] = []
 
+    def part(i: int) -> DataFrame:
+        if not made:
+            made.append(build())
+        return made[0][i]
 
-def load_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return tuple(materialized(spark, n, scope, lambda i=i: part(i)) for i, n in enumerate(names))

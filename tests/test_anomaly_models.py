@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import anomaly, fitted, folds, models
+from riskloom.operators import anomaly, fitted, folds
 from riskloom.sources.fixtures import fixture
 from tests.conftest import SF, SF2
 
@@ -50,11 +50,13 @@ def test_fold_statistics_ignore_held_out_rows(spark):
     assert [r["z_f_max"] for r in a] == [r["z_f_max"] for r in b]
 
 
-def test_oof_each_row_once_per_member(spark):
-    v = _vec(spark)
-    f = folds.stratified_folds(v.select("account_id", "y", "features"))
-    oof = models.oof_scores(models.with_vector(f, "features").select("account_id", "y", "fold", "vec"))
-    c = oof.groupBy("member", "account_id").count()
-    assert c.where("count != 1").count() == 0
-    assert c.select("account_id").distinct().count() == v.count()
-    assert oof.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
+def test_in_fold_pca_error_equals_one_fit_per_fold(spark):
+    """Moments of the other folds give what a scaler and a projection fitted on them give."""
+    f = folds.stratified_folds(_vec(spark)).withColumn(
+        "features", F.concat(F.slice("features", 1, 9), F.array(F.lit(3.0), F.when(F.col("fold") == 2, 1.0).otherwise(0.0), F.col("features")[0] * 1e6 + 1e9)))
+    got = {r["account_id"]: r["recon_error"] for r in anomaly.fold_pca_error(f).collect()}
+    assert len(got) == f.count()
+    for i in (0, 2):
+        want = anomaly.pca_recon_error(f, fit_filter=F.col("fold") != i).join(f.where(F.col("fold") == i).select("account_id"), "account_id")
+        for r in want.collect():
+            assert abs(got[r["account_id"]] - r["recon_error"]) <= 1e-9 * max(1.0, abs(r["recon_error"]))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import features, metrics
+from riskloom.operators import features, metrics, models
 from riskloom.plans import chain
 from riskloom.streaming import screening
 from tests.bruteforce import average_precision
@@ -46,14 +46,14 @@ def test_contributions_explain_the_saved_member(spark):
     c = chain.contributions(spark, SF)
     t = chain.training(spark, SF)
     assert c.count() == t.count() * len(chain.selected(spark, SF))
-    p = chain.final_member(spark, SF).transform(t)
-    from pyspark.ml.functions import vector_to_array
-
-    odds = p.select("account_id", (2 * vector_to_array("rawPrediction")[1]).alias("odds"))
+    odds = models.score(t, chain.final_members(spark, SF)).select("account_id", F.col(f"{chain.EXPLAINED}_odds").alias("odds"))
     j = c.groupBy("account_id").agg(F.sum("shap").alias("s"), F.first("base").alias("b")).join(odds, "account_id").toPandas()
     assert np.abs(j.s + j.b - j.odds).max() < 1e-9
     cards = chain.q_account_tree_cards(spark, SF)
     assert cards.count() == t.count() and cards.where("tier is null or narrative is null").count() == 0
+    ledger = chain.q_account_split_ledger(spark, SF)
+    assert {r["member"] for r in ledger.select("member").distinct().collect()} == set(chain.MEMBERS)
+    assert ledger.where("feature is null").count() == 0
 
 
 def test_row_moments_are_linear_in_the_columns(spark):
