@@ -1,14 +1,14 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 ``pieces`` encodes whole texts and cuts what is longer than a sequence. ``pack`` then packs the
-pieces: hashed partitions of a bounded number of items pack best-fit decreasing; bins with at most
-``slack`` free places are done; the others go on as single items to fewer partitions, for another
-round, until one bounded partition is left. Rows hold only lengths and checksums, never ids.
+pieces: groups of a bounded number of items, dealt by size so that each has the whole table's mix,
+pack best-fit decreasing; bins with at most ``slack`` free places, or without room for the smallest
+bin that is left, are done; the others go on as single items to fewer groups, for another round, until one
+group holds them all or a whole round joined nothing. Rows hold only lengths and checksums, never ids.
 
 Defined results: a null text is empty and gives one piece that holds the end id alone; repeated
 rows and null ids are packed like any other row; an empty table gives no rows; other columns are
-not read. A round that removes less than a twentieth of its bins ends the tree (its bins are
-final), so the rounds end also when nothing fits together.
+not read.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from riskloom.llm import text as tx
 from riskloom.llm import tokens as tk
 from riskloom.session import cut_lineage
 
+#: Bytes of text that a task encodes at once: fewer distinct words to look up than in smaller slices.
+SLICE_BYTES = 6 << 20
 #: Items that one packing task holds.
 ITEMS = 100_000
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint,offset:bigint>"
@@ -40,7 +42,7 @@ def pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", capac
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tk.once(("library", zlib.crc32(content.encode())), lambda: tk.WordIds(tk.LibraryIds(content)))
-        for part in tx.slices(batches, "text"):
+        for part in tx.slices(batches, "text", SLICE_BYTES):
             words = tx.Words(tx.plain(part.column("text")))
             pool, offsets = encode(words.vocab)
             size = np.diff(offsets)[words.codes]
@@ -89,12 +91,8 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets
 
 
-def _merge(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFrame]:
-    """One partition's items (fill, members) packed: a row (fill, members) for each bin."""
-    rows = [f for f in frames if len(f)]
-    if not rows:
-        return
-    items = pd.concat(rows, ignore_index=True)
+def _merge(items: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """One group's items (fill, members) packed: a row (fill, members) for each bin."""
     bins, offsets = best_fit(items["fill"].to_numpy(np.int64), capacity)
     order = np.lexsort((offsets, bins))
     cuts = np.flatnonzero(np.diff(bins[order])) + 1
@@ -106,36 +104,40 @@ def _merge(frames: Iterator[pd.DataFrame], capacity: int) -> Iterator[pd.DataFra
             base = int(offsets[i])
             held += [{**m, "offset": m["offset"] + base} for m in (x if isinstance(x, dict) else x.asDict() for x in members[i])]
         out.append((int(fill[group].sum()), held))
-        if len(out) == 5000:
-            yield pd.DataFrame(out, columns=["fill", "members"])
-            out = []
-    yield pd.DataFrame(out, columns=["fill", "members"])
+    return pd.DataFrame(out, columns=["fill", "members"])
 
 
-def pack(items: DataFrame, capacity: int = 4096, slack: int = 2, items_per_task: int = ITEMS, fan_in: int = 8) -> DataFrame:
+def _deal(level: DataFrame, tasks: int) -> DataFrame:
+    """Rows with ``deal`` in 0..tasks-1: neighbours in order of fill go to different groups, so every group
+    has the whole table's mix of sizes and at most its share of rows, whatever ids or sizes repeat."""
+    if tasks == 1:
+        return level.withColumn("deal", F.lit(0).cast("bigint"))
+    ranged = level.repartitionByRange(tasks, "fill", F.rand(7)).sortWithinPartitions("fill")
+    return ranged.withColumn("deal", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(tasks)).cast("bigint"))
+
+
+def pack(items: DataFrame, capacity: int = 4096, slack: int = 2, items_per_task: int = ITEMS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for the rows of ``pieces``."""
     schema = T.StructType.fromDDL(f"fill bigint, members array<{MEMBER}>")
     items = cut_lineage(items)
     member = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("bigint").alias("offset"))
     level = items.select(F.col("length").alias("fill"), F.array(member).alias("members"))
-    done = [level.where(F.col("fill") >= capacity - slack)]
-    level = level.where(F.col("fill") < capacity - slack)
+    full = F.col("fill") >= capacity - slack
+    done = [level.where(full)]
+    level = level.where(~full)
     count = level.count()
-    tasks = -(-count // items_per_task)
-    while tasks:
-        dealt = level.repartition(tasks, F.xxhash64(F.col("members")[0]["doc_id"], F.col("members")[0]["piece"], F.lit(len(done))))
-        packed = cut_lineage(dealt.mapInPandas(lambda frames: _merge(frames, capacity), schema))
-        if tasks == 1:
-            done.append(packed)
-            break
-        rest = packed.where(F.col("fill") < capacity - slack)
-        left = rest.count()
-        if left > 0.95 * count:
+    while count:
+        tasks = -(-count // items_per_task)
+        dealt = cut_lineage(_deal(level, tasks)) if tasks > 1 else _deal(level, tasks)  # a random order is taken once
+        packed = cut_lineage(dealt.groupBy("deal").applyInPandas(lambda g: _merge(g[["fill", "members"]], capacity), schema))
+        bins, least = packed.agg(F.count(F.lit(1)), F.min("fill")).first()
+        if tasks == 1 or bins == count:
             done.append(packed)
             break
-        done.append(packed.where(F.col("fill") >= capacity - slack))
-        level, count = rest, left
-        tasks = max(-(-tasks // fan_in), -(-left // items_per_task)) if left else 0
+        closed = full | (F.col("fill") > capacity - least)  # has no room for even the smallest
+        done.append(packed.where(closed))
+        level = packed.where(~closed)
+        count = level.count()
     bins = done[0]
     for more in done[1:]:
         bins = bins.unionByName(more)

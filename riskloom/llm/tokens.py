@@ -18,6 +18,18 @@ PLAIN_WORD = "^[!-~À-ÖØ-öø-įı-ňŊ-ž]+$"
 #: The file's pre-token pattern.
 PRE_TOKEN = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
 WORD_END = "</w>"
+#: A lower-cased word that is one pre-token.
+LETTERS = "^[a-zß-öø-įı-ňŊ-ž]+$"
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Bytes as the characters of the byte-level alphabet: printable Latin-1 stays, the others follow U+0100."""
+    kept = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = [b for b in range(256) if b not in kept]
+    return {b: chr(256 + i) for i, b in enumerate(moved)}
+
+
+BYTE_ALPHABET = _byte_alphabet()
 
 
 def default_path() -> str:
@@ -41,57 +53,86 @@ class LibraryIds:
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        for token, i in vocab.items():
-            self.ends[i] = token.endswith(WORD_END)
 
     def pre_tokens(self, pre: list[str]) -> list[bytes]:
-        """Every pre-token ends in one token with a word end, which cuts the ids of a joined text."""
-        out: list[bytes] = []
-        for at in range(0, len(pre), 1000):
-            part = pre[at:at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):
-                out += [self.word(p) for p in part]
-                continue
-            raw, begin = ids.tobytes(), 0
-            for end in (cuts * 4).tolist():
-                out.append(raw[begin:end])
-                begin = end
-        return out
+        """By the model alone: a lower-cased pre-token only lacks the byte alphabet of the file."""
+        tokenize = self.tokenizer.model.tokenize
+        return [np.array([t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_ALPHABET))], dtype="<u4").tobytes()
+                for p in pre]
 
     def word(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+class IdTable:
+    """Ids of strings, kept as flat arrays up to ``limit`` strings; ``make`` gives the ids of new ones as
+    (ids in turn, offsets)."""
+
+    def __init__(self, make, limit: int):
+        self.make, self.limit = make, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = pa.array([], pa.large_string())
+        self.pool, self.offsets = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def __call__(self, keys: pa.Array) -> np.ndarray:
+        """Where each of some distinct strings is: its ids are pool[offsets[i]:offsets[i + 1]]."""
+        keys = keys.cast(pa.large_string())
+        at = pc.index_in(keys, value_set=self.keys)
+        if len(self.keys) + at.null_count > self.limit and len(self.keys):
+            self.clear()
+            at = pa.nulls(len(keys), pa.int32())
+        if at.null_count:
+            new = keys.filter(at.is_null())
+            pool, offsets = self.make(new)
+            first = len(self.keys)
+            self.keys = pa.concat_arrays([self.keys, new])
+            self.pool = np.concatenate([self.pool, pool])
+            self.offsets = np.concatenate([self.offsets, self.offsets[-1] + offsets[1:]])
+            missing = at.is_null().to_numpy(zero_copy_only=False)
+            out = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            out[missing] = first + np.arange(len(new))
+            return out
+        return at.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the entries ``at`` in turn, offsets)."""
+        size = self.offsets[at + 1] - self.offsets[at]
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        return self.pool[np.repeat(self.offsets[at] - offsets[:-1], size) + np.arange(offsets[-1])], offsets
+
+
+def flat_ids(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    return np.frombuffer(b"".join(blobs), dtype="<u4"), np.concatenate([[0], np.cumsum(size)])
+
+
 class WordIds:
-    """Ids of the distinct words of a slice; ``source`` encodes pre-tokens and unusual words."""
+    """Ids of the distinct words of a slice; ``source`` encodes pre-tokens and unusual words. Words and
+    pre-tokens that were seen before are looked up."""
 
-    def __init__(self, source, limit: int = 200_000):
-        self.source, self.limit = source, limit
-        self.known: dict[str, bytes] = {}
+    def __init__(self, source, limit: int = 400_000):
+        self.source = source
+        self.words = IdTable(self.new_words, limit)
+        self.pre = IdTable(lambda keys: flat_ids(source.pre_tokens(keys.to_pylist())), limit)
 
     def __call__(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in turn, offsets of each word's ids)."""
-        if len(self.known) > self.limit:
-            self.known.clear()
+        return self.words.take(self.words(vocab))
+
+    def new_words(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         usual = pc.and_(pc.match_substring_regex(vocab, PLAIN_WORD), pc.invert(pc.match_substring(vocab, "<|")))
         usual = usual.to_numpy(zero_copy_only=False)
-        spaced = pc.replace_substring_regex(pc.utf8_lower(vocab.filter(pa.array(usual))), PRE_TOKEN, r"\1 ")
+        lower = pc.utf8_lower(vocab.filter(pa.array(usual)))
+        spaced = pc.if_else(pc.match_substring_regex(lower, LETTERS), lower, "")
+        mixed = pc.equal(spaced, "")
+        spaced = pc.replace_with_mask(spaced, mixed, pc.replace_substring_regex(lower.filter(mixed), PRE_TOKEN, r"\1 "))
         lists = pc.ascii_split_whitespace(pc.utf8_rtrim_whitespace(spaced))
         flat = lists.flatten().dictionary_encode()
-        known, pre = self.known, flat.dictionary.to_pylist()
-        if new := [p for p in pre if p not in known]:
-            known.update(zip(new, self.source.pre_tokens(new), strict=True))
-        blobs = [known[p] for p in pre]
-        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        begin = np.cumsum(size) - size
-        of_pre = np.frombuffer(b"".join(blobs), dtype="<u4")
+        at = self.pre(flat.dictionary)
         codes, cuts = flat.indices.to_numpy(), lists.offsets.to_numpy()
-        upto = np.concatenate([[0], np.cumsum(size[codes])])
-        of_usual = of_pre[np.repeat(begin[codes] - upto[:-1], size[codes]) + np.arange(upto[-1])]
+        of_usual, upto = self.pre.take(at[codes])
         odd = [self.source.word(w) for w in vocab.filter(pa.array(~usual)).to_pylist()]
 
         length = np.zeros(len(vocab), dtype=np.int64)

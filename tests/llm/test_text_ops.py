@@ -324,3 +324,27 @@ def test_empty_tables(spark):
     assert substring.dedup(docs, digests=True).count() == 0
     assert langid.identify(docs, langid.fit(docs)).count() == 0
     assert bpe.encode(docs).count() == 0
+
+
+def test_groups_that_hold_a_share_pack_as_well_as_one(spark):
+    """Sizes of which only two fit together: 20 groups of 200 make as few sequences as one of 4,000."""
+    rng = np.random.default_rng(3)
+    data = [(i if i % 3 else None, 0, 0, int(n), 1) for i, n in enumerate(rng.integers(1500, 2400, 4000))]
+    items = spark.createDataFrame(data, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    for share in (200, 100_000):
+        got = packing.pack(items, items_per_task=share).toPandas()
+        assert len(got) == 4000 and got.sequence_id.nunique() == 2000
+        for _, g in got.sort_values("offset").groupby("sequence_id"):
+            assert g.offset.tolist() == [0, *g.length.cumsum()[:-1]] and g.length.sum() <= 4096
+
+
+def test_word_ids_are_the_librarys_with_full_and_empty_tables(rows):
+    library = tk.LibraryIds(tk.read_tokenizer())
+    texts = [t for _, t, _ in rows if t] + ["ÉÀ ïß Ž9 č-č x\u00a0y ﬀ İI Dž ǆ <|endoftext|>a n'T 'LL ''s été's"]
+    words = tx.Words(tx.plain(pa.array(texts * 2))).vocab
+    for limit in (3, 400_000):
+        encode = tk.WordIds(library, limit)
+        for part in (words.slice(0, 40), words, words.slice(10)):
+            ids, cuts = encode(part)
+            for i, w in enumerate(part.to_pylist()):
+                assert ids[cuts[i]:cuts[i + 1]].tolist() == library.tokenizer.encode(w, add_special_tokens=False).ids, w
