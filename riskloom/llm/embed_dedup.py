@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import graph
@@ -97,7 +97,7 @@ def assign(groups: DataFrame, seed: int = 7) -> DataFrame:
                          pa.array([b.tobytes() for b in bits], pa.binary())], names=[*batch.schema.names, "cells", "bits"])
 
     kind = groups.schema["vec"].dataType.simpleString()
-    return groups.mapInArrow(run, f"rid bigint, label int, size int, n bigint, vec {kind}, cells array<int>, bits binary")
+    return groups.mapInArrow(run, f"rid bigint, label string, size int, n bigint, vec {kind}, cells array<int>, bits binary")
 
 
 def block_links(vec: np.ndarray, bits: np.ndarray, ids: np.ndarray, n: np.ndarray, side: np.ndarray, cell: int, same: bool, threshold: float):
@@ -146,7 +146,7 @@ def links(assigned: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK)
         if not held:
             return
         table = pa.Table.from_batches(held)
-        keys = [table[c].to_numpy() for c in key]
+        keys = [np.unique(table["label"].to_numpy(zero_copy_only=False).astype(str), return_inverse=True)[1], *[table[c].to_numpy() for c in key[1:]]]
         order = np.lexsort(keys[::-1])
         keys = [k[order] for k in keys]
         cut = np.any([k[1:] != k[:-1] for k in keys], axis=0)
@@ -168,10 +168,18 @@ def links(assigned: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK)
     return dealt.repartition(tasks, *key).mapInArrow(run, "rid bigint, links bigint, root bigint")
 
 
+def label_key(vectors: DataFrame, label: str) -> Column:
+    """Labels of any type as text: equal texts are equal labels."""
+    own = F.col(f"`{label}`")
+    if vectors.schema[label].dataType.typeName() in ("float", "double"):
+        own = F.when(own == 0, F.lit(0.0)).otherwise(own)  # minus zero equals zero
+    return own.cast("string")
+
+
 def near_duplicates(vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
                     threshold: float = THRESHOLD, block: int = BLOCK, seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per input row."""
-    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("vec"), F.col(label).cast("int").alias("label"))
+    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("vec"), label_key(vectors, label).alias("label"))
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = F.coalesce(finite & F.exists("vec", lambda v: v != 0) & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False))
     rows = rows.withColumn("usable", usable)

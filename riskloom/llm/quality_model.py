@@ -4,7 +4,7 @@ Labellers look at every document: symbols among the characters, table bars, uppe
 repeat a word just before or are repeated by the next, repeated windows and lines, words of letters only, and common short words. Each
 calls a document good or bad by fixed limits, or abstains. Expectation-maximisation over the vote patterns
 of the whole corpus estimates their accuracies without any label. The posteriors label a bounded sample
-(``max_sample`` documents in hash order of the id), on which a logistic regression over hashed features is
+(documents in hash order of the id, at most ``max_sample`` and about ``max_bytes`` of text), on which a logistic regression over hashed features is
 trained: runs of letters, other runs, case shapes and repeats, as shares of the text. It scores every
 whole text; ``kept`` says whether the score (P(good)) reaches ``threshold``.
 
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import quality_rules as qr
@@ -28,6 +28,8 @@ from riskloom.llm import text as tx
 from riskloom.llm import weak
 
 MAX_SAMPLE, BUCKETS, THRESHOLD = 20_000, 1 << 16, 0.3
+#: Bytes of text after which the sample takes no further document: it bounds the features on the driver.
+MAX_BYTES = 24 << 20
 VOTERS = 10
 
 
@@ -97,7 +99,7 @@ class Model:
         return np.where(words.counts > 0, 1 / (1 + np.exp(np.clip(odds, -500, 500))), 0.0)
 
 
-def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_sample: int = MAX_SAMPLE, buckets: int = BUCKETS) -> Model:
+def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_sample: int = MAX_SAMPLE, max_bytes: int = MAX_BYTES, buckets: int = BUCKETS) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
         for part in tx.slices(batches, "text"):
@@ -117,7 +119,10 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_samp
     labeller = weak.fit_label_model(pattern, counts, start)
 
     ids = rows.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_sample)
-    sample = rows.join(F.broadcast(ids), "doc_id").select("text")
+    sizes = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size"))
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # at most max_sample rows
+    picked = sizes.select("doc_id", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before")).where(F.col("before") < max_bytes).select("doc_id")
+    sample = rows.join(F.broadcast(picked), "doc_id").select("text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = tx.WordHashes()
@@ -129,8 +134,6 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", max_samp
             codes, starts = feature_codes(words, traits, hashes, buckets)
             doc = np.repeat(np.arange(len(texts)), np.diff(starts))
             keys, n = np.unique(doc * buckets + codes, return_counts=True)
-            keep = n >= 2  # what occurs once in a text carries little of its share
-            keys, n = keys[keep], n[keep]
             ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(keys // buckets, minlength=len(texts)))]).astype(np.int32))
             share = (n / np.maximum(1, words.counts)[keys // buckets]).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.ListArray.from_arrays(ends, pa.array((keys % buckets).astype(np.int32))),

@@ -192,10 +192,15 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id, once.
-    A row without an id stays."""
-    first = near_duplicates(docs, doc_id=doc_id, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, docs[f"`{doc_id}`"] == first["__id"], "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    """The rows of ``docs`` that stay: of each component the document with the smallest id, once: of rows
+    with that id the one with the smallest text (null first, by bytes). A row without an id stays."""
+    p = tx.unused(docs.columns)
+    first = near_duplicates(docs, doc_id=doc_id, **options).where("doc_id = component_id").select(F.col("doc_id").alias(f"{p}id")).distinct()
+    kept = docs.join(first, F.col(f"`{doc_id}`") == F.col(f"{p}id"), "left_semi")
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() != "map"]
+    text = F.col(f"`{options.get('text', 'text')}`").cast("string")
+    one = kept.groupBy(F.col(f"`{doc_id}`")).agg(F.min_by(F.struct(*every), F.struct(text, F.xxhash64(*plain))).alias(f"{p}row"))
+    return one.select(*[F.col(f"{p}row").getField(c).alias(c) for c in docs.columns]).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
 
 

@@ -292,22 +292,24 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep:
     """``keep`` columns (all by default) with ``text`` as its kept words joined by spaces, or, with
     ``digests``, with n_words, n_removed and kept_sha256 instead. A text that loses nothing stays as it is
     in the first form."""
+    p = tx.unused(docs.columns)  # names of this function's own columns
     source = _source(docs, doc_id, text)
     spans = repeated_spans(source, window, anchor, group).groupBy("doc_id", "rk").agg(
-        F.collect_list(F.struct("start", "stop")).alias("__spans"))
+        F.collect_list(F.struct("start", "stop")).alias(f"{p}spans"))
     if digests:
         rows = source.join(spans, ["doc_id", "rk"], "left")
         kept, text_col = ["doc_id"], "text"
     else:
-        key = spans.select(F.col("doc_id").alias("__id"), F.col("rk").alias("__rk"), "__spans")
-        marked = docs.withColumn("__rk2", F.xxhash64(F.col(text)))
-        rows = marked.join(key, (F.col(doc_id).cast("bigint") == F.col("__id")) & (F.col("__rk2") == F.col("__rk")), "left").drop("__id", "__rk", "__rk2")
+        key = spans.select(F.col("doc_id").alias(f"{p}id"), F.col("rk").alias(f"{p}rk"), f"{p}spans")
+        marked = docs.withColumn(f"{p}rk2", F.xxhash64(F.col(text)))
+        same = (F.col(doc_id).cast("bigint") == F.col(f"{p}id")) & (F.col(f"{p}rk2") == F.col(f"{p}rk"))
+        rows = marked.join(key, same, "left").drop(f"{p}id", f"{p}rk", f"{p}rk2")
         kept, text_col = [c for c in (docs.columns if keep is None else keep) if c != text], text
 
     def compute(part: pa.RecordBatch) -> dict:
         texts = tx.plain(part.column(text_col))
         words = tx.Words(texts)
-        gone = removed_words(words, part.column("__spans"), window)
+        gone = removed_words(words, part.column(f"{p}spans"), window)
         n_gone = tx.segment_sums(gone.astype(np.int64), words.starts)
         out, n = [], 0
         originals = part.column(text_col).to_pylist()
@@ -327,5 +329,5 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep:
         return {text: pa.array([b.decode() if isinstance(b, bytes) else b for b in out], pa.string())}
 
     schema = "n_words bigint, n_removed bigint, kept_sha256 string" if digests else f"`{text}` string"
-    out = tx.annotate(rows, text_col, schema, compute, [*kept, "__spans"]).drop("__spans")
+    out = tx.annotate(rows, text_col, schema, compute, [*kept, f"{p}spans"]).drop(f"{p}spans")
     return out if digests else out.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)])

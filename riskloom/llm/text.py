@@ -32,6 +32,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             pa.default_memory_pool().release_unused()  # workers live on; what a slice needed goes back
 
 
+def unused(columns: list[str], prefix: str = "__") -> str:
+    """``prefix``, lengthened until no column begins with it."""
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def plain(texts: pa.Array) -> pa.Array:
     """Nulls as empty texts, in a fresh array without an offset."""
     return pc.fill_null(texts.cast(pa.large_string()), "")

@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -58,28 +59,51 @@ def labelled_ids(labels: DataFrame, *, doc_id: str = "doc_id", toxic: str = "tox
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
 
 
+#: Similarity of 4-word shingles from which a sampled document counts as a copy.
+COPY = 0.8
+
+
 def without_copies(sample: DataFrame) -> DataFrame:
-    """(text, toxic) of the sample's documents, of those with one least 4-word hash the first: a copied
-    document would make its rare words look like entries. The sample is bounded, and is written once."""
+    """(text, toxic) of the sample's documents without copies: of documents of one label that share their
+    least 4-word hash and at least ``COPY`` of their shingles with one of smaller id, that one. A copied document
+    would make its rare words look like entries. Documents of different labels stay, as do those that
+    only share a passage. The sample is bounded, so a group is too; it is written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = tx.WordHashes()
         for part in tx.slices(batches, "text"):
             words = tx.Words(tx.plain(part.column("text")))
             h, doc = hashes.of(words.vocab)[words.codes], words.doc
-            least = np.full(len(words), np.iinfo(np.uint64).max, dtype=np.uint64)
-            if len(h) >= 4:
-                grams = tx.mix64(substring.sequence_hashes(h, 4))
-                inside = doc[:-3] == doc[3:]
-                np.minimum.at(least, doc[:-3][inside], grams[inside])
-            short = np.flatnonzero(words.counts < 4)
+            least, held = np.zeros(len(words), np.uint64), []
+            grams = tx.mix64(substring.sequence_hashes(h, 4)) if len(h) >= 4 else np.zeros(0, np.uint64)
+            inside = doc[:-3] == doc[3:] if len(h) >= 4 else np.zeros(0, bool)
+            cuts = np.searchsorted(doc[:-3][inside], np.arange(len(words) + 1)) if len(h) >= 4 else np.zeros(len(words) + 1, int)
+            grams = grams[inside]
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            least[short] = tx.mix64(ids[short].astype(np.int64).view(np.uint64))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least.view(np.int64))], names=["doc_id", "text", "toxic", "least"])
-
-    named = sample.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, text string, toxic int, least bigint")
-    first = named.groupBy("least").agg(F.min(F.struct("doc_id", "text", "toxic")).alias("row"))
-    return cut_lineage(first.select("row.text", "row.toxic"))
+            for i in range(len(words)):
+                own = np.unique(grams[cuts[i]:cuts[i + 1]])
+                least[i] = own[0] if len(own) else tx.mix64(ids[i:i + 1].astype(np.int64).view(np.uint64))[0]
+                held.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least.view(np.int64)), pa.array(held, pa.binary())],
+                                             names=["doc_id", "text", "toxic", "least", "grams"])
+
+    def distinct(group: pd.DataFrame) -> pd.DataFrame:
+        kept: list[np.ndarray] = []
+        rows = []
+        for i, raw in group.sort_values("doc_id")["grams"].items():
+            own = np.frombuffer(raw, np.uint64)
+            if all(len(common := np.intersect1d(own, k, assume_unique=True)) < COPY * (len(own) + len(k) - len(common)) or not len(own) for k in kept):
+                kept.append(own)
+                rows.append(i)
+        return group.loc[rows, ["text", "toxic"]]
+
+    named = sample.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, text string, toxic int, least bigint, grams binary")
+    named = cut_lineage(named)
+    sizes = named.groupBy("least", "toxic").agg(F.count(F.lit(1)).alias("n"))
+    rows = named.join(sizes, ["least", "toxic"])
+    alone = rows.where("n = 1").select("text", "toxic")
+    groups = rows.where("n > 1").groupBy("least", "toxic").applyInPandas(distinct, "text string, toxic int")
+    return cut_lineage(alone.unionByName(groups))
 
 
 class Lexicon:

@@ -233,7 +233,8 @@ def test_pipeline_stages_take_effect(spark):
 def test_registered_queries_return_their_columns(spark, key):
     need = {1: "vec_id n_links component_id kept", 2: "doc_id fingerprint component_id", 3: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
             4: "doc_id n_tokens", 5: "doc_id piece start length ids_crc32 sequence_id offset", 6: "doc_id n_words n_removed kept_sha256", 7: "doc_id held_out lang_pred score",
-            8: "doc_id n_tokens ids_sha256 decoded_sha256", 9: "doc_id score kept", 10: "doc_id held_out score predicted"}[int(key[2:].split("_")[0])]
+            8: "doc_id n_tokens ids_sha256 decoded_sha256", 9: "doc_id score kept", 10: "doc_id held_out score predicted",
+            11: "item_id rank doc_id score", 12: "doc_id keep_id group_size kept text_sha256", 13: "doc_id leaf subroot root proof_sha256 folded_root verified"}[int(key[2:].split("_")[0])]
     out = LLM_QUERIES[key](spark, SF)
     assert set(need.split()) <= set(out.columns)
     rows = spark.read.parquet(f"{SF}/{'embeddings' if key.startswith('op1_') else 'documents'}.parquet").count()
