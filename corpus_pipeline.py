@@ -2,7 +2,11 @@
 
 Every stage calls one operator of ``riskloom.llm``; its result is written as Parquet in the shared
 checkpoint folder and read again as the next stage's documents. All but the last stage return the
-columns of ``documents``.
+columns of ``documents``, whatever other columns they have.
+
+Defined results: a null or empty text has no letter and goes in the first stage; rows without an id are
+judged like others and stay apart in the third; of rows with one id the third stage keeps one; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import langid, packing, quality_rules, simhash, substring
+from riskloom.llm import text as tx
 from riskloom.session import cut_lineage
 from riskloom.sources.tables import read_table
 
@@ -23,17 +28,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Rank-order profiles; texts without a letter or below the least score of the language found go."""
     profiles = langid.fit(docs)
     least = langid.least_scores(docs, profiles)
-    found = langid.identify(docs, profiles, prefix="__")
+    p = tx.unused(docs.columns)
+    found = langid.identify(docs, profiles, prefix=p)
     if not least:
         return found.where("false").select(docs.columns)
-    limit = F.element_at(F.create_map(*[F.lit(x) for pair in least.items() for x in pair]), F.col("__lang_pred"))
-    return found.where((F.col("__lang_pred") != "und") & (F.col("__score") >= limit)).select(docs.columns)
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in least.items() for x in pair]), F.col(f"{p}lang_pred"))
+    return found.where((F.col(f"{p}lang_pred") != "und") & (F.col(f"{p}score") >= limit)).select(docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Base rules and the hashed n-gram ratio; documents that are not kept go."""
-    judged = quality_rules.rules(docs, read_table(spark, sf_dir, "labels"), prefix="__")
-    return judged.where("__kept").select(docs.columns)
+    p = tx.unused(docs.columns)
+    judged = quality_rules.rules(docs, read_table(spark, sf_dir, "labels"), prefix=p)
+    return judged.where(F.col(f"{p}kept")).select(docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
