@@ -9,6 +9,7 @@ for the members' scores and for the final member that explains them.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import round6
@@ -178,3 +179,64 @@ def q_account_model_importance(spark, sf_dir):
     final = trained(spark, sf_dir)[0].where(F.col("fold") == boosting.ALL)
     imp = boosting.importances(boosting.split_ledger(final, selected(spark, sf_dir)))
     return imp.select("member", "feature", "splits", *[round6(c).alias(c) for c in ("total_gain", "mean_gain")])
+
+
+def release_root(spark, sf_dir) -> str:
+    """The folder of the chain's releases; the first one is published on first use."""
+    from riskloom.sources import releases
+    from riskloom.sources.artifacts import artifact_path
+
+    root = artifact_path(spark, "chain_releases", sf_dir)
+    if not releases.versions(spark, root):
+        names = selected(spark, sf_dir)
+        labels = training(spark, sf_dir).select("account_id", "y")
+        releases.publish(spark, root, nodes=trained(spark, sf_dir)[0], features=names,
+                         medians=features.medians(engineered(spark, sf_dir), names), weights=weights(spark, sf_dir),
+                         calibration=alerts.calibration_params(blended(spark, sf_dir), "prob"),
+                         class_means=explain.global_importance(contributions(spark, sf_dir).join(labels, "account_id")), explained=EXPLAINED)
+    return root
+
+
+def _responses(df):
+    return df.select("account_id", "risk_score", "tier", round6("fraud_probability").alias("fraud_probability"), "action",
+                     F.to_json("top_risk_factors").alias("top_risk_factors"), "typology.*", "model_version")
+
+
+@query("account_screen")
+def q_account_screen(spark, sf_dir):
+    """Requests screened by the released members, weights, medians and calibration."""
+    from riskloom.operators import screen
+    from riskloom.plans import screening
+    from riskloom.sources import releases
+
+    root = release_root(spark, sf_dir)
+    release = releases.load(spark, root, releases.current(spark, root))
+    return _responses(screen.screen_release(screening.requests(spark, sf_dir), release, screening.API_TYPO))
+
+
+@query("account_screen_stream")
+def q_account_screen_stream(spark, sf_dir):
+    """The same requests through the stream; the tests check equality with ``account_screen``."""
+    from riskloom.plans import screening
+    from riskloom.streaming.screening import run_release_stream
+
+    return _responses(run_release_stream(spark, screening.requests(spark, sf_dir), release_root(spark, sf_dir), screening.API_TYPO))
+
+
+@query("account_model_card")
+def q_account_model_card(spark, sf_dir):
+    """(section, key, value): the members with their blend weights and trees, top-5 features, the blend's metrics."""
+    nodes, w = trained(spark, sf_dir)[0], weights(spark, sf_dir)
+    trees = nodes.where((F.col("fold") == boosting.ALL) & (F.col("tree") >= 0)).groupBy("member").agg(F.count_distinct("tree").alias("n"))
+    top = q_account_tree_importance(spark, sf_dir).orderBy(F.desc("importance"), "feature").limit(5)
+    rank = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))
+    parts = [
+        w.select(F.lit("weight").alias("section"), F.col("member").alias("key"), F.format_string("%.4f", "weight").alias("value")),
+        trees.select(F.lit("trees").alias("section"), F.col("member").alias("key"), F.col("n").cast("string").alias("value")),
+        top.select(F.lit("top_feature").alias("section"), rank.cast("string").alias("key"), F.col("feature").alias("value")),
+        q_account_blend_metrics(spark, sf_dir).select(F.lit("metric").alias("section"), F.col("metric").alias("key"), F.format_string("%.4f", "value").alias("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

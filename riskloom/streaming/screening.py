@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.operators import screen
 from riskloom.session import checkpoint_dir
+from riskloom.sources import releases, store
 
 
 def start_screen_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, medians: DataFrame,
@@ -38,6 +39,36 @@ def start_screen_stream(spark: SparkSession, landing: str, sink: str, checkpoint
     return w.start()
 
 
+def start_release_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, releases_root: str,
+                         typology_attrs: dict[str, str], schema, available_now: bool = True, files_per_batch: int | None = None):
+    """Screening by released models. A micro-batch takes the release that is current when it first runs and
+    writes its version beside the sink before its responses, so a batch that runs again uses the same one, and
+    members, weights, calibration and medians change together between batches."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        note = f"{sink.rstrip('/')}-versions/{batch_id}"
+        store.put_text(spark, note, releases.current(spark, releases_root))
+        release = releases.load(spark, releases_root, store.get_text(spark, note))
+        out = screen.screen_release(batch, release, typology_attrs)
+        out.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+
+    w = reader.parquet(landing).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
+def run_release_stream(spark: SparkSession, requests: DataFrame, releases_root: str, typology_attrs: dict[str, str], batches: int = 3) -> DataFrame:
+    """Land ``requests`` as ``batches`` files, drain them through as many micro-batches, return the sink."""
+    base = os.path.join(checkpoint_dir(spark), "screen-stream", uuid.uuid4().hex)
+    landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "checkpoint"))
+    requests.repartition(batches).write.parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    start_release_stream(spark, landing, sink, ckpt, releases_root, typology_attrs, schema, files_per_batch=1).awaitTermination()
+    return spark.read.parquet(sink).drop("batch_id")
+
+
 def run_screen_stream(spark: SparkSession, requests: DataFrame, medians: DataFrame, scorer_params: DataFrame,
                       calibration: DataFrame, features: list[str], typology_attrs: dict[str, str], batches: int = 3) -> DataFrame:
     """Land ``requests`` as ``batches`` files, drain them through as many micro-batches, return the sink."""
