@@ -23,7 +23,6 @@ REFERENCE_MAPPINGS: dict[str, dict[str, int]] = {
     "F2230": {"Sep25": 9, "Oct25": 10, "Nov25": 11, "Dec25": 12},
 }
 HIGH_CARDINALITY = 50
-# Broadcast a frequency table only below this many categories (size check).
 
 
 def manual_code(col: str, mapping: Mapping[str, int]):
@@ -51,42 +50,68 @@ def encode_plan(df: DataFrame, manual: Mapping[str, Mapping[str, int]], columns:
     return nd.withColumn("encoding", enc)
 
 
-def ordinal_table(df: DataFrame, col: str) -> DataFrame:
-    """``(category, code)``: codes 0.. in sorted order of the text values; a NULL is
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, category, c)`` of all ``columns`` in one grouped count over one scan; NULL is a category."""
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("category")) for c in columns])
+    return df.select(F.explode(items).alias("e")).groupBy("e.feature", "e.category").agg(F.count(F.lit(1)).alias("c"))
+
+
+def ordinal_codes(counts: DataFrame) -> DataFrame:
+    """``(feature, category, code)``: codes 0.. in sorted order of the text values; a NULL is
     its own category 'nan' (text conversion precedes filling)."""
-    cats = df.select(F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias("category")).distinct()
-    w = Window.orderBy("category")  # <= 50 rows by construction
+    cats = counts.select("feature", F.coalesce("category", F.lit("nan")).alias("category")).distinct()
+    w = Window.partitionBy("feature").orderBy("category")  # the chooser lets at most 51 categories through
     return cats.withColumn("code", (F.dense_rank().over(w) - 1).cast("double"))
 
 
-def frequency_table(df: DataFrame, col: str) -> DataFrame:
-    """``(category, share)``: share of non-null rows (partial aggregation first)."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("category")).agg(
-        F.count(F.lit(1)).alias("c"))
-    return _share(counts)
+def ordinal_table(df: DataFrame, col: str) -> DataFrame:
+    """``(category, code)`` of one column."""
+    return ordinal_codes(category_counts(df, [col])).select("category", "code")
 
 
-def _share(counts: DataFrame) -> DataFrame:
-    total = counts.agg(F.sum("c").alias("_t"))
-    from riskloom.functions.params import attach_params
+def category_shares(counts: DataFrame) -> DataFrame:
+    """``(feature, category, share)``: share of the column's non-null rows."""
+    held = counts.where(F.col("category").isNotNull())
+    total = held.groupBy("feature").agg(F.sum("c").alias("_t"))  # one row a column
+    return held.join(F.broadcast(total), "feature").select("feature", "category", (F.col("c") / F.col("_t")).alias("share"))
 
-    return attach_params(counts, total).select("category", (F.col("c") / F.col("_t")).alias("share"))
+
+def frequency_table(df: DataFrame, col: str) -> DataFrame:
+    """``(category, share)`` of one column."""
+    return category_shares(category_counts(df, [col])).select("category", "share")
 
 
 def apply_encodings(df: DataFrame, plan_rows: Sequence, manual: Mapping[str, Mapping[str, int]]) -> DataFrame:
-    """Replace each planned string column by its numeric code (double)."""
-    out = df
+    """Replace each planned string column by its numeric code (double), with two passes over ``df`` however
+    many columns there are: one counts all categories, one looks all codes up. Ordinal codes are one map of at
+    most 51 entries a column, attached to the rows; shares are looked up by one join on (column, value), whose
+    hot values adaptive execution splits, and gathered by row."""
+    kinds: dict[str, list[str]] = {"manual": [], "ordinal": [], "frequency": []}
     for r in plan_rows:
-        col, enc = r["feature"], r["encoding"]
-        if enc == "manual":
-            out = out.withColumn(col, manual_code(col, manual[col]))
-        elif enc == "ordinal":
-            t = F.broadcast(ordinal_table(df, col))  # <= 51 rows
-            key = F.coalesce(F.col(col).cast("string"), F.lit("nan"))
-            out = out.withColumn("_cat", key).join(t.withColumnRenamed("category", "_cat"), "_cat", "left") \
-                .withColumn(col, F.coalesce("code", F.lit(-1.0))).drop("_cat", "code")
-        else:
-            t = frequency_table(df, col).withColumnRenamed("category", "_cat")
-            out = out.withColumn("_cat", F.col(col)).join(t, "_cat", "left") \
-                .withColumn(col, F.coalesce("share", F.lit(0.0))).drop("_cat", "share")
-    return out
+        kinds[r["encoding"]].append(r["feature"])
+    ordinal, frequency = kinds["ordinal"], kinds["frequency"]
+    codes = {c: manual_code(c, manual[c]) for c in kinds["manual"]}
+    if not ordinal and not frequency:
+        return df.withColumns(codes)
+    from riskloom.functions.params import attach_params
+    from riskloom.session import cut_lineage
+
+    out = df
+    counts = cut_lineage(category_counts(df, ordinal + frequency))
+    if ordinal:
+        entry = F.struct(F.concat_ws("\0", "feature", "category").alias("k"), F.col("code").alias("v"))
+        one = ordinal_codes(counts.where(F.col("feature").isin(ordinal))).agg(F.map_from_entries(F.collect_list(entry)).alias("_ordinal"))
+        out = attach_params(out, one)
+        for c in ordinal:
+            key = F.concat_ws("\0", F.lit(c), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")))
+            codes[c] = F.coalesce(F.element_at("_ordinal", key), F.lit(-1.0))
+    if frequency:
+        out = cut_lineage(out.withColumn("_row", F.monotonically_increasing_id()))  # the row numbers are read twice
+        items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("category")) for c in frequency])
+        long = out.select("_row", F.explode(items).alias("e")).select("_row", "e.feature", "e.category").where(F.col("category").isNotNull())
+        shares = category_shares(counts.where(F.col("feature").isin(frequency)))
+        found = long.join(shares, ["feature", "category"]).groupBy("_row").agg(
+            F.map_from_entries(F.collect_list(F.struct("feature", "share"))).alias("_shares"))  # an entry a column
+        out = out.join(found, "_row", "left")
+        codes |= {c: F.coalesce(F.element_at("_shares", F.lit(c)), F.lit(0.0)) for c in frequency}
+    return out.withColumns(codes).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -96,3 +96,18 @@ def test_zscores_on_degenerate_columns(spark):
     assert max(abs(r["z_x"]) for r in z) < 3 and sum(r["z_composite_score"] for r in z) == 0
     fit_only_first = fitted.zscores(df, ["x"], fit_filter=F.col("account_id") < 5).orderBy("account_id").collect()
     assert fit_only_first[9]["zflag_x"] == 1  # x = 9 is far outside the fitted rows (mean 2, sd 1.58)
+
+
+def test_all_string_columns_are_encoded_in_two_passes(spark):
+    rows = [(i, ["a", "b", None, "c"][i % 4], f"u{i % 70}" if i % 7 else None, "x" if i % 3 else "k" + str(i), "nan" if i % 2 else None) for i in range(210)]
+    df = spark.createDataFrame(rows + rows[:1], "account_id long, o string, f string, `g.h` string, p string")
+    plan = [{"feature": c, "encoding": e} for c, e in (("o", "ordinal"), ("f", "frequency"), ("g.h", "frequency"), ("p", "ordinal"))]
+    out = encode.apply_encodings(df, plan, {})
+    assert out.columns == df.columns and out.count() == 211
+    n = lambda k: [r[k] for r in rows + rows[:1] if r[k] is not None]
+    want = sorted((i, {"a": 0.0, "b": 1.0, "c": 2.0, None: 3.0}[o], n(2).count(f) / len(n(2)) if f else 0.0, n(3).count(g) / len(n(3)), 0.0)
+                  for i, o, f, g, _ in rows + rows[:1])
+    assert sorted(map(tuple, out.collect())) == [pytest.approx(w) for w in want]
+    ordinal_only = encode.apply_encodings(df, plan[:1], {})._jdf.queryExecution().optimizedPlan().toString()
+    assert ordinal_only.count("Join") == 1  # the attached map
+    assert encode.apply_encodings(df.where("false"), plan, {}).count() == 0
