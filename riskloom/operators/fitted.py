@@ -20,21 +20,27 @@ Z_FLAG = 3.0
 RECON_PCT = 0.99
 
 
-def _z_columns(targets: Sequence[str]) -> list[Column]:
-    out, flags = [], []
+def z_expressions(targets: Sequence[str]) -> dict[str, Column]:
+    """``z_<c>``, ``zflag_<c>`` of each target and their composite, over ``c``, ``_mu_<c>`` and ``_sd_<c>``."""
+    out, flags = {}, []
     for c in targets:
         z = (F.col(c) - F.col(f"_mu_{c}")) / (F.col(f"_sd_{c}") + F.lit(Z_EPS))
         # greatest/least skip NULLs: keep an undefined z undefined instead of clipping it
-        out.append(F.when(z.isNotNull(), F.least(F.greatest(z, F.lit(-Z_CLIP)), F.lit(Z_CLIP))).alias(f"z_{c}"))
+        out[f"z_{c}"] = F.when(z.isNotNull(), F.least(F.greatest(z, F.lit(-Z_CLIP)), F.lit(Z_CLIP)))
         flags.append(F.coalesce((F.abs(z) > Z_FLAG).cast("int"), F.lit(0)))  # undefined z: not flagged
-        out.append(flags[-1].alias(f"zflag_{c}"))
-    comp = flags[0]
-    for f in flags[1:]:
-        comp = comp + f
-    out.append(comp.alias("z_composite_score"))
+        out[f"zflag_{c}"] = flags[-1]
+    if flags:
+        comp = flags[0]
+        for f in flags[1:]:
+            comp = comp + f
+        out["z_composite_score"] = comp
     return out
 
 
+def _z_columns(targets: Sequence[str]) -> list[Column]:
+    return [v.alias(k) for k, v in z_expressions(targets).items()]
+
+
 def zscore_params(df: DataFrame, targets: Sequence[str], fit_filter: Column | None = None) -> DataFrame:
     """One row: mean and sample std of each target over the fitting rows."""
     fit = df if fit_filter is None else df.where(fit_filter)

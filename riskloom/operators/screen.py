@@ -151,11 +151,22 @@ def member_contributions(vectors: DataFrame, release, typology: list[str]) -> Da
     return rows.mapInArrow(run, schema)
 
 
-def screen_release(requests: DataFrame, release, typology_attrs: dict[str, str]) -> DataFrame:
-    """Batch screening by the members, weights, medians and calibration of one release, with per-row failures."""
+def screen_release(requests: DataFrame, release, typology_attrs: dict[str, str], derive: str = "median") -> DataFrame:
+    """Batch screening by the members, weights, medians and calibration of one release, with per-row failures.
+    Derived columns keep their training medians, or follow the supplied values with ``derive="recompute"``
+    (for a release that holds its derivation)."""
+    from riskloom.operators.derive import recompute
+
     spark = requests.sparkSession
     medians = spark.createDataFrame([(f, m) for f, m in release.medians.items()], "feature string, median double")
-    v = request_vectors(requests, medians, release.features)
+    if derive == "recompute":
+        if release.derivation is None:
+            raise ValueError(f"{release.version} was published without its derivation")
+        v = recompute(requests, release.derivation, release.features, medians)
+    elif derive == "median":
+        v = request_vectors(requests, medians, release.features)
+    else:
+        raise ValueError(f"derive must be 'median' or 'recompute', not {derive!r}")
     parsed = F.col("parse_error").isNull()
     v = v.select(*[F.when(parsed, F.col(c)).otherwise(F.lit(0.0)).alias(c) if c in release.features else F.col(c) for c in v.columns])
     used = list(dict.fromkeys(c for c in typology_attrs.values() if c in v.columns))

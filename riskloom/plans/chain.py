@@ -183,6 +183,7 @@ def q_account_model_importance(spark, sf_dir):
 
 def release_root(spark, sf_dir) -> str:
     """The folder of the chain's releases; the first one is published on first use."""
+    from riskloom.plans.derivation import derivation
     from riskloom.sources import releases
     from riskloom.sources.artifacts import artifact_path
 
@@ -193,7 +194,8 @@ def release_root(spark, sf_dir) -> str:
         releases.publish(spark, root, nodes=trained(spark, sf_dir)[0], features=names,
                          medians=features.medians(engineered(spark, sf_dir), names), weights=weights(spark, sf_dir),
                          calibration=alerts.calibration_params(blended(spark, sf_dir), "prob"),
-                         class_means=explain.global_importance(contributions(spark, sf_dir).join(labels, "account_id")), explained=EXPLAINED)
+                         class_means=explain.global_importance(contributions(spark, sf_dir).join(labels, "account_id")), explained=EXPLAINED,
+                         derivation=derivation(spark, sf_dir))
     return root
 
 
@@ -214,6 +216,19 @@ def q_account_screen(spark, sf_dir):
     return _responses(screen.screen_release(screening.requests(spark, sf_dir), release, screening.API_TYPO))
 
 
+@query("account_screen_recomputed")
+def q_account_screen_recomputed(spark, sf_dir):
+    """Requests that supply whole raw rows, screened with the derived columns recomputed from them (z-scores by
+    the moments of all training rows; detector columns keep their medians)."""
+    from riskloom.operators import screen
+    from riskloom.plans import derivation, screening
+    from riskloom.sources import releases
+
+    root = release_root(spark, sf_dir)
+    release = releases.load(spark, root, releases.current(spark, root))
+    return _responses(screen.screen_release(derivation.whole_rows(spark, sf_dir), release, screening.API_TYPO, derive="recompute"))
+
+
 @query("account_screen_stream")
 def q_account_screen_stream(spark, sf_dir):
     """The same requests through the stream; the tests check equality with ``account_screen``."""

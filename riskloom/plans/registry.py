@@ -21,6 +21,7 @@ _MODULES = (
     "riskloom.plans.explaining",
     "riskloom.plans.readside",
     "riskloom.plans.screening",
+    "riskloom.plans.derivation",
     "riskloom.plans.modeling",
     "riskloom.plans.anomalies",
     "riskloom.plans.reports",

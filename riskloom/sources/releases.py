@@ -1,7 +1,8 @@
 """Released models: all that screening needs, in one versioned folder.
 
 A release holds the members' node table, the feature list with training medians, blend weights, calibration
-percentiles and the mean contributions of the positives. Its tables are written under a name of their own;
+percentiles and the mean contributions of the positives, and, if given, what recomputing a request's derived
+columns takes. Its tables are written under a name of their own;
 then a numbered manifest that names them is renamed into place, and the release with the highest number
 is the current one. Readers load a release by its version, so a stream can go on with the one it began with.
 """
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import boosting, models
+from riskloom.operators import boosting, derive, models
 from riskloom.sources import store
 
 
@@ -32,10 +33,11 @@ class Release:
     calibration: tuple[float, float]
     explained: str
     mean_positive: dict[str, float]
+    derivation: derive.Derivation | None = None
 
 
 def publish(spark: SparkSession, root: str, *, nodes: DataFrame, features: list[str], medians: DataFrame, weights: DataFrame,
-            calibration: DataFrame, class_means: DataFrame, explained: str) -> str:
+            calibration: DataFrame, class_means: DataFrame, explained: str, derivation: derive.Derivation | None = None) -> str:
     """Write a release below ``root`` and make it the current one; its version. ``nodes`` is a node table,
     ``medians`` (feature, median), ``weights`` (member, weight), ``calibration`` (p1, p99) and ``class_means``
     (feature, mean_shap_pos)."""
@@ -48,7 +50,8 @@ def publish(spark: SparkSession, root: str, *, nodes: DataFrame, features: list[
     weights.select("member", "weight").write.parquet(os.path.join(where, "weights"))
     calibration.select("p1", "p99").write.parquet(os.path.join(where, "calibration"))
     number = len(versions(spark, root)) + 1
-    body = json.dumps({"tables": folder, "explained": explained})
+    body = json.dumps({"tables": folder, "explained": explained,
+                       "derivation": derivation and derive.save(derivation, os.path.join(where, "derivation"))})
     while not store.put_text(spark, os.path.join(root, f"release-{number:06d}"), body):
         number += 1
     return f"release-{number:06d}"
@@ -73,6 +76,8 @@ def load(spark: SparkSession, root: str, version: str) -> Release:
 
     columns = table("features").orderBy("pos").collect()
     cal = table("calibration").first()
+    text = manifest.get("derivation")
+    derivation = derive.load(spark, os.path.join(root, manifest["tables"], "derivation"), text) if text else None
     return Release(version, models.final_members(table("nodes")), [r["feature"] for r in columns], {r["feature"]: r["median"] for r in columns},
                    {r["member"]: r["weight"] for r in table("weights").collect()}, (cal["p1"], cal["p99"]), manifest["explained"],
-                   {r["feature"]: r["mean_shap_pos"] or 0.0 for r in columns})
+                   {r["feature"]: r["mean_shap_pos"] or 0.0 for r in columns}, derivation)

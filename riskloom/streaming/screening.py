@@ -10,6 +10,7 @@ every response once although ``foreachBatch`` itself is at-least-once.
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 
@@ -40,19 +41,21 @@ def start_screen_stream(spark: SparkSession, landing: str, sink: str, checkpoint
 
 
 def start_release_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, releases_root: str,
-                         typology_attrs: dict[str, str], schema, available_now: bool = True, files_per_batch: int | None = None):
-    """Screening by released models. A micro-batch takes the release that is current when it first runs and
+                         typology_attrs: dict[str, str], schema, available_now: bool = True, files_per_batch: int | None = None,
+                         derive: str = "median"):
+    """Screening by released models (``derive`` as in ``screen_release``). A micro-batch takes the release that is current when it first runs and
     writes its version beside the sink before its responses, so a batch that runs again uses the same one, and
     members, weights, calibration and medians change together between batches."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    screened = screen.screen_release if derive == "median" else functools.partial(screen.screen_release, derive=derive)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         note = f"{sink.rstrip('/')}-versions/{batch_id}"
         store.put_text(spark, note, releases.current(spark, releases_root))
         release = releases.load(spark, releases_root, store.get_text(spark, note))
-        out = screen.screen_release(batch, release, typology_attrs)
+        out = screened(batch, release, typology_attrs)
         out.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     w = reader.parquet(landing).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
