@@ -32,7 +32,9 @@ def manual_code(col: str, mapping: Mapping[str, int]):
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, n_distinct)`` (NULL not counted), one pass over the long form."""
+    """``(feature, n_distinct)`` (NULL not counted), one pass over the long form; no rows without columns."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "feature string, n_distinct long")
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v"))
                                 for c in columns])).alias("kv")
     long = df.select(pairs).select("kv.feature", "kv.v")

@@ -13,6 +13,7 @@ from riskloom.functions.dates import parse_open_date, temporal_columns
 from riskloom.functions.quantiles import exact_percentiles
 from riskloom.operators import encode, profile
 from riskloom.operators.catalog import numeric_features, to_long
+from riskloom.operators.steps import StepLog
 
 # Missing-flag band and cap, high-missing cut, derived-family
 # prefixes excluded from row moments, ratio epsilon.
@@ -137,37 +138,36 @@ def interaction_columns(df: DataFrame, keys: Sequence[str], ratios: Sequence[tup
 
 
 def clean_accounts(raw: DataFrame, date_col: str | None, ref_date: _dt.date,
-                   manual: Mapping[str, Mapping[str, int]], label: str = "y") -> tuple[DataFrame, dict]:
+                   manual: Mapping[str, Mapping[str, int]], label: str = "y", steps: StepLog | None = None) -> tuple[DataFrame, dict]:
     """Phase-one chain: drop hard leaks, empty and low-variance columns; temporal
     features; encodings; missing flags and row meta; median imputation.
 
     Column decisions need small per-feature statistics (collected, one row per
     column); the data itself stays distributed. Returns the clean table and a
-    log of decisions."""
-    from riskloom.session import cut_lineage
-
+    log of decisions; ``steps`` records what each step did and took."""
+    steps = StepLog(("account_id", label)) if steps is None else steps
     log: dict = {"n_rows": None}
-    raw = cut_lineage(raw)  # several small statistics passes read it: materialise once
+    raw = steps.written("load", raw)  # several small statistics passes read it: materialise once
     feats = [c for c in raw.columns if c not in ("account_id", label)]
     corr = profile.target_correlation(raw, label=label)
     leaks = [r["feature"] for r in corr.where("leak_class = 'hard'").select("feature").collect()]
-    df = raw.drop(*leaks)
+    df = steps.columns("leakage", raw.drop(*leaks))
     log["leak_dropped"] = sorted(leaks)
     feats = [c for c in feats if c not in leaks]
     mp = {r["feature"]: r["null_frac"] for r in profile.missing_profile(df, feats).collect()}
     empty = [c for c in feats if mp.get(c) == 1.0]
-    df = df.drop(*empty)
+    df = steps.columns("empty", df.drop(*empty))
     log["empty_dropped"] = empty
     feats = [c for c in feats if c not in empty]
     num = [c for c in feats if c in numeric_features(df, exclude=("account_id", label))]
     lv = [r["feature"] for r in profile.low_variance(df, num).where("NOT keep").collect()] if num else []
-    df = df.drop(*lv)
+    df = steps.columns("low_variance", df.drop(*lv))
     log["low_variance_dropped"] = [c for c in num if c in lv]
     if date_col and date_col in df.columns:
-        df = add_temporal(df, date_col, ref_date)
+        df = steps.columns("temporal", add_temporal(df, date_col, ref_date))
     plan = encode.encode_plan(df, {k: v for k, v in manual.items() if k in df.columns}).collect()
     plan = sorted(plan, key=lambda r: df.columns.index(r["feature"]))
-    df = encode.apply_encodings(df, plan, manual)
+    df = steps.columns("encode", encode.apply_encodings(df, plan, manual))
     log["encoded"] = [(r["feature"], r["encoding"]) for r in plan]
     candidates = [c for c in df.columns if c not in ("account_id", label)]
     flags = miss_flag_columns(mp, candidates)
@@ -177,9 +177,9 @@ def clean_accounts(raw: DataFrame, date_col: str | None, ref_date: _dt.date,
     df = df.select(*df.columns, *[v.alias(k) for k, v in meta.items()],
                    *[F.col(c).isNull().cast("double").alias(f"miss_flag_{c}") for c in flags])
     log["miss_flags"] = flags
-    df = cut_lineage(df)  # medians and imputation both read the encoded table
+    df = steps.written("flags_and_meta", df)  # medians and imputation both read the encoded table
     cols = [c for c in df.columns if c not in ("account_id", label)]
     med = medians(df, cols)
-    df = impute(df, med, cols)
+    df = steps.last("impute", impute(df, med, cols))
     log["features"] = cols
     return df, log

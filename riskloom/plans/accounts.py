@@ -8,6 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.operators import features
+from riskloom.operators.steps import StepLog
 from riskloom.sources.fixtures import fixture
 
 # Fixed parameters of the fixture account table.
@@ -39,14 +40,27 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phase-one output, persisted once per application."""
+    """Phase-one output, persisted between applications."""
+    return clean_and_steps(spark, sf_dir)[0]
+
+
+def clean_and_steps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Phase-one output and the log of the run that wrote it, both persisted."""
     from riskloom.sources.artifacts import materialized
 
+    runs: list[StepLog] = []
+
     def build():
-        df, _ = features.clean_accounts(raw(spark, sf_dir), DATE_COL, REF_DATE, MANUAL)
-        return df
+        runs.append(StepLog())
+        return features.clean_accounts(raw(spark, sf_dir), DATE_COL, REF_DATE, MANUAL, steps=runs[-1])[0]
+
+    def steps():
+        if not runs:  # the table is there, but its run was lost before it saved its log
+            build().write.format("noop").mode("overwrite").save()
+        return runs[-1].frame(spark)
 
-    return materialized(spark, "clean_accounts", sf_dir, build)
+    table = materialized(spark, "clean_accounts", sf_dir, build)
+    return table, materialized(spark, "clean_steps", sf_dir, steps)
 
 
 # --- SQL ----------------------------------------------------------------------

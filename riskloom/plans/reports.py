@@ -1,4 +1,4 @@
-"""Step log of the phase-one chain (O-06) and the model card (O-95)."""
+"""Step logs of the phase-one chain (O-06) and the model card (O-95)."""
 
 from __future__ import annotations
 
@@ -64,6 +64,39 @@ def q_step_log(spark, sf_dir):
     return out.select(F.explode("r").alias("e")).select("e.step", "e.metric", "e.value")
 
 
+_N_RAW = len(A.NUMERIC) + len(A.STRINGS)
+_LOW_VARIANCE = """SELECT count_if(NOT keep) FROM (SELECT feature, var_pop(coalesce(value, 0.0)) > 0.001 AS keep FROM raw_long
+    WHERE feature NOT IN (SELECT feature FROM corr WHERE leak_class = 'hard')
+      AND feature NOT IN (SELECT feature FROM mp WHERE null_frac = 1.0) GROUP BY feature)"""
+_FLAGS = ("SELECT count(*) FROM mp WHERE null_frac > 0.1 AND null_frac < 1.0 AND feature IN ("
+          + ", ".join(f"'{c}'" for c in A.CLEAN_BASE) + ")")
+
+
+def _sql_nulls(columns, src):
+    return f"(SELECT CAST(sum({' + '.join(f'CAST({c} IS NULL AS INTEGER)' for c in columns)}) AS BIGINT) FROM {src})"
+
+
+@query("phase_steps", with_views(
+    f"""SELECT CAST(position AS INTEGER) AS position, step, CAST(sum(delta) OVER (ORDER BY position) - delta AS INTEGER) AS columns_in,
+       CAST(sum(delta) OVER (ORDER BY position) AS INTEGER) AS columns_out, CAST(delta AS INTEGER) AS column_delta, n_rows, null_cells, true AS timed
+    FROM (SELECT 0 AS position, 'load' AS step, {_N_RAW} AS delta, (SELECT count(*) FROM acct_raw) AS n_rows,
+                 {_sql_nulls(A.NUMERIC + A.STRINGS, 'acct_raw')} AS null_cells
+      UNION ALL SELECT 1, 'leakage', -(SELECT count_if(leak_class = 'hard') FROM corr), NULL, NULL
+      UNION ALL SELECT 2, 'empty', -(SELECT count_if(null_frac = 1.0) FROM mp), NULL, NULL
+      UNION ALL SELECT 3, 'low_variance', -({_LOW_VARIANCE}), NULL, NULL
+      UNION ALL SELECT 4, 'temporal', {len(A.TEMPORAL) - 1}, NULL, NULL
+      UNION ALL SELECT 5, 'encode', 0, NULL, NULL
+      UNION ALL SELECT 6, 'flags_and_meta', {len(A.META)} + ({_FLAGS}), (SELECT count(*) FROM meta), {_sql_nulls(A.PRE_IMPUTE_COLS, 'meta')}
+      UNION ALL SELECT 7, 'impute', 0, (SELECT count(*) FROM clean), {_sql_nulls(A.PRE_IMPUTE_COLS, 'clean')})""",
+    "acct_raw", extra=A.CHAIN + (SQL_LONG_NUM, ("corr", SQL_CORR), ("mp", SQL_MISSING))))
+def q_phase_steps(spark, sf_dir):
+    """The log that the phase-one run wrote: columns before and after each step, rows and missing cells where a
+    step's output was written, and whether its time was taken."""
+    log = A.clean_and_steps(spark, sf_dir)[1]
+    return log.select("position", "step", "columns_in", "columns_out", "column_delta", F.col("rows").alias("n_rows"), "null_cells",
+                      (F.col("seconds") >= 0).alias("timed"))
+
+
 _CARD_SCORED = ("scored", "SELECT account_id, y, prob FROM lt")
 _CARD_METRICS = (_CARD_SCORED, ("grid", M.SQL_GRID), ("thr", M.sql_thresholds("scored")), ("best", M.SQL_BEST),
                  ("conf", M.SQL_CONF), ("curve", M.SQL_CURVE), ("auc", M.SQL_AUC), ("ap", M.SQL_AP))
