@@ -124,7 +124,8 @@ def member_contributions(vectors: DataFrame, release, typology: list[str]) -> Da
 
     names = release.features
     members = {m: t for m, t in release.members.items() if release.weights.get(m)}
-    total = sum(release.weights[m] for m in members)
+    weight = {m: release.weights[m] for m in members}  # the tasks get these, not the release with its tables
+    total = sum(weight.values())
     trees = release.members.get(release.explained)
     paths = [treeshap.leaf_paths({**t, "cover": t["rows"]}) for t in trees[1:]] if trees else None
     means = np.array([release.mean_positive[f] for f in names])
@@ -135,7 +136,7 @@ def member_contributions(vectors: DataFrame, release, typology: list[str]) -> Da
     def run(batches):
         for b in batches:
             x = np.array(b.column("__x").to_pylist(), dtype=float).reshape(b.num_rows, -1)
-            prob = sum(release.weights[m] / (1 + np.exp(-np.clip(boosting.margins(t, x), -500, 500))) for m, t in members.items()) / total
+            prob = sum(weight[m] / (1 + np.exp(-np.clip(boosting.margins(t, x), -500, 500))) for m, t in members.items()) / total
             if paths is None:
                 shap = means[None] * (prob / 0.5)[:, None]
             else:

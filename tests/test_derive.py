@@ -93,19 +93,30 @@ def test_levels_follow_the_graph(fitted_small):
     assert {"p", "q", "kind", "place"} <= derive.roots(graph)["z_beh_row_mean"] and "opened" in derive.roots(graph)["int_age_p"]
 
 
-def test_a_release_recomputes(spark, fitted_small, tmp_path):
+def test_a_release_recomputes(spark, fitted_small, tmp_path, monkeypatch):
     d = fitted_small[2]
     root = str(tmp_path / "r")
-    release(spark, root, {"level": (0, 1.0, -1.0, 1.0)})
+    publish = releases.publish
+    requests = spark.createDataFrame([("r", {"a": "2", "p": "4"}), ("bad", {"b": "x"})], REQUEST)
+    release(spark, root, {"level": (0, 1.5, -1.0, 1.0)})
     plain = releases.load(spark, root, releases.current(spark, root))
-    requests = spark.createDataFrame([("r", {"a": "2"})], REQUEST)
     with pytest.raises(ValueError, match="without its derivation"):
         screen.screen_release(requests, plain, {}, derive="recompute")
     with pytest.raises(ValueError, match="median"):
         screen.screen_release(requests, plain, {}, derive="other")
-    whole = derive.recompute(requests, d, ["a", "p"], spark.createDataFrame([("a", 5.0)], "feature string, median double")).first()
-    assert (whole["a"], whole["p"]) == (2.0, medians_of(d)["p"])  # names beside the graph: supplied value or the given median
-    folder = str(tmp_path / "d")
-    back = derive.load(spark, folder, derive.save(d, folder))
+    # the same member on the product of p and q, published with the derivation
+    monkeypatch.setattr(releases, "publish", lambda *a, features, medians, class_means, **k: publish(
+        *a, **k, features=["int_pxq", "b"], derivation=d, medians=spark.createDataFrame([("int_pxq", 1.0), ("b", 2.0)], "feature string, median double"),
+        class_means=spark.createDataFrame([("int_pxq", 0.3), ("b", -0.1)], "feature string, mean_shap_pos double")))
+    release(spark, root, {"level": (0, 4.5 * medians_of(d)["q"], -1.0, 1.0)})
+    rel = releases.load(spark, root, releases.current(spark, root))
+    more = requests.unionByName(spark.createDataFrame([("over", {"p": "5"})], REQUEST))
+    got = {r["account_id"]: r for r in screen.screen_release(more, rel, {}, derive="recompute").collect()}
+    assert got["r"]["fraud_probability"] < 0.5 < got["over"]["fraud_probability"]
+    assert got["bad"]["tier"] == "ERROR" and "value of b" in got["bad"]["action"]
+    same = {r["account_id"]: r["fraud_probability"] for r in screen.screen_release(more, rel, {}).collect()}
+    assert same["r"] == same["over"]  # by default the product keeps its median
     given = [("r", {"p": "4", "q": "3", "kind": "a", "place": "n1", "opened": "03-05-2020"})]
-    assert vectors(spark, back, given) == vectors(spark, d, given)
+    assert vectors(spark, rel.derivation, given) == vectors(spark, d, given)
+    whole = derive.recompute(requests, d, ["a", "p"], spark.createDataFrame([("a", 5.0)], "feature string, median double")).orderBy("account_id").collect()
+    assert [(r["a"], r["p"]) for r in whole] == [(5.0, medians_of(d)["p"]), (2.0, 4.0)]  # names beside the graph: supplied value or given median
