@@ -46,8 +46,9 @@ def vectors(rng, size):
     return np.concatenate([base, near, dense, np.repeat(base[5:6], 25, axis=0), 3 * base[6:8]]).astype(np.float32)
 
 
-@pytest.mark.parametrize("block", [embed_dedup.BLOCK, 7])
-def test_embedding_links_equal_brute_force(spark, block):
+@pytest.mark.parametrize("block, crowd", [(embed_dedup.BLOCK, embed_dedup.CROWD), (7, embed_dedup.CROWD), (embed_dedup.BLOCK, 0.02)])
+def test_embedding_links_equal_brute_force(spark, block, crowd, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "SMALL", 16)
     rng = np.random.default_rng(4)
     rows = []
     for size in (64, 8, 3):
@@ -58,7 +59,7 @@ def test_embedding_links_equal_brute_force(spark, block):
     rows += [(n + 1, None, 1), (n + 2, [0.0] * 64, 1), (n + 3, [None] * 64, 1), (n + 4, [float("nan")] * 64, 1), (n + 5, [float("inf")] * 64, 1),
              (n + 6, rows[0][1], None), (None, rows[0][1], rows[0][2]), (n + 7, [], 1)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, label int, kept string")
-    got = collections.Counter(tuple(r) for r in embed_dedup.near_duplicates(table, block=block).collect())
+    got = collections.Counter(tuple(r) for r in embed_dedup.near_duplicates(table, block=block, crowd=crowd).collect())
 
     def usable(i, x, y):
         return i is not None and y is not None and x and all(v is not None and np.isfinite(v) for v in x) and any(x)
@@ -90,9 +91,21 @@ def test_embedding_recall_at_the_threshold():
     y = rng.normal(size=x.shape)
     y -= (x * y).sum(axis=1)[:, None] * x
     y = 0.93 * x + np.sqrt(1 - 0.93 ** 2) * y / np.linalg.norm(y, axis=1)[:, None]
-    code = embed_dedup.ProductCode(64)
-    shared = (code.cells(x) & code.cells(y)).sum(axis=1)
-    assert (shared > 0).all() and shared.mean() > 10
+    for level, pairs in ((0, 4000), (2, 1000)):
+        code = embed_dedup.ProductCode(64, level)
+        (r1, f1), (r2, f2) = code.filters(x[:pairs]), code.filters(y[:pairs])
+        both = np.intersect1d(r1.astype(np.int64) << 32 | f1, r2.astype(np.int64) << 32 | f2)
+        shared = np.bincount(both >> 32, minlength=pairs)
+        assert (shared > 0).all() and shared.mean() > 10
+        if level == 0:  # list decoding finds what all pairs of codewords give
+            unit = x[:50]
+            for r, (turn, half, first, second) in enumerate(code.parts):
+                z = unit @ turn
+                total = ((z[:, :half] @ first.T)[:, :, None] + (z[:, half:] @ second.T)[:, None, :]).reshape(50, -1)
+                for i in range(50):
+                    own = f1[(r1 == i) & (f1 // code.codewords ** 2 == r)] - r * code.codewords ** 2
+                    strongest = np.argsort(-total[i])[:max(code.floor, int((total[i] >= code.threshold).sum()))]
+                    assert set(own.tolist()) == set(strongest.tolist())
 
 
 def test_label_model_finds_accuracies_and_damps_copies():
