@@ -304,7 +304,7 @@ def test_token_counts_equal_a_plain_program(spark, rows):
             best[end] = (top[0], top[1])
         return -best[-1][1], best[-1][0]
 
-    out = token_counts.count_tokens(table(spark, rows), keep=["doc_id", "text"]).collect()
+    out = token_counts.count_tokens(table(spark, rows), keep=["doc_id", "text"], model=model).collect()
     for r in out:
         w = words_of(r["text"])
         counts = [plain(x) for x in set(w)]
@@ -314,6 +314,45 @@ def test_token_counts_equal_a_plain_program(spark, rows):
         assert abs(r["log_prob"] - sum(lookup[x][1] for x in w)) < 1e-6 * (1 + abs(r["log_prob"]))
 
 
+def test_unigram_model_equals_plain_viterbi_training(spark, rows):
+    names = token_counts.read_pieces()
+    counts = collections.Counter(w for r in rows for w in words_of(r[1]))
+    whole = sum(1 / (i + 3.7) for i in range(len(names) + 256))
+    score = {p: -float(np.log((i + 3.7) * whole)) for i, p in enumerate(names)}
+    byte = -float(np.log((len(names) + 258.7) * whole))
+    for _ in range(2):
+        uses, byte_uses = collections.Counter(), 0
+        for word, n in counts.items():
+            s = token_counts.MARK + word
+            best = [(0.0, 0, [])]
+            for end in range(1, len(s) + 1):
+                options = [(best[b][0] + score[s[b:end]], best[b][1] - 1, -b, s[b:end]) for b in range(end) if s[b:end] in score]
+                if s[end - 1] not in score:
+                    size = len(s[end - 1].encode())
+                    options.append((best[end - 1][0] + size * byte, best[end - 1][1] - size, 1 - end, size))
+                top = max(options, key=lambda o: (round(o[0], 9), *o[1:3]))
+                best.append((top[0], top[1], best[-top[2]][2] + [top[3]]))
+            for p in best[-1][2]:
+                if isinstance(p, int):
+                    byte_uses += n * p
+                else:
+                    uses[p] += n
+        total = sum(uses.values()) + 0.1 * len(names) + byte_uses + 25.6
+        score = {p: float(np.log((uses[p] + 0.1) / total)) for p in names}
+        byte = float(np.log((byte_uses / 256 + 0.1) / total))
+    model = token_counts.fit(table(spark, rows).repartition(3))
+    assert abs(model.byte - byte) < 1e-9
+    assert max(abs(model.pieces[p] - score[p]) for p in names) < 1e-9
+    assert abs(np.exp(model.score[:-1]).sum() + 256 * np.exp(model.byte) - 1) < 1e-9
+
+
+def test_more_training_rounds_raise_the_likelihood(spark, rows):
+    docs = table(spark, rows)
+    total = [token_counts.count_tokens(docs, keep=["doc_id"], model=token_counts.fit(docs, rounds=k)).agg({"log_prob": "sum"}).first()[0]
+             for k in (0, 1, 2)]
+    assert total[0] < total[1] <= total[2] + 1e-6
+
+
 def test_empty_tables(spark):
     docs = table(spark, [(1, "x", "en")]).where("doc_id < 0")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
