@@ -112,9 +112,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def annotate(docs: DataFrame, text: str, schema: str, compute: Callable[[pa.RecordBatch], dict], keep: list[str] | None = None) -> DataFrame:
+def annotate(docs: DataFrame, text: str, schema: str, compute: Callable[[pa.RecordBatch], dict], keep: list[str] | None = None,
+             limit: int = SLICE_BYTES) -> DataFrame:
     """Each row's ``keep`` columns (all of them by default) followed by the columns of ``schema``,
-    which ``compute`` makes from a slice of (keep, text). A kept column whose name is in
+    which ``compute`` makes from a slice of (keep, text) of about ``limit`` bytes. A kept column whose name is in
     ``schema`` gives way to the computed one. Row-local: no shuffle."""
     made = T.StructType.fromDDL(schema)
     names = {f.name.lower() for f in made}
@@ -123,7 +124,7 @@ def annotate(docs: DataFrame, text: str, schema: str, compute: Callable[[pa.Reco
     out = T.StructType([*[docs.schema[c] for c in kept], *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
+        for part in slices(batches, text, limit):
             new = compute(part)
             cols = [part.column(c) for c in kept] + [new[f.name] for f in made]
             cols = [c if isinstance(c, pa.Array) else pa.array(c) for c in cols]

@@ -35,6 +35,10 @@ from riskloom.session import cut_lineage
 MARK = "▁"
 #: Rounds of training, and uses added to every piece.
 ROUNDS, SMOOTH = 2, 0.1
+#: Bytes of text of a slice: larger ones repeat fewer words.
+SLICE = 6 << 20
+#: For a string that no piece ends in.
+_NO_END = object()
 
 
 def default_path() -> str:
@@ -63,15 +67,17 @@ class Unigram:
         self.names, self.score = pieces, score
         self.pieces = dict(zip(pieces, score.tolist(), strict=False))
         self.byte = float(score[-1])
-        #: The longest piece that ends in each character.
-        self.reach: dict[str, int] = {}
+        #: Every end of a piece, with its score if it is a piece itself.
+        self.ends: dict[str, float | None] = {}
         for p in pieces:
-            self.reach[p[-1]] = max(self.reach.get(p[-1], 1), len(p))
+            for k in range(len(p) - 1, 0, -1):
+                self.ends.setdefault(p[k:])
+        self.ends.update(self.pieces)
 
     def walk(self, words: list[str]) -> Iterator[tuple[str, list[float], list[int], list[int]]]:
         """Each distinct word's path (the mark and the word) with the score, token count and last step of every
         prefix. A step is the begin of the last piece, or minus the number of bytes. The lists are reused."""
-        pieces, reach = self.pieces, self.reach
+        pieces, ends = self.pieces, self.ends.get
         path, before = "", MARK
         scores, tokens, steps = [0.0], [0], [0]
         for word in sorted(words):
@@ -84,11 +90,15 @@ class Unigram:
             for end in range(shared + 1, len(path) + 1):
                 last = path[end - 1]
                 best, n, step = -1e300, 0, 0
-                for begin in range(max(0, end - reach.get(last, 1)), end):
-                    if (s := pieces.get(path[begin:end])) is not None:
-                        s += scores[begin]
-                        if s > best or s == best and tokens[begin] + 1 < n:
-                            best, n, step = s, tokens[begin] + 1, begin
+                for begin in range(end - 1, -1, -1):
+                    s = ends(path[begin:end], _NO_END)
+                    if s is None:
+                        continue
+                    if s is _NO_END:
+                        break
+                    s += scores[begin]
+                    if s > best or s == best and tokens[begin] < n:
+                        best, n, step = s, tokens[begin] + 1, begin
                 if last not in pieces:
                     size = len(last.encode())
                     s = scores[end - 1] + size * self.byte
@@ -144,7 +154,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def fit(docs: DataFrame, *, text: str = "text", pieces: str | None = None, rounds: int = ROUNDS) -> Unigram:
     """The unigram model after ``rounds`` of Viterbi training on all words of ``docs``."""
     model = Unigram(read_pieces(pieces))
-    counted = cut_lineage(word_counts(docs, text))
+    counted = cut_lineage(word_counts(docs, text).sortWithinPartitions("word"))  # neighbours share prefixes
 
     for _ in range(rounds):
         names, score = model.names, model.score
@@ -166,7 +176,7 @@ def fit(docs: DataFrame, *, text: str = "text", pieces: str | None = None, round
 class KnownCounts:
     """Counts of words already seen by this worker, in flat tables of up to ``limit`` words."""
 
-    def __init__(self, model: Unigram, limit: int = 400_000):
+    def __init__(self, model: Unigram, limit: int = 1_200_000):
         self.model, self.limit = model, limit
         self.clear()
 
@@ -210,4 +220,4 @@ def count_tokens(docs: DataFrame, *, text: str = "text", keep: list[str] | None
                 "n_tokens": pa.array(tx.segment_sums(n[words.codes], words.starts), pa.int64()),
                 "log_prob": tx.segment_sums(scores[words.codes], words.starts)}
 
-    return tx.annotate(docs, text, "n_words bigint, n_chars bigint, n_tokens bigint, log_prob double", compute, keep)
+    return tx.annotate(docs, text, "n_words bigint, n_chars bigint, n_tokens bigint, log_prob double", compute, keep, SLICE)
