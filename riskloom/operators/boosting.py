@@ -378,7 +378,7 @@ def sums(block: Block, s: dict, token: str, bins: int = BINS) -> Iterator[tuple[
         cell = ((slot[:, None] * len(cols) + np.arange(len(cols))) * bins + block.bins[np.ix_(use, cols)]).ravel()
         size = len(s["waits"]) * len(cols) * bins
         found = [np.bincount(cell, np.repeat(v, len(cols)), size) for v in (g, h)] + [np.bincount(cell, minlength=size)]
-        yield (s["index"], at), np.stack(found).reshape(3, len(s["waits"]), len(cols), bins)
+        yield (s["index"], at), np.stack(found, dtype=float).reshape(3, len(s["waits"]), len(cols), bins)  # counts of no rows are integers
 
 
 def _score(g: np.ndarray, h: np.ndarray, m: Member) -> np.ndarray:

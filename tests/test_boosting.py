@@ -235,3 +235,24 @@ def test_the_metric_and_its_stop():
         if g.ended:
             break
     assert (k, g.best, g.best_metric) == (4, 2, 0.5)
+
+
+def test_first_block_without_rows_of_a_node(spark, monkeypatch):
+    """Blocks of a partition add up although the first one has no row of the nodes asked for."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(1200):
+        rare, v, w = i % 20 == 0, float(rng.random()), float(rng.random())  # positives among a few rows only
+        rows.append((i, int(rare and (v > 0.5) != (w > 0.8)), i % 3, [float(rare), v, w]))
+    df = spark.createDataFrame(rows, "account_id long, y int, fold int, features array<double>")
+    members = [replace(m, rounds=3) for m in B.MEMBERS]
+    whole, _, _ = B.fit(df, members, (0, B.ALL))
+    monkeypatch.setattr(B, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(B, "PART_ROWS", 200)  # more than one partition
+    small, _, _ = B.fit(df, members, (0, B.ALL))
+    assert whole.keys() == small.keys()
+    for key, trees in whole.items():
+        assert len(trees) == len(small[key])
+        for a, b in zip(trees[1:], small[key][1:], strict=True):
+            assert a["feature"].tolist() == b["feature"].tolist() and a["rows"].tolist() == b["rows"].tolist()
+            assert a["value"] == pytest.approx(b["value"])
