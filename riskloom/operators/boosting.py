@@ -20,7 +20,8 @@ one can't be raised and ends it at once. Rows and columns of a round are sampled
 Trees since the stored margins travel with the job; every ``REFRESH`` rounds the margins are written anew. A
 worker may keep margins between its tasks; it only saves time, a lost worker computes them again.
 
-The jobs are RDD jobs, because hundreds of small ones are needed and each costs a third of a planned query.
+A table of at most PART_ROWS rows is one partition; there each model grows in a task of its own, by the same steps,
+and all models in one job. The jobs are RDD jobs, because hundreds of small ones are needed and each costs a third of a planned query.
 
 Null and NaN values count as lower than any number.
 """
@@ -29,11 +30,13 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -368,17 +371,23 @@ def sums(block: Block, s: dict, token: str, bins: int = BINS) -> Iterator[tuple[
     use = np.flatnonzero(mine & (~block.inner | s["judge_all"]) & (share_of(block.key, s["salt"]) < s["m"].row_share))
     slot_of = np.full(len(s["shape"]["feature"]), -1)
     slot_of[s["waits"]] = np.arange(len(s["waits"]))
-    slot = slot_of[place(s["shape"], block.bins[use])]
-    use, slot = use[slot >= 0], slot[slot >= 0]
+    cells = block.bins[use]
+    slot = slot_of[place(s["shape"], cells)]
+    waiting = slot >= 0
+    if not waiting.all():
+        use, slot, cells = use[waiting], slot[waiting], cells[waiting]
     y, p = block.y[use], _sigmoid(margin[use])
     w = np.where(y == 1, s["weights"][1], s["weights"][0])
     g, h = w * (p - y), w * p * (1 - p)
+    size, first = len(s["waits"]) * bins, slot * bins
     for at in range(0, len(s["columns"]), s["block"]):
         cols = s["columns"][at:at + s["block"]]
-        cell = ((slot[:, None] * len(cols) + np.arange(len(cols))) * bins + block.bins[np.ix_(use, cols)]).ravel()
-        size = len(s["waits"]) * len(cols) * bins
-        found = [np.bincount(cell, np.repeat(v, len(cols)), size) for v in (g, h)] + [np.bincount(cell, minlength=size)]
-        yield (s["index"], at), np.stack(found, dtype=float).reshape(3, len(s["waits"]), len(cols), bins)  # counts of no rows are integers
+        found = np.empty((3, len(s["waits"]), len(cols), bins))  # counts of no rows are integers, these never
+        for j, c in enumerate(cols):
+            cell = first + cells[:, c]
+            for k, v in enumerate((g, h, None)):
+                found[k, :, j] = np.bincount(cell, v, size).reshape(-1, bins)
+        yield (s["index"], at), found
 
 
 def _score(g: np.ndarray, h: np.ndarray, m: Member) -> np.ndarray:
@@ -417,6 +426,39 @@ def rank_metric(counts: np.ndarray, kind: str) -> float:
     return float((pos * tp / np.maximum(tp + fp, 1)).sum() / pos.sum())
 
 
+def _add(held: dict[tuple[int, int], np.ndarray], block: Block, s: dict, token: str) -> None:
+    for key, found in sums(block, s, token):
+        if key in held:
+            held[key] += found
+        else:
+            held[key] = found
+
+
+def _answer(items: Iterable, by_index: dict[int, dict]) -> Iterator:
+    for (index, at), found in items:
+        s = by_index[index]
+        if at < 0:
+            yield index, at, rank_metric(found, s["m"].metric)
+        else:
+            yield index, at, best_splits(found, s["columns"][at:at + s["block"]], s["m"], s["joint"])
+
+
+def _merged(answers: Iterable, by_index: dict[int, dict]) -> dict[int, tuple[float | None, list[dict]]]:
+    """Each model's metric and its best split of every node over all feature blocks."""
+    metric: dict[int, float] = {}
+    splits: dict[int, list[dict]] = {}
+    for index, at, x in sorted(answers, key=lambda r: r[:2]):
+        if at < 0:
+            metric[index] = x
+        elif index not in splits:
+            splits[index] = x
+        elif by_index[index]["joint"]:
+            splits[index] = x if x[0]["joint"] > splits[index][0]["joint"] else splits[index]
+        else:
+            splits[index] = [b if round(b["gain"], 9) > round(a["gain"], 9) else a for a, b in zip(splits[index], x, strict=True)]
+    return {i: (metric.get(i), splits.get(i, [])) for i in by_index}
+
+
 def _ask(rdd, groups: list[list[dict]], token: str) -> dict[int, tuple[float | None, list[dict]]]:
     """One job: the answers to all requests. Every group of models visits the same blocks in tasks of its own."""
     parts = rdd.getNumPartitions()
@@ -427,36 +469,34 @@ def _ask(rdd, groups: list[list[dict]], token: str) -> dict[int, tuple[float | N
         for row in rows:
             block = Block(row)
             for s in groups[i // parts]:
-                for key, found in sums(block, s, token):
-                    if key in held:
-                        held[key] += found
-                    else:
-                        held[key] = found
+                _add(held, block, s, token)
         return iter(held.items())
 
-    def answer(items: Iterable) -> Iterator:
-        for (index, at), found in items:
-            s = by_index[index]
-            if at < 0:
-                yield index, at, rank_metric(found, s["m"].metric)
-            else:
-                yield index, at, best_splits(found, s["columns"][at:at + s["block"]], s["m"], s["joint"])
-
     found = rdd.context.union([rdd] * len(groups)).mapPartitionsWithIndex(collect)
     if parts > 1:  # one partition holds all rows of its models: nothing to add up
         found = found.reduceByKey(np.add, min(sum(len(g) for g in groups), parts))
-    metric: dict[int, float] = {}
-    splits: dict[int, list[dict]] = {}
-    for index, at, x in sorted(found.mapPartitions(answer).collect(), key=lambda r: r[:2]):
-        if at < 0:
-            metric[index] = x
-        elif index not in splits:
-            splits[index] = x
-        elif by_index[index]["joint"]:
-            splits[index] = x if x[0]["joint"] > splits[index][0]["joint"] else splits[index]
-        else:
-            splits[index] = [b if round(b["gain"], 9) > round(a["gain"], 9) else a for a, b in zip(splits[index], x, strict=True)]
-    return {i: (metric.get(i), splits.get(i, [])) for i in by_index}
+    return _merged(found.mapPartitions(lambda items: _answer(items, by_index)).collect(), by_index)
+
+
+def _grow_in_tasks(blocks: DataFrame, models: list[Growth]) -> None:
+    """One job in which every model grows to its end in a task of its own, by the steps of ``_ask``: for a table
+    of one partition (PART_ROWS rows at most), where a job for each level costs far more than the level."""
+    rdd = blocks.drop("ids").withColumn("ids", F.lit(None)).coalesce(1).rdd
+    order = sorted((g for g in models if not g.ended), key=lambda g: g.m.growth != "leaf")  # the longest begin first
+
+    def grow(i: int, rows: Iterable) -> Iterator:
+        held, g, token = [Block(row) for row in rows], order[i], uuid.uuid4().hex  # a task that runs again begins anew
+        while not g.ended:
+            s, found = g.request(), {}
+            for block in held:
+                _add(found, block, s, token)
+            g.receive(*_merged(_answer(found.items(), {g.index: s}), {g.index: s})[g.index])
+        yield g.index, g.trees[:g.best]
+
+    if order:
+        by_index = {g.index: g for g in order}
+        for index, trees in rdd.context.union([rdd] * len(order)).mapPartitionsWithIndex(grow).collect():
+            by_index[index].trees, by_index[index].best, by_index[index].ended = trees, len(trees), True
 
 
 def _advance(blocks: DataFrame, models: list[Growth]) -> DataFrame:
@@ -512,6 +552,8 @@ def fit(df: DataFrame, members: Sequence[Member] = MEMBERS, folds: Sequence[int]
         models.append(GROWTHS[m.growth](i, m, f, len(cuts), weights, prior, whole))
         models[-1].ended = not neg or not pos or not len(cuts)
     spark = df.sparkSession
+    if sum(counts.values()) <= PART_ROWS:
+        _grow_in_tasks(blocks, models)
     rdd, token = blocks.drop("ids").withColumn("ids", F.lit(None)).rdd.persist(), uuid.uuid4().hex
     while active := [g for g in models if not g.ended]:
         if max(len(g.trees) - g.stored for g in active) >= REFRESH:
@@ -572,17 +614,26 @@ NODES = "member string, fold int, tree int, node int, feature int, bin int, thre
 
 def node_table(spark, models: dict[tuple[str, int], list[dict]]) -> DataFrame:
     """Every node of every model; tree -1 holds a model's prior. ``code``: level of a symmetric tree's split,
-    or its leaf's code. Bounded by models x trees x nodes."""
-    rows = []
-    for (name, fold), trees in models.items():
-        rows.append((name, fold, -1, 0, -1, 0, 0.0, -1, -1, float(trees[0]["prior"]), 0.0, 0.0, None))
+    or its leaf's code. Bounded by models x trees x nodes; rows are made in tasks, a model in one row until then."""
+    schema = T.StructType.fromDDL(NODES)
+
+    def table(name: str, fold: int, trees: list[dict]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame([(name, fold, -1, 0, -1, 0, 0.0, -1, -1, float(trees[0]["prior"]), 0.0, 0.0, None)], columns=schema.names)
         for k, t in enumerate(trees[1:]):
             code = {}
             if "codes" in t:
                 code = {int(n): i for i, n in enumerate(t["codes"])} | {int(n): i for i, n in enumerate(t["leaf_of"])}
-            rows += [(name, fold, k, i, int(t["feature"][i]), int(t["bin"][i]), float(t["threshold"][i]), int(t["left"][i]), int(t["right"][i]),
-                      float(t["value"][i]), float(t["gain"][i]), float(t["rows"][i]), code.get(i)) for i in range(len(t["feature"]))]
-    return spark.createDataFrame(rows, NODES)
+            nodes = np.arange(len(t["feature"]))
+            yield pd.DataFrame({"member": name, "fold": fold, "tree": k, "node": nodes, **{c: t[c] for c in ("feature", "bin", "threshold", "left", "right", "value", "gain")},
+                                "rows": t["rows"].astype(float), "code": pd.array([code.get(i) for i in nodes.tolist()], dtype="Int32")})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, fold, trees in pdf.itertuples(index=False):
+                yield from table(name, fold, pickle.loads(trees))
+
+    packed = [(name, fold, pickle.dumps(trees)) for (name, fold), trees in models.items()]
+    return spark.createDataFrame(packed, "member string, fold int, trees binary").mapInPandas(run, schema)
 
 
 def read_nodes(nodes: DataFrame) -> dict[tuple[str, int], list[dict]]:

@@ -256,3 +256,27 @@ def test_first_block_without_rows_of_a_node(spark, monkeypatch):
         for a, b in zip(trees[1:], small[key][1:], strict=True):
             assert a["feature"].tolist() == b["feature"].tolist() and a["rows"].tolist() == b["rows"].tolist()
             assert a["value"] == pytest.approx(b["value"])
+
+
+def test_jobs_of_a_small_table_do_not_grow_with_its_rounds(spark, table):
+    """The models of a table of one partition grow in one job, however many trees they take."""
+    jobs = {}
+    for rounds in (2, 6):
+        spark.sparkContext.setJobGroup(f"fit-{rounds}", "fit")
+        models_, _, _ = B.fit(table, [replace(m, rounds=rounds) for m in B.MEMBERS], (0, B.ALL))
+        jobs[rounds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit-{rounds}"))
+        assert all(1 <= len(trees) - 1 <= rounds for trees in models_.values())
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[2] == jobs[6]
+
+
+def test_node_table_of_a_model_without_trees(spark):
+    """A model that ended before its first tree still has its prior, and models come back from their table as they were."""
+    tree = {"feature": np.array([1, -1, -1]), "bin": np.array([3, 0, 0]), "threshold": np.array([0.5, np.inf, np.inf]), "left": np.array([1, -1, -1]),
+            "right": np.array([2, -1, -1]), "value": np.array([0.0, 0.1, -0.1]), "gain": np.array([2.0, 0.0, 0.0]), "rows": np.array([9, 4, 5]),
+            "codes": np.array([0]), "leaf_of": np.array([1, 2])}
+    made = {("level", 0): [{"prior": -0.5}], ("symmetric", B.ALL): [{"prior": 0.25}, tree]}
+    back = B.read_nodes(B.node_table(spark, made))
+    assert back["level", 0] == [{"prior": -0.5}] and back["symmetric", B.ALL][0] == {"prior": 0.25}
+    for c, v in tree.items():
+        assert back["symmetric", B.ALL][1][c].tolist() == v.tolist()
