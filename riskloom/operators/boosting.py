@@ -625,7 +625,7 @@ def node_table(spark, models: dict[tuple[str, int], list[dict]]) -> DataFrame:
                 code = {int(n): i for i, n in enumerate(t["codes"])} | {int(n): i for i, n in enumerate(t["leaf_of"])}
             nodes = np.arange(len(t["feature"]))
             yield pd.DataFrame({"member": name, "fold": fold, "tree": k, "node": nodes, **{c: t[c] for c in ("feature", "bin", "threshold", "left", "right", "value", "gain")},
-                                "rows": t["rows"].astype(float), "code": pd.array([code.get(i) for i in nodes.tolist()], dtype="Int32")})
+                                "rows": np.asarray(t["rows"], float), "code": pd.array([code.get(i) for i in nodes.tolist()], dtype="Int32")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
