@@ -83,7 +83,7 @@ def member_scores(spark, sf_dir):
 
 def weights(spark, sf_dir):
     """(member, ap, weight), as ``metrics.blend_weights`` gives them."""
-    return metrics.blend_weights(member_scores(spark, sf_dir))
+    return materialized(spark, "chain_weights", sf_dir, lambda: metrics.blend_weights(member_scores(spark, sf_dir)))
 
 
 def blended(spark, sf_dir):
@@ -112,6 +112,21 @@ def contributions(spark, sf_dir):
     return materialized(spark, "chain_contributions", sf_dir, build)
 
 
+def importance(spark, sf_dir):
+    """Global importance of the explained member's contributions, a row a feature."""
+
+    def build():
+        labels = training(spark, sf_dir).select("account_id", "y")
+        return explain.global_importance(contributions(spark, sf_dir).join(labels, "account_id"))
+
+    return materialized(spark, "chain_importance", sf_dir, build)
+
+
+def blend_metrics(spark, sf_dir):
+    """The blend's (metric, value) rows."""
+    return materialized(spark, "chain_metrics", sf_dir, lambda: metrics.metric_record(blended(spark, sf_dir).select("account_id", "y", "prob")))
+
+
 @query("select_engineered")
 def q_select_engineered(spark, sf_dir):
     """Top 300 by mutual information plus the must-keep families, on the engineered table."""
@@ -132,8 +147,7 @@ def q_account_blend_scores(spark, sf_dir):
 
 @query("account_blend_metrics")
 def q_account_blend_metrics(spark, sf_dir):
-    m = metrics.metric_record(blended(spark, sf_dir).select("account_id", "y", "prob"))
-    return m.select("metric", round6("value").alias("value"))
+    return blend_metrics(spark, sf_dir).select("metric", round6("value").alias("value"))
 
 
 @query("account_tree_contrib")
@@ -144,9 +158,7 @@ def q_account_tree_contrib(spark, sf_dir):
 
 @query("account_tree_importance")
 def q_account_tree_importance(spark, sf_dir):
-    lab = training(spark, sf_dir).select("account_id", "y")
-    g = explain.global_importance(contributions(spark, sf_dir).join(lab, "account_id"))
-    return g.select("feature", *[round6(c).alias(c) for c in ("importance", "mean_shap_pos", "mean_shap_neg")], "direction")
+    return importance(spark, sf_dir).select("feature", *[round6(c).alias(c) for c in ("importance", "mean_shap_pos", "mean_shap_neg")], "direction")
 
 
 @query("account_tree_cards")
@@ -190,11 +202,10 @@ def release_root(spark, sf_dir) -> str:
     root = artifact_path(spark, "chain_releases", sf_dir)
     if not releases.versions(spark, root):
         names = selected(spark, sf_dir)
-        labels = training(spark, sf_dir).select("account_id", "y")
         releases.publish(spark, root, nodes=trained(spark, sf_dir)[0], features=names,
                          medians=features.medians(engineered(spark, sf_dir), names), weights=weights(spark, sf_dir),
                          calibration=alerts.calibration_params(blended(spark, sf_dir), "prob"),
-                         class_means=explain.global_importance(contributions(spark, sf_dir).join(labels, "account_id")), explained=EXPLAINED,
+                         class_means=importance(spark, sf_dir), explained=EXPLAINED,
                          derivation=derivation(spark, sf_dir))
     return root
 
@@ -240,7 +251,8 @@ def q_account_screen_stream(spark, sf_dir):
 
 @query("account_model_card")
 def q_account_model_card(spark, sf_dir):
-    """(section, key, value): the members with their blend weights and trees, top-5 features, the blend's metrics."""
+    """(section, key, value): the members with their blend weights and trees, top-5 features, the blend's metrics.
+    Each part is saved by a run of its own, so the driver never holds the broadcast tables of all parts at once."""
     nodes, w = trained(spark, sf_dir)[0], weights(spark, sf_dir)
     trees = nodes.where((F.col("fold") == boosting.ALL) & (F.col("tree") >= 0)).groupBy("member").agg(F.count_distinct("tree").alias("n"))
     top = q_account_tree_importance(spark, sf_dir).orderBy(F.desc("importance"), "feature").limit(5)

@@ -54,7 +54,8 @@ def fingerprint(spark: SparkSession, folder: str) -> str:
     fs, p = _fs(spark, folder)
     if not fs.exists(p):
         return hashlib.sha1(folder.encode()).hexdigest()
-    base, found, files = fs.makeQualified(fs.resolvePath(p)).toString(), [], fs.listFiles(p, True)
+    real = fs.resolvePath(p)  # may be of another file system (viewfs)
+    base, found, files = real.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(real).toString(), [], fs.listFiles(p, True)
     while files.hasNext():
         f = files.next()
         found.append((f.getPath().toString().removeprefix(base), f.getLen(), f.getModificationTime()))

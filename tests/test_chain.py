@@ -119,3 +119,12 @@ def test_curve_totals_leave_out_rows_without_a_score(spark):
     rows = spark.createDataFrame([(1, 1, None), (2, 1, 0.5), (3, 0, 0.5), (4, 0, 0.1)], "account_id long, y int, prob double")
     top = metrics.score_curve(rows).orderBy(F.desc("score")).first()
     assert (top["n_pos"], top["n_neg"], top["precision"], top["recall"]) == (1, 2, 0.5, 1.0)
+
+
+def test_the_model_card_reads_parts_that_were_saved_one_by_one(spark):
+    card = chain.q_account_model_card(spark, SF)
+    assert card._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 0
+    rows = {(r["section"], r["key"]): r["value"] for r in card.collect()}
+    want = {r["member"]: f"{r['weight']:.4f}" for r in metrics.blend_weights(chain.member_scores(spark, SF)).collect()}
+    assert {k: v for (s, k), v in rows.items() if s == "weight"} == want
+    assert sum(s == "top_feature" for s, _ in rows) == 5 and sum(s == "metric" for s, _ in rows) == 11
