@@ -20,6 +20,9 @@ from riskloom.operators import screen
 from riskloom.session import checkpoint_dir
 from riskloom.sources import releases, store
 
+#: Most rows of a landed file.
+FILE_ROWS = 100_000
+
 
 def start_screen_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str, medians: DataFrame,
                         scorer_params: DataFrame, calibration: DataFrame, features: list[str],
@@ -62,24 +65,31 @@ def start_release_stream(spark: SparkSession, landing: str, sink: str, checkpoin
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
 
 
+def land(requests: DataFrame, landing: str, batches: int) -> int:
+    """Write ``requests`` as files for all cores, of FILE_ROWS rows at most; how many of them make one of ``batches`` micro-batches."""
+    spark = requests.sparkSession
+    requests.repartition(batches * spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", FILE_ROWS).parquet(landing)
+    return max(1, -(-sum(n.startswith("part-") for n in store.names(spark, landing)) // batches))
+
+
 def run_release_stream(spark: SparkSession, requests: DataFrame, releases_root: str, typology_attrs: dict[str, str], batches: int = 3) -> DataFrame:
-    """Land ``requests`` as ``batches`` files, drain them through as many micro-batches, return the sink."""
+    """Land ``requests``, drain them through at most ``batches`` micro-batches, return the sink."""
     base = os.path.join(checkpoint_dir(spark), "screen-stream", uuid.uuid4().hex)
     landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "checkpoint"))
-    requests.repartition(batches).write.parquet(landing)
+    files = land(requests, landing, batches)
     schema = spark.read.parquet(landing).schema
-    start_release_stream(spark, landing, sink, ckpt, releases_root, typology_attrs, schema, files_per_batch=1).awaitTermination()
+    start_release_stream(spark, landing, sink, ckpt, releases_root, typology_attrs, schema, files_per_batch=files).awaitTermination()
     return spark.read.parquet(sink).drop("batch_id")
 
 
 def run_screen_stream(spark: SparkSession, requests: DataFrame, medians: DataFrame, scorer_params: DataFrame,
                       calibration: DataFrame, features: list[str], typology_attrs: dict[str, str], batches: int = 3) -> DataFrame:
-    """Land ``requests`` as ``batches`` files, drain them through as many micro-batches, return the sink."""
+    """Land ``requests``, drain them through at most ``batches`` micro-batches, return the sink."""
     base = os.path.join(checkpoint_dir(spark), "screen-stream", uuid.uuid4().hex)
     landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "checkpoint"))
-    requests.repartition(batches).write.parquet(landing)
+    files = land(requests, landing, batches)
     schema = spark.read.parquet(landing).schema
     q = start_screen_stream(spark, landing, sink, ckpt, medians, scorer_params, calibration, features,
-                            typology_attrs, schema, files_per_batch=1)
+                            typology_attrs, schema, files_per_batch=files)
     q.awaitTermination()
     return spark.read.parquet(sink).drop("batch_id")
