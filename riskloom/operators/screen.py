@@ -76,9 +76,10 @@ def respond(s: DataFrame, columns: list[str], typology_attrs: dict[str, str], ve
 
     score = calibrated_score("ens", F.col("p1"), F.col("p99"))
     s = s.withColumn("risk_score", score).withColumn("tier", tier_col("risk_score"))
-    by_desc = F.array_sort("contrib", lambda a, b: F.when(a["shap"] > b["shap"], -1).when(a["shap"] < b["shap"], 1)
+    raising = F.filter("contrib", lambda x: x["shap"] > 0)  # the sort is the dearest step of a row: only what may be listed
+    by_desc = F.array_sort(raising, lambda a, b: F.when(a["shap"] > b["shap"], -1).when(a["shap"] < b["shap"], 1)
                            .otherwise(F.when(a["feature"] < b["feature"], -1).when(a["feature"] > b["feature"], 1).otherwise(0)))
-    top = F.transform(F.slice(F.filter(by_desc, lambda x: x["shap"] > 0), 1, 5), lambda x: F.struct(
+    top = F.transform(F.slice(by_desc, 1, 5), lambda x: F.struct(
         x["feature"].alias("feature"), F.bround(x["value"], 4).alias("value"),
         F.bround(x["shap"], 4).alias("shap_contrib"), magnitude_col(x["shap"]).alias("magnitude")))
     a = typology_attrs

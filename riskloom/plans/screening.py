@@ -12,6 +12,7 @@ from riskloom.plans import accounts as A
 from riskloom.plans import common
 from riskloom.plans import explaining as X
 from riskloom.plans.registry import query
+from riskloom.session import cut_lineage
 from riskloom.sources.fixtures import fixture, with_views
 
 REQ_NAMES = ("f_bal", "f_orders", "f_spend", "f_max", "f_urgent", "f_events", "f_ev_value", "f_errors", "f_soft",
@@ -40,11 +41,15 @@ def fitted_tables(spark, sf_dir):
     clean = A.clean(spark, sf_dir)
     med = materialized(spark, "train_medians", sf_dir, lambda: features.medians(clean, FEATS))
     params = materialized(spark, "scorer_params", sf_dir, lambda: explain.fit_linear_scorer(clean, FEATS))
-    cal = materialized(spark, "calibration", sf_dir, lambda: alerts.calibration_params(
-        explain.linear_contributions(clean, params, FEATS), "prob"))
+    cal = materialized(spark, "calibration", sf_dir, lambda: calibration(clean, params))
     return med, params, cal
 
 
+def calibration(clean, params):
+    """Calibration percentiles of the scored table; each row is scored once, the percentiles read its probability twice."""
+    return alerts.calibration_params(cut_lineage(explain.linear_contributions(clean, params, FEATS).select("prob")), "prob")
+
+
 def _flat(df):
     return df.select(
         "account_id", "risk_score", "tier", round6("fraud_probability").alias("fraud_probability"), "action",
@@ -136,7 +141,8 @@ def q_screen_batch(spark, sf_dir):
 def q_screen_errors(spark, sf_dir):
     med, params, cal = fitted_tables(spark, sf_dir)
     out = screen.screen_requests(requests(spark, sf_dir), med, params, cal, FEATS, API_TYPO)
-    return out.where(F.col("tier") == screen.ERROR_TIER).select("account_id", "tier", "risk_score", "action")
+    out = cut_lineage(out.select("account_id", "tier", "risk_score", "action"))  # else the filter repeats the scoring for each use of a column
+    return out.where(F.col("tier") == screen.ERROR_TIER)
 
 
 @query("screen_stream")

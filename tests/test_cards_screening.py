@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import explain, screen
 from riskloom.plans import explaining as X
 from riskloom.plans import screening as S
+from riskloom.streaming import screening
 from tests.conftest import SF
 
 
@@ -76,3 +77,34 @@ def test_absent_typology_attributes_take_their_defaults(spark):
     want = typology_columns(F.lit(5.0), *[F.lit(DEFAULTS[k]) for k in keys[1:]])
     r = df.select(*[v.alias(k) for k, v in some.items()], *[v.alias("want_" + k) for k, v in want.items()]).first()
     assert all(r[k] == r["want_" + k] for k in some)
+
+
+def test_a_micro_batch_is_read_by_many_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(str(i), {"a": str(i)}) for i in range(200)], "account_id string, features map<string,string>")
+    files = screening.land(rows, str(tmp_path / "in"), 3)
+    assert files > 1 and -(-len(list((tmp_path / "in").glob("part-*"))) // files) == 3
+    assert spark.read.parquet(str(tmp_path / "in")).count() == 200
+
+
+def test_calibration_reads_scores_that_were_made_once(spark, monkeypatch):
+    clean = spark.range(50).select(F.col("id").alias("account_id"), (F.col("id") % 5 == 0).cast("int").alias("y"),
+                                   *[(F.col("id") * (i + 1) % 17).cast("double").alias(f) for i, f in enumerate(S.FEATS)])
+    params, seen = explain.fit_linear_scorer(clean, S.FEATS), []
+    monkeypatch.setattr(S.alerts, "calibration_params", lambda scored, prob: seen.append(scored) or scored)
+    S.calibration(clean, params)
+    want = [r["prob"] for r in explain.linear_contributions(clean, params, S.FEATS).select("prob").collect()]
+    assert sorted(r["prob"] for r in seen[0].collect()) == sorted(want)
+    assert "EXP(" not in seen[0]._jdf.queryExecution().optimizedPlan().toString().upper()
+
+
+def test_only_raising_factors_are_sorted(spark):
+    row = _contrib_row(spark, [0.01, -0.3, 0.07, 0.2, -0.5, 0.06, 0.2, 0.0, 0.15]).select(
+        "account_id", "contrib", F.col("prob").alias("ens"), F.lit(0.1).alias("p1"), F.lit(0.9).alias("p99"))
+    out = screen.respond(row, ["account_id"], {}, "v")
+    assert [x["feature"] for x in out.first()["top_risk_factors"]] == ["f3", "f6", "f8", "f2", "f5"]
+    assert "array_sort(filter(" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_the_error_filter_reads_finished_responses(spark):
+    plan = S.q_screen_errors(spark, SF)._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert "EXP(" not in plan and "TRY_CAST" not in plan
