@@ -1,5 +1,6 @@
 """The connected chain on the account table: each step's output is checked from the step before."""
 
+import json
 import os
 import subprocess
 import sys
@@ -128,3 +129,33 @@ def test_the_model_card_reads_parts_that_were_saved_one_by_one(spark):
     want = {r["member"]: f"{r['weight']:.4f}" for r in metrics.blend_weights(chain.member_scores(spark, SF)).collect()}
     assert {k: v for (s, k), v in rows.items() if s == "weight"} == want
     assert sum(s == "top_feature" for s, _ in rows) == 5 and sum(s == "metric" for s, _ in rows) == 11
+
+
+def _steps(spark, monkeypatch, tmp_path):
+    """The chain's steps on a small file of many rows: contributions of 2,000 accounts, most of them zero."""
+    def saved(df, name):
+        df.repartition(1).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    shap = F.when((F.col("account_id") % 5 == 0) & (F.col("feature") == "a"), 0.5).when(F.col("feature") == "b", -0.25).otherwise(0.0)
+    ids = spark.range(2000).select(F.col("id").alias("account_id"), F.when(F.col("id") % 10 == 0, 1).otherwise(0).alias("y"))
+    contrib = saved(ids.select("account_id", F.explode(F.array(*map(F.lit, "abc"))).alias("feature")).withColumn("shap", shap).withColumn("base", F.lit(-1.0)), "contrib")
+    values = F.array(*[F.col("account_id") * k for k in (1.0, 2.0, 3.0)])
+    table = saved(ids.select("account_id", "y", F.lit(0).alias("fold"), values.alias("features")), "training")
+    blend = saved(ids.select("account_id", "y", F.lit(0.5).alias("prob"), F.lit(500).alias("risk_score"), F.lit("LOW").alias("tier")), "blended")
+    monkeypatch.setattr(chain, "materialized", lambda spark, name, scope, build: build())
+    for name, value in (("contributions", contrib), ("training", table), ("blended", blend), ("selected", [*"abc"]),
+                        ("final_members", {chain.EXPLAINED: [{"prior": 0.0}]})):
+        monkeypatch.setattr(chain, name, lambda *_, value=value: value)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_importance_sends_no_contributions_through_the_driver(spark, monkeypatch, tmp_path):
+    _steps(spark, monkeypatch, tmp_path)
+    imp = chain.importance(spark, "x")
+    assert "Broadcast" not in _plan(imp)
+    got = {r["feature"]: (r["importance"], r["mean_shap_pos"], r["mean_shap_neg"], r["direction"]) for r in imp.collect()}
+    assert got == {"a": (0.1, 0.5, pytest.approx(0.5 * 200 / 1800), "up"), "b": (0.25, -0.25, -0.25, "down"), "c": (0.0, 0.0, 0.0, "down")}
