@@ -173,12 +173,12 @@ def q_account_tree_cards(spark, sf_dir):
     cols = F.array(*[F.lit(c) for c in selected(spark, sf_dir)])
     m = {EXPLAINED: final_members(spark, sf_dir)[EXPLAINED]}
     values = training(spark, sf_dir).select("account_id", F.map_from_arrays(cols, "features").alias("v"))
-    long = contributions(spark, sf_dir).join(values, "account_id").select(
+    long = by_account(contributions(spark, sf_dir), values).select(
         "account_id", F.struct("feature", F.element_at("v", F.col("feature")).alias("value"), "shap").alias("c"))
     rows = long.groupBy("account_id").agg(F.collect_list("c").alias("contrib"))  # one entry per feature
-    t = blended(spark, sf_dir).join(rows, "account_id")
+    t = by_account(blended(spark, sf_dir), rows)
     own = models.score(training(spark, sf_dir), m).select("account_id", F.col(EXPLAINED).alias("member_prob"))
-    cards = t.join(own, "account_id").select("account_id", "risk_score", round6("prob").alias("prob"), round6("member_prob").alias("member_prob"),
+    cards = by_account(t, own).select("account_id", "risk_score", round6("prob").alias("prob"), round6("member_prob").alias("member_prob"),
                                               *[v.alias(k) for k, v in explain.card_columns().items()])
     return cards.select("account_id", "risk_score", "prob", "member_prob", "tier", "action", "narrative",
                         F.to_json("top_risk_factors").alias("top_risk_factors"), F.to_json("protective_factors").alias("protective_factors"))

@@ -159,3 +159,13 @@ def test_importance_sends_no_contributions_through_the_driver(spark, monkeypatch
     assert "Broadcast" not in _plan(imp)
     got = {r["feature"]: (r["importance"], r["mean_shap_pos"], r["mean_shap_neg"], r["direction"]) for r in imp.collect()}
     assert got == {"a": (0.1, 0.5, pytest.approx(0.5 * 200 / 1800), "up"), "b": (0.25, -0.25, -0.25, "down"), "c": (0.0, 0.0, 0.0, "down")}
+
+
+def test_cards_send_no_account_table_through_the_driver(spark, monkeypatch, tmp_path):
+    _steps(spark, monkeypatch, tmp_path)
+    cards = chain.q_account_tree_cards(spark, "x")
+    assert "Broadcast" not in _plan(cards)
+    rows = {r["account_id"]: r for r in cards.collect()}
+    assert len(rows) == 2000 and {r["member_prob"] for r in rows.values()} == {0.5}
+    assert json.loads(rows[10]["top_risk_factors"])[0]["value"] == 10.0 and json.loads(rows[11]["top_risk_factors"]) == []
+    assert json.loads(rows[7]["protective_factors"]) == [{"feature": "b", "value": 14.0, "shap_contrib": -0.25}]
