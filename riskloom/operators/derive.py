@@ -171,7 +171,8 @@ def _with_shares(requests: DataFrame, d: Derivation) -> DataFrame:
     rows = cut_lineage(requests.withColumn("__row", F.monotonically_increasing_id()))  # the row numbers are read twice
     items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col("__given")[c].alias("category")) for c in frequency])
     long = rows.select("__row", F.explode(items).alias("e")).select("__row", "e.feature", "e.category").where(F.col("category").isNotNull())
-    found = long.join(d.shares, ["feature", "category"]).groupBy("__row").agg(
+    # merged: as many shares as categories, in a small file by which Spark would broadcast them
+    found = long.join(d.shares.hint("merge"), ["feature", "category"]).groupBy("__row").agg(
         F.map_from_entries(F.collect_list(F.struct("feature", "share"))).alias("__shares"))  # an entry a column
     return rows.join(found, "__row", "left").drop("__row")
 

@@ -1,5 +1,6 @@
 """Recomputed request vectors: graph, edge cases, equality with a plain program."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -120,3 +121,13 @@ def test_a_release_recomputes(spark, fitted_small, tmp_path, monkeypatch):
     assert vectors(spark, rel.derivation, given) == vectors(spark, d, given)
     whole = derive.recompute(requests, d, ["a", "p"], spark.createDataFrame([("a", 5.0)], "feature string, median double")).orderBy("account_id").collect()
     assert [(r["a"], r["p"]) for r in whole] == [(5.0, medians_of(d)["p"]), (2.0, 4.0)]  # names beside the graph: supplied value or given median
+
+
+def test_shares_are_merged_not_sent_through_the_driver(spark, fitted_small, tmp_path):
+    d = fitted_small[2]
+    d.shares.write.parquet(str(tmp_path / "shares"))
+    given = spark.createDataFrame([("r", {"place": "n1"}), ("s", {"place": "none"})], REQUEST).withColumnRenamed("features", "__given")
+    out = derive._with_shares(given, dataclasses.replace(d, shares=spark.read.parquet(str(tmp_path / "shares"))))
+    merges = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and "category" in x]
+    assert len(merges) == 1 and "SortMergeJoin" in merges[0]
+    assert {r["account_id"]: r["__shares"] for r in out.collect()} == {"r": {"place": pytest.approx(4 / 12)}, "s": None}
