@@ -38,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +97,13 @@ def to_bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1).astype(np.uint8) if len(cuts) else np.zeros((len(x), 0), np.uint8)
 
 
+def matrix(column: pa.Array) -> np.ndarray:
+    """Rows x columns of a list column; a null cell is NaN."""
+    if column.null_count or len(pc.unique(pc.list_value_length(column))) != 1:
+        return np.array(column.to_pylist(), dtype=float).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
+
 def row_blocks(df: DataFrame, cuts: list[np.ndarray], models: int, id_col: str = "account_id", features: str = "features") -> DataFrame:
     """(block, ids, y, fold, key, bins, margin): up to BLOCK_ROWS rows packed into one row."""
     id_type = df.schema[id_col].dataType
@@ -105,7 +113,7 @@ def row_blocks(df: DataFrame, cuts: list[np.ndarray], models: int, id_col: str =
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 b = whole.slice(at, BLOCK_ROWS)
-                x = np.array(b.column("x").to_pylist(), dtype=float).reshape(b.num_rows, -1)
+                x = matrix(b.column("x"))
                 cells = [b.column("y").to_numpy().astype(np.uint8), b.column("fold").to_numpy().astype(np.int8),
                          b.column("key").to_numpy().astype(np.int64), to_bins(x, cuts), np.zeros((b.num_rows, models))]
                 yield pa.RecordBatch.from_arrays([pa.array([b.column("id").to_pylist()], pa.list_(b.schema.field("id").type)),
@@ -478,19 +486,104 @@ def _ask(rdd, groups: list[list[dict]], token: str) -> dict[int, tuple[float | N
     return _merged(found.mapPartitions(lambda items: _answer(items, by_index)).collect(), by_index)
 
 
+#: Rows of a node up to which all its columns are counted in one call.
+_FEW_ROWS = 1024
+
+
+class LocalRows:
+    """The rows that one model may see, in its own task: what ``sums`` finds block by block and from the root, with
+    margins and the rows of each node kept between the steps of a tree. Of two siblings the one with fewer rows is
+    counted, the other is what the parent's histogram has besides (bins without rows are exact zeros, as if counted)."""
+
+    def __init__(self, blocks: Sequence[Block], s: dict):
+        mine = [b.fold != s["fold"] for b in blocks]
+        self.y, self.key, self.margin, self.x = (np.concatenate([v[k] for v, k in zip(each, mine, strict=True)]) for each in (
+            [b.y for b in blocks], [b.key for b in blocks], [b.margin[:, s["index"]] + s["prior"] for b in blocks], [b.bins for b in blocks]))
+        inner = is_inner(self.key)
+        self.judged, self.fitted = np.flatnonzero(inner | s["judge_all"]), np.flatnonzero(~inner | s["judge_all"])
+        self.by_column = np.ascontiguousarray(self.x.T)
+        self.trees, self.salt = s["count"] - len(s["trees"]), None
+
+    def sums(self, s: dict, bins: int = BINS) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+        """As ``sums`` over all blocks."""
+        for tree in s["trees"][len(s["trees"]) - (s["count"] - self.trees):]:
+            self.margin += tree["value"][place(tree, self.x)]
+            self.trees += 1
+        if s["judge"]:
+            step = np.minimum((_sigmoid(self.margin[self.judged]) * STEPS).astype(np.int64), STEPS - 1)
+            yield (s["index"], -1), np.bincount(self.y[self.judged].astype(np.int64) * STEPS + step, minlength=2 * STEPS).reshape(2, STEPS)
+        if not len(s["waits"]):
+            return
+        if self.salt != s["salt"]:
+            self.begin(s)
+        self.follow(s)
+        found = np.stack([self.histogram(n, bins) for n in s["waits"].tolist()], axis=1)
+        for at in range(0, len(s["columns"]), s["block"]):
+            yield (s["index"], at), found[:, :, at:at + s["block"]]
+
+    def begin(self, s: dict) -> None:
+        """A new tree: its sampled rows and columns, their gradients and hessians."""
+        use = self.fitted[share_of(self.key[self.fitted], s["salt"]) < s["m"].row_share]
+        y, p = self.y[use], _sigmoid(self.margin[use])
+        w = np.where(y == 1, s["weights"][1], s["weights"][0])
+        self.g, self.h, self.salt = w * (p - y), w * p * (1 - p), s["salt"]
+        self.cells = np.stack([self.by_column[c][use] for c in s["columns"]])
+        self.at = {c: j for j, c in enumerate(s["columns"].tolist())}
+        self.rows, self.pair, self.held = {0: np.arange(len(use))}, {}, {}
+
+    def follow(self, s: dict) -> None:
+        """Deal the rows of nodes that were split since to their children."""
+        shape = s["shape"]
+        for n in sorted(n for n in self.rows if shape["left"][n] >= 0):
+            rows = self.rows.pop(n)
+            left, right = int(shape["left"][n]), int(shape["right"][n])
+            goes = self.cells[self.at[int(shape["feature"][n])]][rows] <= shape["bin"][n]
+            self.rows[left], self.rows[right] = rows[goes], rows[~goes]
+            self.pair[left], self.pair[right] = (n, right), (n, left)
+
+    def histogram(self, node: int, bins: int) -> np.ndarray:
+        """[gradient, hessian, rows] of a node by column and bin."""
+        if node not in self.held:
+            parent, other = self.pair.get(node, (None, None))
+            if parent not in self.held:
+                self.held[node] = self.counted(self.rows[node], bins)
+            else:
+                few, many = sorted((node, other), key=lambda n: len(self.rows[n]))
+                whole, part = self.held.pop(parent), self.counted(self.rows[few], bins)
+                rest = whole - part
+                rest[1] = np.maximum(rest[1], 0.0)
+                rest[:, rest[2] == 0] = 0.0
+                self.held[few], self.held[many] = part, rest
+        return self.held[node]
+
+    def counted(self, rows: np.ndarray, bins: int) -> np.ndarray:
+        columns = len(self.cells)
+        whole = len(rows) == len(self.g)
+        g, h = (self.g, self.h) if whole else (self.g[rows], self.h[rows])
+        if len(rows) <= _FEW_ROWS:
+            cell = (self.cells[:, rows] + np.arange(0, columns * bins, bins)[:, None]).ravel()
+            return np.stack([np.bincount(cell, v, columns * bins) for v in (np.tile(g, columns), np.tile(h, columns), None)]).reshape(3, columns, bins)
+        out = np.empty((3, columns, bins))
+        for j, column in enumerate(self.cells):
+            cell = (column if whole else column[rows]).astype(np.intp)
+            for k, v in enumerate((g, h, None)):
+                out[k, j] = np.bincount(cell, v, bins)
+        return out
+
+
 def _grow_in_tasks(blocks: DataFrame, models: list[Growth]) -> None:
     """One job in which every model grows to its end in a task of its own, by the steps of ``_ask``: for a table
     of one partition (PART_ROWS rows at most), where a job for each level costs far more than the level."""
     rdd = blocks.drop("ids").withColumn("ids", F.lit(None)).coalesce(1).rdd
-    order = sorted((g for g in models if not g.ended), key=lambda g: g.m.growth != "leaf")  # the longest begin first
+    dear = ("leaf", "symmetric", "level")  # by the time of a tree: the longest begin first
+    order = sorted((g for g in models if not g.ended), key=lambda g: (dear.index(g.m.growth), g.fold != ALL))
 
     def grow(i: int, rows: Iterable) -> Iterator:
-        held, g, token = [Block(row) for row in rows], order[i], uuid.uuid4().hex  # a task that runs again begins anew
+        g = order[i]  # a task that runs again begins anew
+        held = LocalRows([Block(row) for row in rows], g.request())
         while not g.ended:
-            s, found = g.request(), {}
-            for block in held:
-                _add(found, block, s, token)
-            g.receive(*_merged(_answer(found.items(), {g.index: s}), {g.index: s})[g.index])
+            s = g.request()
+            g.receive(*_merged(_answer(held.sums(s), {g.index: s}), {g.index: s})[g.index])
         yield g.index, g.trees[:g.best]
 
     if order:
@@ -606,7 +699,9 @@ def oof_scores(models: dict[tuple[str, int], list[dict]], blocks: DataFrame) ->
                     yield pa.RecordBatch.from_arrays([ids, pa.array(block.y.astype(np.int32)), pa.array(block.fold.astype(np.int32)),
                                                       pa.array([name] * len(prob)), pa.array(prob)], names=schema.names)
 
-    return blocks.mapInArrow(run, schema)
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    spread = blocks.repartition(cores) if blocks.rdd.getNumPartitions() < cores else blocks  # few blocks are one file
+    return spread.mapInArrow(run, schema)
 
 
 NODES = "member string, fold int, tree int, node int, feature int, bin int, threshold double, left int, right int, value double, gain double, rows double, code int"

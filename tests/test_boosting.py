@@ -280,3 +280,51 @@ def test_node_table_of_a_model_without_trees(spark):
     assert back["level", 0] == [{"prior": -0.5}] and back["symmetric", B.ALL][0] == {"prior": 0.25}
     for c, v in tree.items():
         assert back["symmetric", B.ALL][1][c].tolist() == v.tolist()
+
+
+def _blocks(data, sizes):
+    x, y = data
+    cuts = [np.unique(np.nanquantile(x[:, j], np.arange(1, B.BINS) / B.BINS)) for j in range(x.shape[1])]
+    bins, key, fold = B.to_bins(x, cuts), np.arange(len(y)) * 7919, np.arange(len(y)).astype(np.int8) % 3
+    cells = [c.astype(t) for c, t in ((y, np.uint8), (fold, np.int8), (key, np.int64))]
+    ends = np.cumsum([0, *sizes])
+    return [B.Block({"block": k, "ids": None, "bins": bins[a:b].tobytes(), "margin": np.zeros((b - a, 2)).tobytes(),
+                     **{n: c[a:b].tobytes() for n, c in zip(("y", "fold", "key"), cells, strict=True)}})
+            for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False))]
+
+
+@pytest.mark.parametrize("member", B.MEMBERS, ids=lambda m: m.name)
+@pytest.mark.parametrize("fold", [1, B.ALL])
+def test_a_model_in_its_own_task_finds_what_the_blocks_find(data, member, fold, monkeypatch):
+    blocks = _blocks(data, [400, 1, 599])
+    m = replace(member, rounds=4, patience=9)
+    g = B.GROWTHS[m.growth](1, m, fold, WIDTH, (1.0, 2.5), -0.5, False)
+    local, counted = B.LocalRows(blocks, g.request()), []
+    monkeypatch.setattr(B, "_FEW_ROWS", 100)  # both ways of counting
+    monkeypatch.setattr(B.LocalRows, "counted", lambda self, rows, bins, f=B.LocalRows.counted: (counted.append(len(rows)), f(self, rows, bins))[1])
+    B._KEPT.clear()
+    trees = 0
+    while not g.ended:
+        s, want, before = g.request(), {}, len(counted)
+        for b in blocks:
+            B._add(want, b, s, f"own {member.name} {fold}")
+        got = dict(local.sums(s))
+        assert got.keys() == want.keys()
+        for key, v in want.items():
+            assert got[key].shape == v.shape and np.allclose(got[key], v, rtol=1e-9, atol=1e-9)
+            if key[1] >= 0:
+                assert (got[key][:, v[2] == 0] == 0).all()
+                assert s["waits"].tolist() == [0] or 2 * sum(counted[before:]) <= len(local.g)  # of two siblings the one with fewer rows
+        trees = max(trees, s["count"])
+        g.receive(*B._merged(B._answer(got.items(), {g.index: s}), {g.index: s})[g.index])
+    assert trees == 4
+
+
+def test_list_columns_become_a_matrix():
+    import pyarrow as pa
+
+    rows = [[1.0, None], [float("nan"), 4.0], [5.0, 6.0]]
+    for column in (pa.array(rows), pa.array([[0.0], *rows]).slice(1), pa.array(rows, pa.list_(pa.float64()))):
+        assert np.array_equal(B.matrix(column), [[1, np.nan], [np.nan, 4], [5, 6]], equal_nan=True)
+    with pytest.raises(ValueError):
+        B.matrix(pa.array([[1.0], [2.0, 3.0], [4.0]]))
